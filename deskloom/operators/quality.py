@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +25,13 @@ def negative(columns: list[str]) -> list[Column]:
     return [F.when(F.col(c) < 0, F.lit(f"{c}:negative")) for c in columns]
 
 
-def table_rules(table: Table) -> list[Column]:
-    """Every rule that needs only the row itself."""
+def table_rules(table: Table, present: list[str]) -> list[Column]:
+    """Every rule that needs only the row itself, for the columns at hand."""
+    columns = [c for c in table.columns if c.name in present]
     return (
-        not_null([c.name for c in table.columns if c.required])
-        + too_long({c.name: c.length for c in table.columns if c.length})
-        + negative([c.name for c in table.columns if c.unsigned])
+        not_null([c.name for c in columns if c.required])
+        + too_long({c.name: c.length for c in columns if c.length})
+        + negative([c.name for c in columns if c.unsigned])
     )
 
 
@@ -41,25 +43,50 @@ def tag(rows: DataFrame, rules: list[Column]) -> DataFrame:
     return rows.withColumn(REASONS, found)
 
 
-def missing_parents(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
-    """Referenced ids that no parent carries, each once.
+def references(rows: DataFrame, parents: Mapping[str, str], carry: list[str]) -> DataFrame:
+    """One row per reference held: ``(carry..., reference, parent, parentid)``. NULL refers to nothing."""
+    held = [
+        F.struct(F.lit(column).alias("reference"), F.lit(parent).alias("parent"), F.col(column).alias("parentid"))
+        for column, parent in parents.items()
+    ]
+    return rows.select(*carry, F.inline(F.array(*held))).filter(F.col("parentid").isNotNull())
+
+
+def missing_parents(rows: DataFrame, parents: Mapping[str, str], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(parent, parentid)`` of every referenced row that does not exist, each once.
 
-    Only distinct ids meet the parent table, so a parent referenced by a third of all rows
-    costs one row here, and the wide child rows are not shuffled on the reference.
+    Only distinct ids meet the parent tables, so a parent referenced by a third of all rows costs
+    one row here, and the wide child rows are not shuffled on a reference. One pass covers all
+    references of a table.
     """
-    ids = rows.select(F.col(column).alias("_ref")).filter(F.col("_ref").isNotNull()).distinct()
-    return ids.join(parents.select(F.col("id").alias("_parent")), F.col("_ref") == F.col("_parent"), "left_anti")
+    wanted = references(rows, parents, []).select("parent", "parentid").distinct()
+    known = reduce(
+        DataFrame.unionByName,
+        [tables[name].select(F.lit(name).alias("parent"), F.col("id").alias("parentid")) for name in sorted(set(parents.values()))],
+    )
+    return wanted.join(known, ["parent", "parentid"], "left_anti")
+
 
+def orphans(rows: DataFrame, parents: Mapping[str, str], tables: Mapping[str, DataFrame], key: list[str]) -> DataFrame:
+    """One row per reference to a missing parent: ``(key..., reference, parentid)``."""
+    missing = missing_parents(rows, parents, tables)
+    return references(rows, parents, key).join(missing, ["parent", "parentid"], "left_semi").select(*key, "reference", "parentid")
 
-def tag_orphans(rows: DataFrame, references: dict[str, DataFrame]) -> DataFrame:
-    """Add a reason for every reference whose parent is missing. A NULL reference is allowed."""
-    for column, parents in references.items():
-        missing = missing_parents(rows, column, parents).withColumn("_orphan", F.lit(True))
-        rows = tag(
-            rows.join(missing, F.col(column) == F.col("_ref"), "left"),
-            [F.when(F.col("_orphan"), F.lit(f"{column}:no_parent"))],
-        ).drop("_ref", "_orphan")
-    return rows
+
+def tag_orphans(rows: DataFrame, parents: Mapping[str, str], tables: Mapping[str, DataFrame], key: list[str]) -> DataFrame:
+    """Add a reason for every reference to a missing parent. Rows come one per key."""
+    if not parents:
+        return tag(rows, [])
+    found = orphans(rows, parents, tables, key)
+    reason = F.concat("reference", F.lit(":no_parent"))
+    # At most one reason per reference column of a key.
+    listed = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(F.array_sort(F.collect_set(reason)).alias("_orphan"))
+    same = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_key_{k}") for k in key])
+    tagged = rows.join(listed, same, "left")
+    if REASONS not in rows.columns:
+        tagged = tag(tagged, [])
+    every = F.concat(REASONS, F.coalesce("_orphan", F.array().cast("array<string>")))
+    return tagged.withColumn(REASONS, every).select(*dict.fromkeys([*rows.columns, REASONS]))
 
 
 def tag_moved(rows: DataFrame, stored: DataFrame, owner: str, arrived: str | None = None) -> DataFrame:
@@ -79,11 +106,11 @@ def tag_moved(rows: DataFrame, stored: DataFrame, owner: str, arrived: str | Non
     return tagged.drop("_id", "_owner")
 
 
-def check(rows: DataFrame, table: str, parents: dict[str, DataFrame]) -> DataFrame:
-    """Tag rows of a base table with its row rules and its references."""
+def check(rows: DataFrame, table: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Tag rows of a base table (one per key) with its row rules and its references."""
     spec = TABLES[table]
-    tagged = tag(rows, table_rules(spec))
-    return tag_orphans(tagged, {column: parents[parent] for column, parent in spec.parents.items()})
+    tagged = tag(rows, table_rules(spec, rows.columns))
+    return tag_orphans(tagged, spec.parents, tables, list(spec.key))
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
@@ -121,17 +148,6 @@ def duplicate_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def orphans(rows: DataFrame, references: dict[str, DataFrame], key: str = "id") -> DataFrame:
-    """One row per reference to a missing parent."""
-    found = [
-        rows.join(missing_parents(rows, column, parents), F.col(column) == F.col("_ref")).select(
-            key, F.lit(column).alias("reference"), F.col("_ref").alias("parentid")
-        )
-        for column, parents in references.items()
-    ]
-    return reduce(DataFrame.unionByName, found)
-
-
 def holes(tickets: DataFrame, audits: DataFrame) -> DataFrame:
     """Tickets without any audit."""
     audited = audits.select(F.col("ticketid").alias("_ticket")).distinct()

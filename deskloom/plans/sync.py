@@ -130,7 +130,7 @@ class Load:
         fine = accepted(tagged)
         stored = self.warehouse.read(table, self.warehouse.touched(table, fine))
         written = arrivals(stored, fine, key, spec.age)
-        self.warehouse.upsert(table, fine.select(*[c for c in fine.columns if c in spec.names]))
+        self.warehouse.upsert(table, fine.select(*[c for c in fine.columns if c in spec.names]), unique=True)
         return written
 
 

@@ -103,10 +103,11 @@ class Warehouse:
         )
         return version
 
-    def upsert(self, table: str, batch: DataFrame, order: list[str] | None = None) -> int:
+    def upsert(self, table: str, batch: DataFrame, order: list[str] | None = None, unique: bool = False) -> int:
         """Merge a batch into a table. Running it again with the same batch changes nothing.
 
-        The batch may hold several versions of a key; ``order`` ranks them after the table's age.
+        The batch may hold several versions of a key, unless it is ``unique``; ``order`` ranks them
+        after the table's age.
         A column the records never carry keeps its stored value, or takes the default in a new row.
         """
         spec = TABLES[table]
@@ -114,7 +115,10 @@ class Warehouse:
         carried = [c for c in order if c not in spec.names]
         kept = [c for c in spec.names if c not in batch.columns and c not in record_columns(spec)]
         stored = self.read(table, self.touched(table, batch))
-        incoming = newest(align(batch, spec, carried), key, ([age] if age else []) + order).drop(*carried)
+        incoming = align(batch, spec, carried)
+        if not unique:
+            incoming = newest(incoming, key, ([age] if age else []) + order)
+        incoming = incoming.drop(*carried)
         rows = survivors(stored, incoming, key, age).unionByName(
             arrivals(stored, incoming, key, age, kept).select(*stored.columns)
         )
