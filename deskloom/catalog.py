@@ -351,6 +351,16 @@ def eav_pivot(desk: Desk) -> DataFrame:
     return eav.pivot(desk["ticketdata"], S.TICKET_ATTRIBUTES, "ticketid")
 
 
+@query
+def eav_pivot_one_pass(desk: Desk) -> DataFrame:
+    return eav.pivot_one_pass(desk["ticketdata"], S.TICKET_ATTRIBUTES, "ticketid")
+
+
+@query
+def eav_pivot_unique(desk: Desk) -> DataFrame:
+    return eav.pivot_unique(desk["ticketdata"], S.TICKET_ATTRIBUTES, "ticketid")
+
+
 # --- scalars ----------------------------------------------------------------------------------
 
 

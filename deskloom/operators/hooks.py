@@ -19,6 +19,12 @@ class Hooks:
     def register(self, table: str, hook: Hook) -> None:
         self._chains[table].append(hook)
 
+    def copy(self) -> Hooks:
+        other = Hooks()
+        for table, chain in self._chains.items():
+            other._chains[table] = list(chain)
+        return other
+
     def apply(self, table: str, records: DataFrame) -> DataFrame:
         """Run the chain of a table in registration order, then drop records with no key."""
         for hook in self._chains[table]:

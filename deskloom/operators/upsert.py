@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskloom.schema import RESOURCES, Table
@@ -41,12 +41,12 @@ def record_columns(table: Table) -> list[str]:
 def newest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, then by the whole row, so ties have one answer.
 
-    A grouped maximum rather than a window: it combines before the shuffle, so a key that holds
-    a third of all rows reaches the reducer as one row per task.
+    Keeping only rank 1 lets Spark cut each key to one row before the shuffle (a group limit in
+    every map task), so a key that holds a third of all rows is no hot spot.
     """
     rest = [c for c in rows.columns if c not in key and c not in order]
-    best = F.max(F.struct(*order, *rest)).alias("_best")
-    return rows.groupBy(*key).agg(best).select(*key, "_best.*").select(*rows.columns)
+    ranked = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in (order + rest) or key])
+    return rows.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def _same_key(key: list[str]) -> Column:

@@ -260,6 +260,8 @@ def _decoded_groups(name: str) -> str:
     return f"""SELECT id, {name} AS name, 0::BIGINT AS createdat, 0::BIGINT AS updatedat FROM groups_ WHERE id > 0
         UNION ALL SELECT 0, 'UNDEFINED', -1, -1"""
 
+_PIVOT = f"SELECT t.id AS ticketid, {_attribute_columns(_T)} FROM ticket_ t {_attribute_joins('ticketdata_', _T, 't.id')}"
+
 
 ORACLES: dict[str, str] = {
     # --- sources
@@ -359,8 +361,9 @@ ORACLES: dict[str, str] = {
     "time_spent": "SELECT ticketid AS id, value FROM per_ticket_time_ WHERE ticketid IN (SELECT id FROM ticket_)",
     "time_spent_all_fields": "SELECT ticketid AS id, value FROM per_ticket_time_all_ WHERE ticketid IN (SELECT id FROM ticket_)",
     "first_change_id": "SELECT * FROM first_change_",
-    "eav_pivot": f"""
-        SELECT t.id AS ticketid, {_attribute_columns(_T)} FROM ticket_ t {_attribute_joins("ticketdata_", _T, "t.id")}""",
+    "eav_pivot": _PIVOT,
+    "eav_pivot_one_pass": _PIVOT,
+    "eav_pivot_unique": _PIVOT,
     # --- scalars
     "to_epoch": f"""
         SELECT event_id, CASE event_type WHEN 'purchase' THEN {_epoch("ts")} WHEN 'signup' THEN {_epoch("ts")} ELSE 0 END::BIGINT

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.operators.flatten import audits_with, change_events, flatten_list, flatten_map, index_keys, index_titles
-from deskloom.operators.hooks import Hooks
+from deskloom.operators.hooks import Hook, Hooks
 from deskloom.operators.quality import accepted, check, quarantined, route_counts, tag_moved
 from deskloom.operators.upsert import arrivals, newest
 from deskloom.schema import TABLES
@@ -48,17 +48,19 @@ OFFSET_TABLES = ["organization", "user", "ticket", "satisfactionrating"]
 class Load:
     """One load of a set of pages.
 
-    Everything that is read more than once is first written under the warehouse: raw records
-    once per page set, tagged rows once per table. No lineage reaches back past those files.
+    Everything that is read more than once is first written under the warehouse: raw records once
+    per load, then per table the decoded records and the checked rows. No lineage reaches back past
+    those files. Tables that nothing landed for are left alone.
     """
 
     def __init__(self, warehouse: Warehouse, label: str, hooks: Hooks | None = None, titles=AUDIT_TITLES) -> None:
         self.warehouse = warehouse
         self.spark = warehouse.spark
         self.label = label
-        self.hooks = hooks or Hooks()
+        self.hooks = hooks.copy() if hooks else Hooks()
         self.titles = titles
         self.reports: list[DataFrame] = []
+        self.letters: list[DataFrame] = []
 
     def _stage(self, name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
         folder = f"{self.warehouse.root}/staging/{self.label}/{name}"
@@ -69,69 +71,76 @@ class Load:
     def run(self, pages: DataFrame) -> DataFrame:
         """Load all tables; returns rows read, accepted and quarantined per table."""
         pages = loadable(pages)
+        self.letters.append(rejected_pages(pages))
         self.records = self._stage("records", split_records(pages), by="table")
-        self.warehouse.quarantine(rejected_pages(pages), f"{self.label}/pages")
+        self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
 
         for table in ("ticketfields", "organizationfields", "userfields", "groups"):
             self._load_resource(table)
         definitions = self.warehouse.read("ticketfields")
 
-        organizations = self._load_resource("organization")
         keys = index_keys(self.warehouse.read("organizationfields"))
-        self._load_rows("organizationdata", flatten_map(organizations, keys, "organization_fields"))
-
-        users = self._load_resource("user")
+        self._load_parts("organization", "organizationdata", lambda o: flatten_map(o, keys, "organization_fields"))
         keys = index_keys(self.warehouse.read("userfields"))
-        self._load_rows("userdata", flatten_map(users, keys, "user_fields"))
-
-        tickets = self._load_resource("ticket")
-        self._load_rows("ticketdata", flatten_list(tickets, index_titles(definitions)))
+        self._load_parts("user", "userdata", lambda u: flatten_map(u, keys, "user_fields"))
+        self._load_parts("ticket", "ticketdata", lambda t: flatten_list(t, index_titles(definitions)))
 
         self._load_resource("satisfactionrating")
 
-        audits = self._load_resource("audit", only_kept=definitions)
-        self._load_rows("changeevent", change_events(audits, definitions, self.titles))
+        self.hooks.register("audit", lambda a: audits_with(a, change_events(a, definitions, self.titles)))
+        self._load_parts("audit", "changeevent", lambda a: change_events(a, definitions, self.titles))
         self._load_resource("ticketmetric")
 
+        self.warehouse.quarantine(reduce(DataFrame.unionByName, self.letters), self.label)
         self.warehouse.save_offsets(OFFSET_TABLES)
-        return reduce(DataFrame.unionByName, self.reports)
+        return reduce(DataFrame.unionByName, self.reports) if self.reports else no_report(self.spark)
+
+    def _load_parts(self, table: str, part: str, flatten: Hook) -> None:
+        """Load a resource, then the rows flattened out of what was stored of it."""
+        written = self._load_resource(table)
+        if written is not None:
+            self._store(part, newest(flatten(written), list(TABLES[part].key), []))
 
-    def _load_resource(self, table: str, only_kept: DataFrame | None = None) -> DataFrame:
+    def _load_resource(self, table: str) -> DataFrame | None:
         """Decode, transform, check and store one resource.
 
         Returns the stored records with their embedded members, so that what is flattened out of
         them belongs to accepted, current parents only.
         """
+        if table not in self.landed:
+            return None
         spec = TABLES[table]
-        decoded = decode_records(self.records.filter(F.col("table") == table), table)
-        self.warehouse.quarantine(rejected_records(decoded, table), f"{self.label}/{table}-records")
+        records = decode_records(self.records.filter(F.col("table") == table), table)
+        # The raw text is only needed where a record could not be read.
+        raw = F.when(F.col("problem").isNotNull(), F.col("record"))
+        decoded = self._stage(f"{table}-decoded", records.withColumn("record", raw))
+        self.letters.append(rejected_records(decoded, table))
         rows = self.hooks.apply(table, good(decoded))
-        if only_kept is not None:
-            rows = audits_with(rows, change_events(rows, only_kept, self.titles))
         order = ([spec.age] if spec.age else []) + ["fetched_at"]
-        rows = newest(rows, list(spec.key), order)
-        return self._store(table, rows)
+        return self._store(table, newest(rows, list(spec.key), order))
 
-    def _load_rows(self, table: str, rows: DataFrame) -> DataFrame:
-        return self._store(table, newest(rows, list(TABLES[table].key), []))
-
-    def _store(self, table: str, rows: DataFrame) -> DataFrame:
+    def _store(self, table: str, rows: DataFrame) -> DataFrame | None:
         """Check rows (one per key), set bad ones aside, write the others; returns what was written."""
         spec = TABLES[table]
-        key = list(spec.key)
-        parents = {p: self.warehouse.read(p) for p in set(spec.parents.values())}
-        tagged = check(rows, table, parents)
+        tagged = check(rows, table, {p: self.warehouse.read(p) for p in set(spec.parents.values())})
         if spec.owner:
+            # An id is stored in the slice it falls into, whoever owns it.
             stored = self.warehouse.read(table, self.warehouse.touched(table, rows))
             tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in rows.columns else None)
         tagged = self._stage(table, tagged)
-        self.warehouse.quarantine(quarantined(tagged, table), f"{self.label}/{table}")
+        self.letters.append(quarantined(tagged, table))
         self.reports.append(route_counts(tagged, table))
         fine = accepted(tagged)
-        stored = self.warehouse.read(table, self.warehouse.touched(table, fine))
-        written = arrivals(stored, fine, key, spec.age)
-        self.warehouse.upsert(table, fine.select(*[c for c in fine.columns if c in spec.names]), unique=True)
-        return written
+        slices = self.warehouse.touched(table, fine)
+        if not slices:
+            return None
+        stored = self.warehouse.read(table, slices)
+        self.warehouse.apply(table, fine.select(*[c for c in fine.columns if c in spec.names]), stored)
+        return arrivals(stored, fine, list(spec.key), spec.age)
+
+
+def no_report(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "table string, read long, accepted long, quarantined long")
 
 
 def run_sync(spark: SparkSession, landing: str, warehouse: str, label: str = "sync", hooks: Hooks | None = None) -> DataFrame:

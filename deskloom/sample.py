@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from deskloom import settings as S
 from deskloom.functions.scalars import to_rfc3339
-from deskloom.operators.flatten import audits_with, change_events
+from deskloom.operators.flatten import keep_events
 from deskloom.operators.upsert import align
 from deskloom.rows import literal_rows, with_seed
 from deskloom.schema import RESOURCES, TABLES
@@ -59,12 +59,12 @@ def text_tail(prefix: str, column: str | Column) -> Column:
 
 
 def _entries(*pairs: tuple[int, Column, Column | None]) -> Column:
-    """Attribute entries ``(id, value)``; one whose condition fails is left out."""
+    """Attribute entries ``(id, value)``; one whose condition fails is NULL."""
     made = []
     for number, value, condition in pairs:
         entry = F.struct(F.lit(number).cast("bigint").alias("id"), value.alias("value"))
         made.append(entry if condition is None else F.when(condition, entry))
-    return F.array_compact(F.array(*made))
+    return F.array(*made)
 
 
 def _map_of(*pairs: tuple[str, Column, Column | None]) -> Column:
@@ -233,13 +233,18 @@ class Desk(Mapping):
             _n(F.lit(0)).alias("groupid"),
             created.alias("createdat"),
             (created + key % 48 * 3600).alias("updatedat"),
-            _entries(
-                (101, F.col("o_orderpriority"), None),
-                (102, text_tail("component-", key % 7), key % 11 != 0),
-                (103, text_tail("cause-", key % 5), None),
-                (104, text_tail("v", key % 4), None),
-                (105, F.when(key % 3 == 0, "true").otherwise("false"), None),
-            ).alias("custom_fields"),
+            F.array_compact(self._ticket_entries).alias("custom_fields"),
+        )
+
+    @property
+    def _ticket_entries(self) -> Column:
+        key = F.col("o_orderkey")
+        return _entries(
+            (101, F.col("o_orderpriority"), None),
+            (102, text_tail("component-", key % 7), key % 11 != 0),
+            (103, text_tail("cause-", key % 5), None),
+            (104, text_tail("v", key % 4), None),
+            (105, F.when(key % 3 == 0, "true").otherwise("false"), None),
         )
 
     @cached_property
@@ -249,7 +254,11 @@ class Desk(Mapping):
     @cached_property
     def _ticketdata(self) -> DataFrame:
         titles = F.create_map(*[F.lit(v) for pair in TICKET_FIELDS.items() for v in pair])
-        return self.ticket_records.select(F.col("id").alias("objectid"), F.inline("custom_fields")).select(
+        # The outer form adds no filter that would build the entries a second time.
+        entries = self.source("orders").select(
+            (F.col("o_orderkey") + 1).alias("objectid"), F.inline_outer(self._ticket_entries)
+        )
+        return entries.filter(F.col("id").isNotNull()).select(
             "objectid", "id", titles[F.col("id").cast("int")].alias("title"), "value", F.lit("").alias("transformed")
         )
 
@@ -290,12 +299,13 @@ class Desk(Mapping):
 
     @cached_property
     def _changeevent(self) -> DataFrame:
-        return change_events(self.audit_records, self["ticketfields"])
+        return keep_events(self.raw_events, self["ticketfields"]).select(*TABLES["changeevent"].names)
 
     @cached_property
     def _audit(self) -> DataFrame:
-        kept = audits_with(self.audit_records, self["changeevent"])
-        return kept.select(*TABLES["audit"].names)
+        """Audits with a kept event; each audit has one event, so keeping the event keeps the audit."""
+        kept = keep_events(self.raw_events, self["ticketfields"])
+        return kept.select(F.col("auditid").alias("id"), "ticketid", "createdat", "authorid")
 
     # --- metrics and ratings ---
 

@@ -31,7 +31,8 @@ class Table:
 
     ``age`` orders versions of one key. ``owner`` names the part of the key that is fixed for
     an ``id``: an id seen again under another owner is refused. ``slice_by`` is the numeric
-    column whose ranges the stored files are grouped by, ``slice_rows`` the width of a range.
+    column whose ranges the stored files are grouped by, ``slice_rows`` the width of a range, and
+    ``sort_by`` the order of rows in a file (the key, unless named), so that filters skip row groups.
     """
 
     name: str
@@ -42,6 +43,7 @@ class Table:
     parents: dict[str, str] = field(default_factory=dict)
     slice_by: str | None = "id"
     slice_rows: int = 1_000_000
+    sort_by: tuple[str, ...] = ()
     seed: dict[str, object] | None = None
 
     @property
@@ -93,6 +95,7 @@ def _attributes(name: str, parent: str, length: int) -> Table:
         key=("objectid", "id", "title"),
         parents={"objectid": parent},
         slice_by="objectid",
+        sort_by=("title", "objectid"),
     )
 
 

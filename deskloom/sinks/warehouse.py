@@ -97,40 +97,45 @@ class Warehouse:
             align(rows, spec)
             .withColumn(SLICE, slice_of(spec))
             .hint("rebalance", SLICE)
+            .sortWithinPartitions(SLICE, *(spec.sort_by or spec.key))
             .write.mode("overwrite")
             .partitionBy(SLICE)
             .parquet(f"{self.root}/{table}/version={version}")
         )
         return version
 
-    def upsert(self, table: str, batch: DataFrame, order: list[str] | None = None, unique: bool = False) -> int:
+    def upsert(self, table: str, batch: DataFrame, order: list[str] | None = None) -> None:
         """Merge a batch into a table. Running it again with the same batch changes nothing.
 
-        The batch may hold several versions of a key, unless it is ``unique``; ``order`` ranks them
-        after the table's age.
+        The batch may hold several versions of a key; ``order`` ranks them after the table's age.
+        """
+        spec, order = TABLES[table], order or []
+        extra = [c for c in order if c not in spec.names]
+        present = [c.name for c in spec.columns if c.name in batch.columns]
+        slices = self.touched(table, batch)
+        if slices:
+            ranked = newest(batch.select(*present, *extra), list(spec.key), ([spec.age] if spec.age else []) + order)
+            self.apply(table, ranked.select(*present), self.read(table, slices))
+
+    def apply(self, table: str, incoming: DataFrame, stored: DataFrame) -> None:
+        """Write stored slices with incoming rows (one per key) merged in.
+
         A column the records never carry keeps its stored value, or takes the default in a new row.
         """
         spec = TABLES[table]
-        key, age, order = list(spec.key), spec.age, order or []
-        carried = [c for c in order if c not in spec.names]
-        kept = [c for c in spec.names if c not in batch.columns and c not in record_columns(spec)]
-        stored = self.read(table, self.touched(table, batch))
-        incoming = align(batch, spec, carried)
-        if not unique:
-            incoming = newest(incoming, key, ([age] if age else []) + order)
-        incoming = incoming.drop(*carried)
-        rows = survivors(stored, incoming, key, age).unionByName(
-            arrivals(stored, incoming, key, age, kept).select(*stored.columns)
-        )
-        return self.write(table, rows)
+        key = list(spec.key)
+        kept = [c for c in spec.names if c not in incoming.columns and c not in record_columns(spec)]
+        rows = align(incoming, spec)
+        written = arrivals(stored, rows, key, spec.age, kept).select(*stored.columns)
+        self.write(table, survivors(stored, rows, key, spec.age).unionByName(written))
 
     def offset(self, table: str) -> DataFrame:
         """One row: the newest ``updatedat`` stored, 0 for an empty table."""
         return fetch_offset(self.read(table))
 
-    def save_offsets(self, tables: list[str]) -> int:
+    def save_offsets(self, tables: list[str]) -> None:
         """Record the offset of each table in the offset table."""
-        return self.upsert("sequencetable", offsets({t: self.read(t) for t in tables}))
+        self.upsert("sequencetable", offsets({t: self.read(t) for t in tables}))
 
     # --- dead letters ---
 

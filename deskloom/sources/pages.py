@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.functions.scalars import calendar_minutes, is_bad_time, to_epoch
+from deskloom.operators.upsert import newest
 from deskloom.rows import literal_rows
 from deskloom.schema import MEMBERS, PAGE, RESOURCES
 from deskloom.settings import API_PATH, FULL_PAGE
@@ -168,14 +169,8 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(decoded: DataFrame) -> DataFrame:
-    """Newest version of each ``id`` over all snapshots that were landed.
-
-    The whole record takes part in the comparison, so equal fetch times still give one answer,
-    and the grouping combines before the shuffle.
-    """
-    rest = [c for c in decoded.columns if c not in ("id", "fetched_at")]
-    newest = F.max(F.struct("fetched_at", *rest)).alias("_newest")
-    return decoded.groupBy("id").agg(newest).select("id", "_newest.*").select(*decoded.columns)
+    """Newest version of each ``id`` over all snapshots that were landed."""
+    return newest(decoded, ["id"], ["fetched_at"])
 
 
 def since(records: DataFrame, offset: Column | int) -> DataFrame:
