@@ -22,7 +22,7 @@ from deskloom.sources.pages import (
     read_pages,
     rejected_pages,
     rejected_records,
-    split_records,
+    split_pages,
 )
 
 # Parents come before children: a reference is checked against rows that are already committed.
@@ -70,9 +70,8 @@ class Load:
 
     def run(self, pages: DataFrame) -> DataFrame:
         """Load all tables; returns rows read, accepted and quarantined per table."""
-        pages = loadable(pages)
-        self.letters.append(rejected_pages(pages))
-        self.records = self._stage("records", split_records(pages), by="table")
+        self.records = self._stage("records", split_pages(loadable(pages)), by="table")
+        self.letters.append(rejected_pages(self.records))
         self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
 
         for table in ("ticketfields", "organizationfields", "userfields", "groups"):
@@ -92,14 +91,17 @@ class Load:
         self._load_resource("ticketmetric")
 
         self.warehouse.quarantine(reduce(DataFrame.unionByName, self.letters), self.label)
-        self.warehouse.save_offsets(OFFSET_TABLES)
-        return reduce(DataFrame.unionByName, self.reports) if self.reports else no_report(self.spark)
+        if self.reports:
+            self.warehouse.save_report(reduce(DataFrame.unionByName, self.reports), self.label)
+            self.warehouse.save_offsets(OFFSET_TABLES)
+        self.warehouse.drop(f"staging/{self.label}")
+        return self.warehouse.report(self.label)
 
     def _load_parts(self, table: str, part: str, flatten: Hook) -> None:
         """Load a resource, then the rows flattened out of what was stored of it."""
         written = self._load_resource(table)
         if written is not None:
-            self._store(part, newest(flatten(written), list(TABLES[part].key), []))
+            self._store(part, flatten(written), [])
 
     def _load_resource(self, table: str) -> DataFrame | None:
         """Decode, transform, check and store one resource.
@@ -109,40 +111,37 @@ class Load:
         """
         if table not in self.landed:
             return None
-        spec = TABLES[table]
         records = decode_records(self.records.filter(F.col("table") == table), table)
         # The raw text is only needed where a record could not be read.
         raw = F.when(F.col("problem").isNotNull(), F.col("record"))
         decoded = self._stage(f"{table}-decoded", records.withColumn("record", raw))
         self.letters.append(rejected_records(decoded, table))
         rows = self.hooks.apply(table, good(decoded))
-        order = ([spec.age] if spec.age else []) + ["fetched_at"]
-        return self._store(table, newest(rows, list(spec.key), order))
+        spec = TABLES[table]
+        return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"])
 
-    def _store(self, table: str, rows: DataFrame) -> DataFrame | None:
-        """Check rows (one per key), set bad ones aside, write the others; returns what was written."""
+    def _store(self, table: str, rows: DataFrame, order: list[str]) -> DataFrame | None:
+        """Check the newest row of each key, set bad ones aside, write the others; returns those.
+
+        Of the table itself and of its parents only the slices that the rows touch are read.
+        """
         spec = TABLES[table]
-        tagged = check(rows, table, {p: self.warehouse.read(p) for p in set(spec.parents.values())})
+        slices = self.warehouse.touched(table, rows, spec.parents)
+        if not slices[table]:
+            return None
+        stored = self.warehouse.read(table, slices[table])
+        parents = {p: self.warehouse.read(p, slices[p]) for p in set(spec.parents.values())}
+        tagged = check(newest(rows, list(spec.key), order), table, parents)
         if spec.owner:
-            # An id is stored in the slice it falls into, whoever owns it.
-            stored = self.warehouse.read(table, self.warehouse.touched(table, rows))
-            tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in rows.columns else None)
+            tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in order else None)
         tagged = self._stage(table, tagged)
         self.letters.append(quarantined(tagged, table))
         self.reports.append(route_counts(tagged, table))
         fine = accepted(tagged)
-        slices = self.warehouse.touched(table, fine)
-        if not slices:
-            return None
-        stored = self.warehouse.read(table, slices)
         self.warehouse.apply(table, fine.select(*[c for c in fine.columns if c in spec.names]), stored)
         return arrivals(stored, fine, list(spec.key), spec.age)
 
 
-def no_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "table string, read long, accepted long, quarantined long")
-
-
 def run_sync(spark: SparkSession, landing: str, warehouse: str, label: str = "sync", hooks: Hooks | None = None) -> DataFrame:
     """Load every page of a landing folder into the base tables of a warehouse folder."""
     configure(spark)

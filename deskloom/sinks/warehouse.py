@@ -12,6 +12,7 @@ a frame that reads an older version stays valid while a newer one is written.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +24,15 @@ from deskloom.rows import with_seed
 from deskloom.schema import TABLES, Table
 
 SLICE = "slice"
+LETTER = "resource string, key string, reason string, payload string"
+REPORT = "table string, read long, accepted long, quarantined long"
 
 
-def slice_of(spec: Table) -> Column:
+def slice_of(spec: Table, column: str | None = None) -> Column:
+    """Slice of a row, by the table's slicing id or by another column that holds one."""
     if spec.slice_by is None:
         return F.lit(0).cast("bigint")
-    return F.floor(F.col(spec.slice_by) / spec.slice_rows)
+    return F.floor(F.col(column or spec.slice_by) / spec.slice_rows)
 
 
 class Warehouse:
@@ -40,11 +44,26 @@ class Warehouse:
 
     # --- folders ---
 
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _found(self, pattern: str) -> list[str]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(pattern)
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return [status.getPath().toString() for status in found or []]
+        path, files = self._path(pattern)
+        return [status.getPath().toString() for status in files.globStatus(path) or []]
+
+    def drop(self, folder: str) -> None:
+        """Delete a folder below the root."""
+        path, files = self._path(f"{self.root}/{folder}")
+        files.delete(path, True)
+
+    def vacuum(self, table: str) -> list[int]:
+        """Delete the versions that hold no current slice; for when no reader uses them any more."""
+        current = {folder.rsplit("/", 2)[1] for folder in self._slices(table).values()}
+        unused = [v for v in self.versions(table)[:-1] if f"version={v}" not in current]
+        for version in unused:
+            self.drop(f"{table}/version={version}")
+        return unused
 
     def versions(self, table: str) -> list[int]:
         """Committed versions, oldest first."""
@@ -81,13 +100,23 @@ class Warehouse:
             .select(*spec.names)
         )
 
-    def touched(self, table: str, rows: DataFrame) -> list[int]:
-        """Slices a batch falls into: one number per id range, not per row."""
+    def touched(self, table: str, rows: DataFrame, parents: Mapping[str, str] | None = None) -> dict[str, list[int]]:
+        """Slices a batch falls into, of its own table and of the tables it refers to.
+
+        ``parents`` maps reference columns to tables. One pass; what comes to the driver is one
+        number per id range, not per row.
+        """
         spec = TABLES[table]
-        found = [r[0] for r in rows.select(slice_of(spec).alias(SLICE)).distinct().collect()]
-        if spec.seed is not None and not self.versions(table):
-            found.append(0)
-        return sorted({k for k in found if k is not None})
+        held = [F.struct(F.lit(table).alias("table"), slice_of(spec).alias(SLICE))]
+        for column, parent in (parents or {}).items():
+            held.append(F.struct(F.lit(parent).alias("table"), slice_of(TABLES[parent], column).alias(SLICE)))
+        found = rows.select(F.inline(F.array(*held))).filter(F.col(SLICE).isNotNull()).distinct().collect()
+        slices: dict[str, list[int]] = {name: [] for name in [table, *(parents or {}).values()]}
+        for row in found:
+            slices[row["table"]].append(row[SLICE])
+        if slices[table] and spec.seed is not None and 0 not in slices[table] and not self.versions(table):
+            slices[table].append(0)
+        return slices
 
     def write(self, table: str, rows: DataFrame) -> int:
         """Commit rows, which must be the whole content of every slice they fall into."""
@@ -112,7 +141,7 @@ class Warehouse:
         spec, order = TABLES[table], order or []
         extra = [c for c in order if c not in spec.names]
         present = [c.name for c in spec.columns if c.name in batch.columns]
-        slices = self.touched(table, batch)
+        slices = self.touched(table, batch)[table]
         if slices:
             ranked = newest(batch.select(*present, *extra), list(spec.key), ([spec.age] if spec.age else []) + order)
             self.apply(table, ranked.select(*present), self.read(table, slices))
@@ -137,18 +166,27 @@ class Warehouse:
         """Record the offset of each table in the offset table."""
         self.upsert("sequencetable", offsets({t: self.read(t) for t in tables}))
 
-    # --- dead letters ---
+    # --- dead letters and reports; the label names the load, so a replay replaces its own ---
 
     def quarantine(self, letters: DataFrame, label: str) -> None:
-        """Set bad records aside. The label names the load, so a replay replaces its own."""
+        """Set bad records aside."""
         letters.write.mode("overwrite").parquet(f"{self.root}/quarantine/{label}")
 
     def quarantined(self) -> DataFrame:
         """All dead letters of all loads."""
-        letters = "resource string, key string, reason string, payload string"
-        if not self._found(f"{self.root}/quarantine/*/_SUCCESS"):
-            return self.spark.createDataFrame([], letters)
-        return self.spark.read.schema(letters).parquet(f"{self.root}/quarantine/*")
+        return self._read_all("quarantine/*", LETTER)
+
+    def save_report(self, report: DataFrame, label: str) -> None:
+        report.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/reports/{label}")
+
+    def report(self, label: str = "*") -> DataFrame:
+        """Rows read, accepted and quarantined per table, of one load or of all."""
+        return self._read_all(f"reports/{label}", REPORT)
+
+    def _read_all(self, folder: str, columns: str) -> DataFrame:
+        if not self._found(f"{self.root}/{folder}/_SUCCESS"):
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(f"{self.root}/{folder}")
 
 
 def fetch_offset(rows: DataFrame) -> DataFrame:

@@ -83,19 +83,45 @@ def _member(kind: str, value: Column) -> Column:
     return value
 
 
-def split_records(pages: DataFrame) -> DataFrame:
-    """One raw record per row, with the base table it belongs to: pages are parsed once for all."""
+REJECTED = "rejected"
+
+
+def split_pages(pages: DataFrame) -> DataFrame:
+    """One raw record per row, with the base table it belongs to: a page is parsed once for all tables.
+
+    A page that yields no records at all comes as one row of the table :data:`REJECTED`, with its
+    body as the record and the reason as ``problem``.
+    """
     table = F.create_map(*[F.lit(v) for pair in sorted(MEMBERS.items()) for v in pair])
+    unreadable = (F.col("payload") != "null") & F.col("_list").isNull()
     return (
         scan_envelope(pages)
-        .filter(F.col("resource").isNotNull())
-        .select(table[F.col("resource")].alias("table"), "fetched_at", F.explode(payload_records(F.col("payload"))).alias("record"))
+        .withColumn("_list", payload_records(F.col("payload")))
+        .withColumn(
+            "problem",
+            F.when(F.col("resource").isNull(), F.lit("unknown_resource")).when(unreadable, F.lit("bad_payload")),
+        )
+        .select(
+            F.when(F.col("problem").isNull(), table[F.col("resource")]).otherwise(F.lit(REJECTED)).alias("table"),
+            "fetched_at",
+            F.when(F.col("problem").isNotNull(), F.col("url")).alias("url"),
+            F.coalesce("resource", F.lit("")).alias("resource"),
+            "problem",
+            F.explode(F.when(F.col("problem").isNull(), F.col("_list")).otherwise(F.array("body"))).alias("record"),
+        )
+    )
+
+
+def rejected_pages(split: DataFrame) -> DataFrame:
+    """The pages that yielded no records, as dead letters."""
+    return split.filter(F.col("table") == REJECTED).select(
+        "resource", F.col("url").alias("key"), F.col("problem").alias("reason"), F.col("record").alias("payload")
     )
 
 
 def decode(pages: DataFrame, table: str) -> DataFrame:
     """Typed records of one resource, straight from pages."""
-    return decode_records(split_records(pages).filter(F.col("table") == table), table)
+    return decode_records(split_pages(pages).filter(F.col("table") == table), table)
 
 
 def decode_records(records: DataFrame, table: str) -> DataFrame:
@@ -106,7 +132,7 @@ def decode_records(records: DataFrame, table: str) -> DataFrame:
     values: 0, empty text, false. Embedded maps come as sorted key/value lists.
     """
     resource = RESOURCES[table]
-    parsed = records.withColumn(
+    parsed = records.select("fetched_at", "record").withColumn(
         "_r",
         F.from_json(
             "record",
@@ -147,24 +173,6 @@ def rejected_records(decoded: DataFrame, table: str) -> DataFrame:
     )
 
 
-def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages that yield no records at all, as dead letters."""
-    payload = F.col("payload")
-    unreadable = (payload != "null") & payload_records(payload).isNull()
-    reason = F.when(F.col("resource").isNull(), F.lit("unknown_resource")).when(unreadable, F.lit("bad_payload"))
-    return (
-        scan_envelope(pages)
-        .withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select(
-            F.coalesce("resource", F.lit("")).alias("resource"),
-            F.col("url").alias("key"),
-            "reason",
-            F.col("body").alias("payload"),
-        )
-    )
-
-
 # --- source modes -----------------------------------------------------------------------------
 
 

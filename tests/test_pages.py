@@ -76,7 +76,7 @@ def test_bad_record_does_not_take_its_page_along(spark):
 
 def test_rejected_pages(spark):
     pages = landed(spark, {"tickets": [{"id": 1}]}, "no json", {"surprise": 1}, {"tickets": 5}, {"tickets": None})
-    assert rows_of(p.rejected_pages(pages), "resource", "reason", "payload") == [
+    assert rows_of(p.rejected_pages(p.split_pages(pages)), "resource", "reason", "payload") == [
         ("", "unknown_resource", "no json"),
         ("", "unknown_resource", '{"surprise": 1}'),
         ("tickets", "bad_payload", '{"tickets": 5}'),
