@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,21 +77,29 @@ class Load:
         self.letters.append(rejected_pages(self.records))
         self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
 
-        for table in ("ticketfields", "organizationfields", "userfields", "groups"):
-            self._load_resource(table)
+        # Tables of one step do not refer to each other; their jobs share the cluster.
+        roots = ("ticketfields", "organizationfields", "userfields", "groups", "ticketmetric")
+        self._together(*[partial(self._load_resource, table) for table in roots])
         definitions = self.warehouse.read("ticketfields")
-
-        keys = index_keys(self.warehouse.read("organizationfields"))
-        self._load_parts("organization", "organizationdata", lambda o: flatten_map(o, keys, "organization_fields"))
-        keys = index_keys(self.warehouse.read("userfields"))
-        self._load_parts("user", "userdata", lambda u: flatten_map(u, keys, "user_fields"))
-        self._load_parts("ticket", "ticketdata", lambda t: flatten_list(t, index_titles(definitions)))
-
-        self._load_resource("satisfactionrating")
-
+        organization_keys = index_keys(self.warehouse.read("organizationfields"))
+        user_keys = index_keys(self.warehouse.read("userfields"))
         self.hooks.register("audit", lambda a: audits_with(a, change_events(a, definitions, self.titles)))
-        self._load_parts("audit", "changeevent", lambda a: change_events(a, definitions, self.titles))
-        self._load_resource("ticketmetric")
+
+        organizations = self._load_resource("organization")
+        users, _ = self._together(
+            partial(self._load_resource, "user"),
+            partial(self._load_part, "organizationdata", organizations, partial(flatten_map, keys=organization_keys, members="organization_fields")),
+        )
+        tickets, _ = self._together(
+            partial(self._load_resource, "ticket"),
+            partial(self._load_part, "userdata", users, partial(flatten_map, keys=user_keys, members="user_fields")),
+        )
+        audits, *_ = self._together(
+            partial(self._load_resource, "audit"),
+            partial(self._load_part, "ticketdata", tickets, partial(flatten_list, titles=index_titles(definitions))),
+            partial(self._load_resource, "satisfactionrating"),
+        )
+        self._load_part("changeevent", audits, partial(change_events, definitions=definitions, titles=self.titles))
 
         self.warehouse.quarantine(reduce(DataFrame.unionByName, self.letters), self.label)
         if self.reports:
@@ -97,11 +108,15 @@ class Load:
         self.warehouse.drop(f"staging/{self.label}")
         return self.warehouse.report(self.label)
 
-    def _load_parts(self, table: str, part: str, flatten: Hook) -> None:
-        """Load a resource, then the rows flattened out of what was stored of it."""
-        written = self._load_resource(table)
-        if written is not None:
-            self._store(part, flatten(written), [])
+    def _together(self, *steps: Callable[[], DataFrame | None]) -> list[DataFrame | None]:
+        """Run independent steps at the same time, each submitting its own jobs; all must succeed."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            return [f.result() for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]]
+
+    def _load_part(self, table: str, records: DataFrame | None, flatten: Hook) -> None:
+        """Store the rows flattened out of what was stored of a resource, if anything was."""
+        if records is not None:
+            self._store(table, flatten(records), [])
 
     def _load_resource(self, table: str) -> DataFrame | None:
         """Decode, transform, check and store one resource.
