@@ -24,19 +24,37 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(PAGE).json(folder)
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column whose value is computed once per row.
+
+    As the output of a generator it is a barrier for the optimizer, which otherwise pushes later
+    filters below the column and so parses the same JSON again for every use in a condition.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 # --- envelope ---------------------------------------------------------------------------------
 
 
+def _members(body: Column) -> Column:
+    """Every member of a page, as text."""
+    return F.from_json(body, "map<string,string>")
+
+
+def _resource(members: Column) -> Column:
+    """The known member of a page, the last one if it carries several."""
+    known = F.array(*[F.lit(name) for name in sorted(MEMBERS)])
+    return F.try_element_at(F.array_intersect(F.map_keys(members), known), F.lit(-1))
+
+
 def scan_envelope(pages: DataFrame) -> DataFrame:
     """Split each page into resource member, payload text, record count and page links.
 
     ``resource`` is NULL where the body is not JSON or carries no known member.
     """
-    members = F.from_json("body", "map<string,string>")
-    known = F.array(*[F.lit(name) for name in sorted(MEMBERS)])
     return (
-        pages.withColumn("_members", members)
-        .withColumn("resource", F.try_element_at(F.array_intersect(F.map_keys("_members"), known), F.lit(-1)))
+        once(pages, "_members", _members(F.col("body")))
+        .withColumn("resource", _resource(F.col("_members")))
         .select(
             *pages.columns,
             "resource",
@@ -56,10 +74,10 @@ def payload_records(payload: Column) -> Column:
 
 def page_counts(pages: DataFrame) -> DataFrame:
     """Announced against actual number of records, for pages where the two differ."""
-    actual = F.coalesce(F.size(payload_records(F.col("payload"))), F.lit(0)).cast("bigint")
+    listed = once(scan_envelope(pages), "_list", payload_records(F.col("payload")))
+    actual = F.coalesce(F.size("_list"), F.lit(0)).cast("bigint")
     return (
-        scan_envelope(pages)
-        .select("url", "resource", F.col("count").alias("announced"), actual.alias("actual"))
+        listed.select("url", "resource", F.col("count").alias("announced"), actual.alias("actual"))
         .filter(F.col("announced") != F.col("actual"))
     )
 
@@ -86,17 +104,37 @@ def _member(kind: str, value: Column) -> Column:
 REJECTED = "rejected"
 
 
+LISTS = sorted(r.plural for r in RESOURCES.values() if r.plural)
+OBJECTS = sorted(r.singular for r in RESOURCES.values() if r.singular)
+
+
 def split_pages(pages: DataFrame) -> DataFrame:
     """One raw record per row, with the base table it belongs to: a page is parsed once for all tables.
 
-    A page that yields no records at all comes as one row of the table :data:`REJECTED`, with its
-    body as the record and the reason as ``problem``.
+    A regular page carries one known member, of the shape its name promises, and its records come
+    straight out of that parse. Any other page is taken apart member by member. One that yields no
+    records at all comes as one row of the table :data:`REJECTED`, with its body as the record and
+    the reason as ``problem``.
     """
+    shape = ", ".join([f"`{m}` array<string>" for m in LISTS] + [f"`{m}` string" for m in OBJECTS])
+    whole = F.col("_page")
+    held = {m: whole[m] for m in LISTS} | {
+        m: F.when(F.ltrim(whole[m]).startswith("{"), F.array(whole[m])) for m in OBJECTS
+    }
+    found = F.array_compact(
+        F.array(*[F.when(rows.isNotNull(), F.struct(F.lit(m).alias("resource"), rows.alias("list"))) for m, rows in held.items()])
+    )
+    regular = F.size("_found") == 1
     table = F.create_map(*[F.lit(v) for pair in sorted(MEMBERS.items()) for v in pair])
-    unreadable = (F.col("payload") != "null") & F.col("_list").isNull()
+    payload = F.col("_members")[F.col("_last")]
+    unreadable = (payload != "null") & F.col("_list").isNull()
+    pages = pages.select("url", "fetched_at", "body")
+    parsed = once(once(pages, "_page", F.from_json("body", shape)), "_found", found)
     return (
-        scan_envelope(pages)
-        .withColumn("_list", payload_records(F.col("payload")))
+        once(parsed, "_members", _members(F.when(~regular, F.col("body"))))
+        .withColumn("_last", _resource(F.col("_members")))
+        .withColumn("resource", F.when(regular, F.col("_found")[0]["resource"]).otherwise(F.col("_last")))
+        .withColumn("_list", F.when(regular, F.col("_found")[0]["list"]).otherwise(payload_records(payload)))
         .withColumn(
             "problem",
             F.when(F.col("resource").isNull(), F.lit("unknown_resource")).when(unreadable, F.lit("bad_payload")),
@@ -132,7 +170,8 @@ def decode_records(records: DataFrame, table: str) -> DataFrame:
     values: 0, empty text, false. Embedded maps come as sorted key/value lists.
     """
     resource = RESOURCES[table]
-    parsed = records.select("fetched_at", "record").withColumn(
+    parsed = once(
+        records.select("fetched_at", "record"),
         "_r",
         F.from_json(
             "record",

@@ -74,6 +74,22 @@ def test_bad_record_does_not_take_its_page_along(spark):
     ]
 
 
+def test_irregular_pages(spark):
+    pages = landed(
+        spark,
+        {"tickets": [{"id": 1}], "users": [{"id": 2}]},  # two members: the last one counts
+        {"users": [{"id": 3}], "tickets": [{"id": 4}, {"id": 5}]},
+        {"tickets": {"id": 6}},  # one object under the name of a list
+        {"ticket": [{"id": 7}, {"id": 8}]},
+        {"tickets": []},
+    )
+    split = p.split_pages(pages)
+    assert rows_of(split, "table", "record") == [
+        ("ticket", '{"id":4}'), ("ticket", '{"id":5}'), ("ticket", '{"id":6}'), ("ticket", '{"id":7}'),
+        ("ticket", '{"id":8}'), ("user", '{"id":2}'),
+    ]
+
+
 def test_rejected_pages(spark):
     pages = landed(spark, {"tickets": [{"id": 1}]}, "no json", {"surprise": 1}, {"tickets": 5}, {"tickets": None})
     assert rows_of(p.rejected_pages(p.split_pages(pages)), "resource", "reason", "payload") == [
