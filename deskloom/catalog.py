@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -643,8 +644,7 @@ QUERIES["ticket_view_basic"] = views.ticket_view_basic
 
 def _run_folder(desk: Desk) -> str:
     """A fresh folder for one run, below the one all executors share."""
-    token = desk.spark.range(1).select(F.expr("uuid()")).first()[0]
-    return f"{shared_folder(desk.spark)}/run-{token}"
+    return f"{shared_folder(desk.spark)}/run-{uuid4()}"
 
 
 def _land(rows: DataFrame, folder: str) -> str:

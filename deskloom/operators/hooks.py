@@ -19,6 +19,9 @@ class Hooks:
     def register(self, table: str, hook: Hook) -> None:
         self._chains[table].append(hook)
 
+    def __contains__(self, table: str) -> bool:
+        return bool(self._chains.get(table))
+
     def copy(self) -> Hooks:
         other = Hooks()
         for table, chain in self._chains.items():

@@ -80,12 +80,14 @@ def tag_orphans(rows: DataFrame, parents: Mapping[str, str], tables: Mapping[str
     found = orphans(rows, parents, tables, key)
     reason = F.concat("reference", F.lit(":no_parent"))
     # At most one reason per reference column of a key.
-    listed = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(F.array_sort(F.collect_set(reason)).alias("_orphan"))
+    listed = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(F.collect_set(reason).alias("_found"))
     same = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_key_{k}") for k in key])
     tagged = rows.join(listed, same, "left")
     if REASONS not in rows.columns:
         tagged = tag(tagged, [])
-    every = F.concat(REASONS, F.coalesce("_orphan", F.array().cast("array<string>")))
+    # In the order of the references, as rules are reported in the order they are declared.
+    wanted = F.array(*[F.lit(f"{column}:no_parent") for column in parents])
+    every = F.concat(REASONS, F.coalesce(F.array_intersect(wanted, "_found"), F.array().cast("array<string>")))
     return tagged.withColumn(REASONS, every).select(*dict.fromkeys([*rows.columns, REASONS]))
 
 
@@ -106,6 +108,20 @@ def tag_moved(rows: DataFrame, stored: DataFrame, owner: str, arrived: str | Non
     return tagged.drop("_id", "_owner")
 
 
+def tag_missing(rows: DataFrame, parents: Mapping[str, str], missing: DataFrame) -> DataFrame:
+    """As :func:`tag_orphans`, where the missing parents are already at hand as a stored table.
+
+    One left join per reference. The missing parents of a sound load are few, so each join
+    broadcasts them and the rows are not shuffled.
+    """
+    reasons = []
+    for i, (column, parent) in enumerate(parents.items()):
+        gone = missing.filter(F.col("parent") == parent).select(F.col("parentid").alias(f"_ref{i}"))
+        rows = rows.join(gone, F.col(column) == F.col(f"_ref{i}"), "left")
+        reasons.append(F.when(F.col(f"_ref{i}").isNotNull(), F.lit(f"{column}:no_parent")))
+    return tag(rows, reasons).drop(*[f"_ref{i}" for i in range(len(reasons))])
+
+
 def check(rows: DataFrame, table: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Tag rows of a base table (one per key) with its row rules and its references."""
     spec = TABLES[table]

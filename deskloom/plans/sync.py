@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 
 from deskloom.operators.flatten import audits_with, change_events, flatten_list, flatten_map, index_keys, index_titles
 from deskloom.operators.hooks import Hook, Hooks
-from deskloom.operators.quality import accepted, check, quarantined, route_counts, tag_moved
+from deskloom.operators.quality import (
+    accepted,
+    missing_parents,
+    quarantined,
+    route_counts,
+    table_rules,
+    tag,
+    tag_missing,
+    tag_moved,
+)
 from deskloom.operators.upsert import arrivals, newest
 from deskloom.schema import TABLES
 from deskloom.session import configure
@@ -116,7 +125,7 @@ class Load:
     def _load_part(self, table: str, records: DataFrame | None, flatten: Hook) -> None:
         """Store the rows flattened out of what was stored of a resource, if anything was."""
         if records is not None:
-            self._store(table, flatten(records), [])
+            self._store(table, flatten(records), [], {})
 
     def _load_resource(self, table: str) -> DataFrame | None:
         """Decode, transform, check and store one resource.
@@ -132,21 +141,27 @@ class Load:
         decoded = self._stage(f"{table}-decoded", records.withColumn("record", raw))
         self.letters.append(rejected_records(decoded, table))
         rows = self.hooks.apply(table, good(decoded))
+        if table in self.hooks:
+            rows = self._stage(f"{table}-hooked", rows)
         spec = TABLES[table]
-        return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"])
+        return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"], spec.parents)
 
-    def _store(self, table: str, rows: DataFrame, order: list[str]) -> DataFrame | None:
+    def _store(self, table: str, rows: DataFrame, order: list[str], parents: dict[str, str]) -> DataFrame | None:
         """Check the newest row of each key, set bad ones aside, write the others; returns those.
 
-        Of the table itself and of its parents only the slices that the rows touch are read.
+        ``parents`` are the references to check; rows flattened out of a stored record have none
+        left to check. Of the table itself and of its parents only the touched slices are read.
         """
         spec = TABLES[table]
-        slices = self.warehouse.touched(table, rows, spec.parents)
+        slices = self.warehouse.touched(table, rows, parents)
         if not slices[table]:
             return None
         stored = self.warehouse.read(table, slices[table])
-        parents = {p: self.warehouse.read(p, slices[p]) for p in set(spec.parents.values())}
-        tagged = check(newest(rows, list(spec.key), order), table, parents)
+        tagged = tag(newest(rows, list(spec.key), order), table_rules(spec, rows.columns))
+        if parents:
+            known = {p: self.warehouse.read(p, slices[p]) for p in set(parents.values())}
+            missing = self._stage(f"{table}-missing", missing_parents(rows, parents, known))
+            tagged = tag_missing(tagged, parents, missing)
         if spec.owner:
             tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in order else None)
         tagged = self._stage(table, tagged)

@@ -232,6 +232,19 @@ def children_of(children: DataFrame, changed: DataFrame, ticket: str = "ticketid
     return children.join(ids, F.col(ticket) == F.col("_changed"), "left_semi")
 
 
+def read_resource(
+    spark: SparkSession, folder: str, table: str, offset: int | None = None, changed: DataFrame | None = None
+) -> DataFrame:
+    """Good records of one resource from a landing folder.
+
+    ``offset`` keeps records changed since then, ``changed`` the children of those tickets.
+    """
+    records = good(decode(loadable(read_pages(spark, folder)), table))
+    if offset is not None:
+        records = since(records, offset)
+    return records if changed is None else children_of(records, changed)
+
+
 # --- addresses --------------------------------------------------------------------------------
 
 

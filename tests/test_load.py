@@ -13,6 +13,7 @@ from deskloom.plans.sync import LOAD_ORDER, run_sync, stored_rows
 from deskloom.plans.views import register_views, ticket_view
 from deskloom.schema import TABLES
 from deskloom.sinks.warehouse import Warehouse
+from deskloom.sources.pages import read_resource
 from deskloom.streaming.follow import follow, follow_table
 
 API = "https://desk.example.com/api/v2"
@@ -161,6 +162,14 @@ def test_tables_hold_children_of_accepted_parents_only(loaded):
         ("organization", 1704067200), ("satisfactionrating", 0), ("ticket", 1704067200), ("user", 1704067200)]
 
 
+def test_read_resource(spark, loaded):
+    landing = str(loaded[0] / "landing")
+    assert rows_of(read_resource(spark, landing, "ticket"), "id") == [(1,), (2,), (3,), (4,)]
+    assert read_resource(spark, landing, "ticket", offset=1704067201).count() == 0
+    changed = spark.createDataFrame([(1,)], "id long")
+    assert rows_of(read_resource(spark, landing, "audit", changed=changed), "id") == [(1000,), (1001,)]
+
+
 def test_staging_is_dropped(loaded):
     assert not (loaded[0] / "tables" / "staging" / "sync").exists()
 

@@ -127,6 +127,19 @@ def test_references(spark):
     ]
 
 
+def test_both_forms_of_the_reference_check_agree(spark):
+    table = TABLES["satisfactionrating"]
+    rows = spark.createDataFrame(
+        [(i, i % 4, i % 3, i % 5, i % 7, "", 0, 0, "") for i in range(40)] + [(99, None, 0, 0, 0, "", 0, 0, "")], table.struct
+    )
+    ids = {name: spark.range(0, n).select("id") for name, n in (("ticket", 5), ("user", 3), ("groups", 2))}
+    one = quality.check(rows, table.name, ids)
+    missing = quality.missing_parents(rows, table.parents, ids)
+    two = quality.tag_missing(quality.tag(rows, quality.table_rules(table, rows.columns)), table.parents, missing)
+    assert rows_of(one, "id", quality.REASONS) == rows_of(two, "id", quality.REASONS)
+    assert one.filter(F.size(quality.REASONS) > 1).count() > 0
+
+
 def test_an_id_stays_with_its_first_owner(spark):
     audit = "id long, ticketid long, createdat long, authorid long, fetched_at long"
     stored = spark.createDataFrame([(1, 10, 0, 0)], TABLES["audit"].struct)
