@@ -75,10 +75,7 @@ class Load:
         self.letters: list[DataFrame] = []
 
     def _stage(self, name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
-        folder = f"{self.warehouse.root}/staging/{self.label}/{name}"
-        writer = rows.write.mode("overwrite")
-        (writer.partitionBy(by) if by else writer).parquet(folder)
-        return self.spark.read.schema(rows.schema).parquet(folder)
+        return self.warehouse.stage(rows, f"{self.label}/{name}", by)
 
     def run(self, pages: DataFrame) -> DataFrame:
         """Load all tables; returns rows read, accepted and quarantined per table."""

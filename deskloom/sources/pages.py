@@ -245,6 +245,17 @@ def read_resource(
     return records if changed is None else children_of(records, changed)
 
 
+def pages_of(pages: DataFrame, changed: DataFrame) -> DataFrame:
+    """Child pages that can hold records of the changed tickets, told by their address before any parse.
+
+    A page whose address names no ticket is kept.
+    """
+    ids = changed.select(F.col("id").alias("_changed"))
+    ticket = F.regexp_extract("url", r"/tickets/(\d+)/[^/]*$", 1).try_cast("bigint")
+    found = pages.withColumn("_ticket", ticket).join(ids, F.col("_ticket") == F.col("_changed"), "left")
+    return found.filter(F.col("_ticket").isNull() | F.col("_changed").isNotNull()).select(*pages.columns)
+
+
 # --- addresses --------------------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from deskloom.operators.flatten import audits_with, change_events, changed_ids
@@ -19,7 +20,7 @@ from deskloom.schema import PAGE
 from deskloom.session import configure
 from deskloom.settings import AUDIT_TITLES
 from deskloom.sinks.warehouse import Warehouse
-from deskloom.sources.pages import children_of, decode, good, loadable
+from deskloom.sources.pages import children_of, decode, decode_records, good, loadable, pages_of, split_pages
 
 
 def page_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
@@ -93,15 +94,19 @@ def follow_children(
     configure(spark)
 
     def each(pages: DataFrame, batch: int) -> None:
-        target = Warehouse(pages.sparkSession, warehouse)
-        changed = changed_ids(good(decode(loadable(pages), "ticket")))
-        children = loadable(child_pages(pages.sparkSession))
-        definitions = target.read("ticketfields")
-        audits = children_of(good(decode(children, "audit")), changed)
-        events = change_events(audits, definitions, titles, ["fetched_at"])
+        target, label = Warehouse(pages.sparkSession, warehouse), f"children-{batch}"
+        changed = target.stage(changed_ids(good(decode(loadable(pages), "ticket"))), f"{label}/changed")
+        children = pages_of(loadable(child_pages(pages.sparkSession)), changed)
+        records = target.stage(split_pages(children), f"{label}/records", by="table")
+
+        def refreshed(table: str) -> DataFrame:
+            return children_of(good(decode_records(records.filter(F.col("table") == table), table)), changed)
+
+        audits = target.stage(refreshed("audit"), f"{label}/audits")
+        events = change_events(audits, target.read("ticketfields"), titles, ["fetched_at"])
         target.upsert("audit", audits_with(audits, events), ["fetched_at"])
         target.upsert("changeevent", events, ["fetched_at"])
-        metrics = children_of(good(decode(children, "ticketmetric")), changed)
-        target.upsert("ticketmetric", metrics, ["fetched_at"])
+        target.upsert("ticketmetric", refreshed("ticketmetric"), ["fetched_at"])
+        target.drop(f"staging/{label}")
 
     return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)

@@ -12,6 +12,7 @@ from deskloom.operators.hooks import Hooks
 from deskloom.plans.sync import LOAD_ORDER, run_sync, stored_rows
 from deskloom.plans.views import register_views, ticket_view
 from deskloom.schema import TABLES
+from deskloom.settings import TICKET_ATTRIBUTES, TITLE_TIME_TOTAL
 from deskloom.sinks.warehouse import Warehouse
 from deskloom.sources.pages import read_resource
 from deskloom.streaming.follow import follow, follow_table
@@ -44,7 +45,7 @@ def ticket(number, day=1, org=100, assignee=500, **more):
     return record | more
 
 
-FIELDS = ["Case Priority", "Component", "Root Cause", "Confluent/Kafka Version", "Support Bundle Used", "Total time spent (sec)"]
+FIELDS = [*TICKET_ATTRIBUTES.values(), TITLE_TIME_TOTAL]
 
 
 def base_pages():

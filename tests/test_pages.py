@@ -160,3 +160,10 @@ def test_listing_urls_start_at_the_offset(spark):
     assert urls["user"] == f"{API}/incremental/users.json?start_time=0"
     assert urls["satisfactionrating"] == f"{API}/satisfaction_ratings.json?start_time=0"
     assert urls["groups"] == f"{API}/groups.json"
+
+
+def test_child_pages_are_told_by_their_address(spark):
+    urls = [f"{API}/tickets/1/audits.json", f"{API}/tickets/2/audits.json?page=3", f"{API}/tickets/9/metrics.json", f"{API}/audits.json"]
+    pages = spark.createDataFrame([(u, 200, 0, "{}") for u in urls], PAGE)
+    kept = p.pages_of(pages, spark.createDataFrame([(2,), (9,)], "id long"))
+    assert rows_of(kept, "url") == sorted([(u,) for u in urls[1:]], key=repr)
