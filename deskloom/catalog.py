@@ -17,7 +17,7 @@ from deskloom.plans.sync import LOAD_ORDER, run_sync, stored_rows
 from deskloom.rows import with_seed
 from deskloom.sample import HOST, PAGE_ROWS, Desk, epoch, to_pages
 from deskloom.schema import TABLES
-from deskloom.session import configure, shared_folder
+from deskloom.session import configure, scale_to, shared_folder
 from deskloom.sinks import warehouse
 from deskloom.sinks.warehouse import Warehouse, offsets
 from deskloom.sources import pages
@@ -37,7 +37,11 @@ def query(fn: Query) -> Query:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: fn(Desk(configure(spark), sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            scale_to(configure(spark), sf_dir)
+            return fn(Desk(spark, sf_dir))
+
+        return run
 
     return {name: bind(fn) for name, fn in QUERIES.items()}
 
@@ -564,8 +568,12 @@ def _loaded(desk: Desk, table: str) -> DataFrame:
     spec = TABLES[table]
     rows = _decoded(desk, table)
     order = ([spec.age] if spec.age else []) + ["fetched_at"]
-    parents = {p: _parent(desk, p) for p in set(spec.parents.values())}
-    return quality.accepted(quality.check(upsert.newest(rows, list(spec.key), order), table, parents))
+    rows = upsert.newest(rows, list(spec.key), order)
+    if not spec.parents:
+        return quality.accepted(quality.check(rows, table, {}))
+    # The reference check reads the rows more than once, so the pages are decoded into a written table.
+    staged = Warehouse(desk.spark, _run_folder(desk)).stage(rows, table)
+    return quality.accepted(quality.check(staged, table, {p: _parent(desk, p) for p in set(spec.parents.values())}))
 
 
 def _parent(desk: Desk, table: str) -> DataFrame:

@@ -24,7 +24,7 @@ from deskloom.operators.quality import (
 )
 from deskloom.operators.upsert import arrivals, newest
 from deskloom.schema import TABLES
-from deskloom.session import configure
+from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
 from deskloom.sinks.warehouse import Warehouse
 from deskloom.sources.pages import (
@@ -172,6 +172,7 @@ class Load:
 def run_sync(spark: SparkSession, landing: str, warehouse: str, label: str = "sync", hooks: Hooks | None = None) -> DataFrame:
     """Load every page of a landing folder into the base tables of a warehouse folder."""
     configure(spark)
+    scale_to(spark, landing)
     return Load(Warehouse(spark, warehouse), label, hooks).run(read_pages(spark, landing))
 
 

@@ -25,12 +25,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Target size of a shuffle partition, and the most partitions a shuffle starts with. Adaptive execution
+# merges small ones afterwards, so the start may be generous; its number of blocks must not be.
+PARTITION_BYTES = 64 * 1024 * 1024
+MOST_PARTITIONS = 32_768
+
+
+def scale_to(spark: SparkSession, folder: str) -> int:
+    """Let shuffles start with enough partitions for the data under a folder; returns the number.
+
+    The session's own ``spark.sql.shuffle.partitions`` is the least.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = files.getContentSummary(path).getLength()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, min(held // PARTITION_BYTES, MOST_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     Only a local-mode session may go without one; it gets a fresh temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
