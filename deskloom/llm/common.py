@@ -27,8 +27,14 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts hold at most ``limit`` bytes together, or one row."""
+    """Slices of the batches whose texts hold at most ``limit`` bytes together, or one row.
+
+    By a column of another kind, the batches as they are: they are bounded in rows.
+    """
     for batch in batches:
+        if not pa.types.is_string(batch.column(column).type):
+            yield batch
+            continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
@@ -47,7 +53,8 @@ def add_columns(
     inputs: tuple = ("text",),
     drop: tuple = (),
 ) -> DataFrame:
-    """``df`` with columns computed in Arrow batches from the columns ``inputs``, the first of them text.
+    """``df`` with columns computed in Arrow batches from the columns ``inputs``, the first of which, if text, bounds
+    what is handled at once.
 
     ``make`` runs once per task; the function it returns takes a list per input (None: null) and returns
     lists by field name. Columns of ``df`` named like a field in any case are replaced; ``drop`` go.

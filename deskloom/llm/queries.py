@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deskloom.llm import fertility
+from deskloom.llm import fertility, mixing, neardup, packing, secrets, sharding, tokencount
 from deskloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +17,37 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure_quality(documents(spark, sf_dir, "doc_id", "text", "lang")).drop("text", "lang")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_fertility,)}
-ORACLES: dict[str, str] = {}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(documents(spark, sf_dir, "doc_id", "text"))
+    # The digest of the ids stands in for them, so that what is placed is narrow.
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op8_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir, "doc_id", "text")).drop("text")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text")))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(documents(spark, sf_dir, "doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_fertility, op3_packing, op6_mixing, op7_neardup, op8_tokencount, op9_secrets, op10_sharding)
+}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
