@@ -52,6 +52,7 @@ def add_columns(
     make: Callable[[], Callable[..., dict]],
     inputs: tuple = ("text",),
     drop: tuple = (),
+    limit: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``df`` with columns computed in Arrow batches from the columns ``inputs``, the first of which, if text, bounds
     what is handled at once.
@@ -66,7 +67,7 @@ def add_columns(
 
     def run(batches):
         compute = make()
-        for block in blocks(batches, inputs[0]):
+        for block in blocks(batches, inputs[0], limit):
             new = compute(*(block.column(c).to_pylist() for c in inputs))
             arrays = [block.column(n) for n in names] + [pa.array(new[f.name], type=f.type) for f in types]
             yield pa.RecordBatch.from_arrays(arrays, names=names + types.names)

@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILA
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     stage = Stage(docs.sparkSession)
     texts = docs.select("doc_id", "text")
-    signed = stage(add_columns(texts, SIGNED, lambda: _in_parts(signer(width, BANDS, ROWS)), drop=("text",)))
+    signed = stage(add_columns(texts, SIGNED, lambda: signer(width, BANDS, ROWS), drop=("text",), limit=SIGNED_BYTES))
     classes = signed.where("_class is not null and doc_id is not null").groupBy("_class")
     classes = stage(classes.agg(F.min("doc_id").alias("id"), F.first("_bands").alias("_bands"), F.first("_signature").alias("_signature")))
     banded = classes.select("id", F.explode("_bands").alias("band"))
@@ -270,23 +270,6 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILA
     return named.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _in_parts(sign: Callable[[list], dict]) -> Callable[[list], dict]:
-    """The function applied to stretches of at most ``SIGNED_BYTES`` characters, or one text."""
-
-    def run(texts: list) -> dict:
-        parts, held = [[]], 0
-        for t in texts:
-            if parts[-1] and held + len(t or "") > SIGNED_BYTES:
-                parts.append([])
-                held = 0
-            parts[-1].append(t)
-            held += len(t or "")
-        done = [sign(p) for p in parts]
-        return {k: [v for d in done for v in d[k]] for k in done[0]}
-
-    return run
-
-
 def keep_one_of_each(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
     """Rows of ``docs`` whose document is the least of its group; all columns stay."""
     kept = near_duplicates(docs, width, similar).where("kept").select(F.col("doc_id").alias("_kept")).distinct()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskloom.llm import fertility, mixing, neardup, packing, secrets, sharding, tokencount
+from deskloom.llm import fertility, langid, mixing, neardup, packing, secrets, sharding, tokencount, toxicity
 from deskloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,25 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure_quality(documents(spark, sf_dir, "doc_id", "text", "lang")).drop("text", "lang")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    named = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text")
+    return toxicity.score(named, net).drop("text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(documents(spark, sf_dir, "doc_id", "text"))
     # The digest of the ids stands in for them, so that what is placed is narrow.
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    named = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text")
+    return langid.predict(named, langid.fit(docs)).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source"))
 
@@ -48,6 +61,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fertility, op3_packing, op6_mixing, op7_neardup, op8_tokencount, op9_secrets, op10_sharding)
+    for f in (op1_fertility, op2_toxicity, op3_packing, op5_langid, op6_mixing, op7_neardup, op8_tokencount, op9_secrets, op10_sharding)
 }
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
