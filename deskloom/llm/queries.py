@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskloom.llm import fertility, langid, mixing, neardup, packing, secrets, sharding, tokencount, toxicity
+import corpus_pipeline
+from deskloom.llm import fertility, langid, mixing, neardup, packing, phrases, secrets, sharding, tokencount, toxicity
 from deskloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op4_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.with_next(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     named = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text")
@@ -61,6 +66,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fertility, op2_toxicity, op3_packing, op5_langid, op6_mixing, op7_neardup, op8_tokencount, op9_secrets, op10_sharding)
-}
+    for f in (
+        op1_fertility,
+        op2_toxicity,
+        op3_packing,
+        op4_phrases,
+        op5_langid,
+        op6_mixing,
+        op7_neardup,
+        op8_tokencount,
+        op9_secrets,
+        op10_sharding,
+    )
+} | {"pipeline": corpus_pipeline.run}
+
+# What needs a vocabulary, a model or a hash that SQL does not have is tested against brute force instead.
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
