@@ -4,9 +4,9 @@ The vocabulary of a tokeniser holds what people write often. A string of random
 of it, so it costs many tokens: few characters per token. Runs of 20 or more characters of the alphabets
 that keys are written in are candidates, after excluding
 
-* runs of letters only or without any letter: words and numbers,
 * known digests: hexadecimal of the lengths of the common hash functions, and UUIDs,
-* identifiers: words and numbers joined by separators, words with a short number behind them.
+* identifiers: words, words with a short number behind them and numbers, joined by separators or not, where
+  a word's capitals begin parts of ``HUMP`` letters on average.
 
 Base kinds (``assign``, ``access``, ``hex``) are always reported; a candidate that overlaps one is not
 reported again. Null and empty texts have no spans. Texts are scanned whole, whatever their length;
@@ -38,6 +38,8 @@ UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 WORDS = re.compile(r"[+/_=-]*((\d+|[A-Za-z]+\d{0,4})([+/_=-]+|$))*")
+PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+HUMP = 3
 CHARS_PER_TOKEN = 2.0
 
 SPAN = T.StructType(
@@ -59,11 +61,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def is_known(run: str) -> bool:
     """Whether a candidate is no secret by its form alone."""
     body = run.strip("+/_=-")
-    if not any(map(str.isdigit, body)) or not any(map(str.isalpha, body)):
-        return True
     if UUID.fullmatch(body) or DIGEST.fullmatch(body) and len(body) in DIGEST_LENGTHS:
         return True
-    return bool(WORDS.fullmatch(run))
+    if not WORDS.fullmatch(run):
+        return False
+    parts = PARTS.findall(body)
+    return sum(map(len, parts)) >= HUMP * len(parts)
 
 
 def scanner(ranks_file: str, pattern: str, least: float) -> Callable[[str | None], list[tuple[str, int, int]]]:
