@@ -73,7 +73,7 @@ def test_a_source_with_a_third_of_all_rows(make_docs):
 
 def test_quality_decides_who_is_drawn(make_docs):
     clean, laden = "word " * 40, "word### " * 40
-    docs = [(i, clean if i % 2 else laden, "en", f"s{i % 4 // 2}") for i in range(4000)]
+    docs = [(i, clean if i % 2 else laden, "en", f"s{i // 2 % 3}") for i in range(4000)]
     rows = mixing.mix(make_docs(docs)).collect()
     got = defaultdict(int)
     for r in rows:
@@ -88,7 +88,7 @@ def test_odd_rows_and_the_mix_itself(make_docs):
     check(rows, odd_rows())
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    words = lambda t: len((t or "").split())
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     assert sum(words(r.text) for r in mixed.collect()) == pytest.approx(sum(r.taken for r in rows), abs=1)
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
