@@ -29,8 +29,9 @@ from deskloom.llm.common import Stage, add_columns, blocks, shuffle_partitions
 
 CAPACITY = 1024
 END = 2
-# Encoded chunks a task remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+# Encoded chunks a task remembers; beyond that it starts anew. Chunks encoded in one text.
+REMEMBERED = 600_000
+JOINED = 512
 # A space between two characters that are not white space begins a token, whatever stands around it.
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 WIDE_SPACE = re.compile(r"\s\s")
@@ -51,7 +52,8 @@ def encoder(vocabulary: str) -> Callable[[list], list[bytes]]:
     """A function from texts to token ids, as little-endian unsigned 32-bit numbers.
 
     Texts are encoded by chunks that begin at a space, which never lie within a token; a chunk met again
-    is not encoded again.
+    is not encoded again. New chunks are encoded many in one text: each begins with a token that begins
+    with the space, and has no other.
     """
     import os
 
@@ -59,20 +61,36 @@ def encoder(vocabulary: str) -> Callable[[list], list[bytes]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
+    space = tokenizer.encode("a b", add_special_tokens=False).tokens[1][0]  # how the vocabulary writes it
+    opens = np.array([(tokenizer.id_to_token(i) or "").startswith(space) for i in range(tokenizer.get_vocab_size())])
     known: dict[str, bytes] = {}
 
-    def ids_of(texts: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(texts), 4096):
-            for x in tokenizer.encode_batch_fast(texts[start : start + 4096], add_special_tokens=False):
-                yield np.array(x.ids, "<u4").tobytes()
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(chunks: list[str]) -> None:
+        for at in range(0, len(chunks), JOINED):
+            part = chunks[at : at + JOINED]
+            ids = ids_of(" " + " ".join(part))
+            starts = np.flatnonzero(opens[ids])
+            if len(starts) != len(part):
+                known.update((c, ids_of(" " + c).tobytes()) for c in part)
+                continue
+            raw = ids.tobytes()
+            ends = [*(4 * starts[1:]).tolist(), len(raw)]
+            known.update((c, raw[a:b]) for c, a, b in zip(part, (4 * starts).tolist(), ends))
 
     def encode(texts: list) -> list[bytes]:
         chunks = [INNER_SPACE.split(t) if WIDE_SPACE.search(t) else t.split(" ") for t in (t or "" for t in texts)]
         if len(known) > REMEMBERED:
             known.clear()
-        new = list(set().union(*(c[1:] for c in chunks)) - known.keys()) if chunks else []
-        known.update(zip(new, ids_of([" " + c for c in new])))
-        first = ids_of([c[0] for c in chunks])
+        new = set().union(*(c[1:] for c in chunks)) - known.keys()
+        # Chunks with white space at an end would meet the next one's space.
+        plain = [c for c in new if c and c == c.strip()]
+        learn(plain)
+        if len(plain) < len(new):
+            known.update((c, ids_of(" " + c).tobytes()) for c in new - set(plain))
+        first = [ids_of(c[0]).tobytes() for c in chunks]
         return [f + b"".join(map(known.__getitem__, c[1:])) for f, c in zip(first, chunks)]
 
     return encode
