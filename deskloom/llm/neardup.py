@@ -10,13 +10,15 @@ Bands of the signature are buckets. ``BANDS`` bands of ``ROWS`` rows miss a pair
 chance of 7e-6. Links are confirmed on full sets:
 
 1. Texts of equal word sequences are one class, named by its least id.
-2. Every class is compared with the least class of any of its buckets: most copies link here, and no group
-   costs more than one comparison per member.
-3. Buckets that still hold several components are worked off: some of the members outside the bucket's
-   largest component are compared with all members of other components and leave the bucket, more in every
-   round, until each bucket holds one component. No bucket is capped, and no pair within a
-   component is ever formed. Pairs whose signatures agree in less than ``LEAST_AGREED`` of the places (5
-   standard deviations below 0.8) are not fetched.
+2. Every class is compared with the best connected class (the hub) of its buckets: most copies link here.
+3. Members of buckets that still hold several components are compared with the hub of each such bucket. That
+   gives more links, and for every member how it differs from the hub and which differences no other has.
+4. What is left are members outside the largest component of a hub's buckets. They meet the others under a bound
+   that loses nothing: two sets cannot share the differences that only one of them has. Pairs whose signatures
+   agree in less than ``LEAST_AGREED`` of the places (5 standard deviations below 0.8) are not fetched.
+
+No bucket is capped, no group costs more than a few comparisons per member but for pairs that the bound lets
+pass, and no pair within a component is formed in the last step.
 
 Components come from union-find within partitions and star contraction between them; neither links nor
 components reach the driver.
@@ -33,19 +35,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.llm.common import WORD, Stage, add_columns, blocks
 
-SHINGLE = 4
+SHINGLE = 5
 SIMILAR = 80  # per cent
 BANDS, ROWS = 30, 5
 PLACES = BANDS * ROWS
 LEAST_AGREED = 0.62
-# Members of each unresolved bucket compared with the others in the first round; doubled in every next.
-FIRST_CENTRES = 16
 # Texts hashed at once: bounds the permutations, one byte for each element and place.
 SIGNED_BYTES = 1 << 20
 
@@ -148,10 +148,16 @@ def signer(width: int, bands: int, rows: int) -> Callable[[list], dict]:
     return sign
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, similar: int) -> DataFrame:
-    """Those of the pairs (a, b) of ids whose full sets are similar, by the texts (id, text) of the ids."""
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+COMPARED = "a long, b long, linked boolean, n long, differences array<long>"
+
+
+def compare(pairs: DataFrame, texts: DataFrame, width: int, similar: int, differing: bool = False) -> DataFrame:
+    """The pairs (a, b) of ids on their full sets, by the texts (id, text) of the ids; see :data:`COMPARED`.
+
+    ``n`` is the size of b's set and ``differences``, if wanted, what only one of the two sets holds.
+    """
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    both = both.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
 
     def run(batches):
         known: dict[str, int] = {}
@@ -159,16 +165,22 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, similar: int) -> Data
         for block in blocks(batches, "text_b"):
             if len(known) > 500_000:
                 known.clear()
-            linked = []
+            linked, sizes, differences = [], [], []
             for a, b in zip(block.column("text_a").to_pylist(), block.column("text_b").to_pylist()):
                 if a != last:  # pairs arrive by their first text
                     last, kept = a, shingle_hashes(normal_words(a), known, width)
                 other = shingle_hashes(normal_words(b), known, width)
-                shared = len(np.intersect1d(kept, other, assume_unique=True))
+                either = np.setxor1d(kept, other, assume_unique=True)
+                shared = (len(kept) + len(other) - len(either)) // 2
                 linked.append(100 * shared >= similar * (len(kept) + len(other) - shared))
-            yield pa.RecordBatch.from_arrays([block.column("a"), block.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
+                sizes.append(len(other))
+                differences.append(either.view(np.int64) if differing else None)
+            found = [pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(differences, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("a"), block.column("b"), *found], names=["a", "b", "linked", "n", "differences"]
+            )
 
-    return both.mapInArrow(run, pairs.select("a", "b").schema).distinct()
+    return both.mapInArrow(run, COMPARED)
 
 
 def _forest(batches):
@@ -225,6 +237,66 @@ def _agreed(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long").distinct()
 
 
+def rooted(parents: DataFrame, stage: Stage) -> DataFrame:
+    """(id, component) from one link (a, b) per b to a lesser a: every id follows its parents to the last."""
+    groups = stage(parents.select(F.col("b").alias("id"), F.col("a").alias("component"), F.lit(True).alias("moved")))
+    while not groups.where("moved").isEmpty():
+        above = groups.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        further = groups.join(above, "component", "left")
+        groups = stage(further.select("id", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved")))
+    return groups.drop("moved")
+
+
+def merged(groups: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
+    """The groups with those joined that the links (a, b) connect."""
+    edges = links
+    for side in ("a", "b"):
+        root = groups.select(F.col("id").alias(side), F.col("component").alias("root"))
+        edges = edges.join(root, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    moves = components(edges.where("a <> b").distinct(), stage)
+    target = moves.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    kept = groups.join(target, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return stage(kept.union(moves))
+
+
+def _with_hubs(banded: DataFrame, stage: Stage) -> DataFrame:
+    """(band, id, hub, weight): the members of buckets of several ids, and the best connected of each bucket.
+
+    An id weighs the sizes of its buckets. Of a group of copies the one most like all others weighs most.
+    """
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Both sides grow with the documents: joined by sorting at any size, not by a broadcast at small ones.
+    members = stage(banded.join(shared.hint("merge"), "band"))
+    marks = [F.sum(F.xxhash64(F.lit(seed), "id").cast("decimal(38,0)")) for seed in (1, 2)]
+    alike = members.groupBy("band").agg(F.struct(F.count(F.lit(1)), F.min("id"), F.max("id"), *marks).alias("mark"))
+    # Bands agree about most copies: of buckets with the same members one is enough.
+    members = members.join(alike.groupBy("mark").agg(F.min("band").alias("band")), "band", "left_semi")
+    weights = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    weighed = members.join(weights, "id").select("band", "id", F.struct("weight", (-F.col("id")).alias("least")).alias("rank"))
+    hubs = weighed.groupBy("band").agg(F.max("rank").alias("hub"))
+    return stage(weighed.join(hubs, "band").select("band", "id", (-F.col("hub.least")).alias("hub"), F.col("hub.weight").alias("weight")))
+
+
+def _unresolved(members: DataFrame, groups: DataFrame, stage: Stage) -> DataFrame:
+    """Members of buckets that hold several components, with their component."""
+    component = F.coalesce("component", "id").alias("component")
+    spans = members.join(groups, "id", "left").select("band", component).groupBy("band")
+    several = stage(spans.agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band"))
+    return stage(members.join(several, "band").join(groups, "id", "left").select("band", "id", "hub", component))
+
+
+def _can_link(similar: int) -> F.Column:
+    """Whether two sets may be similar by what is known of each beside their hub.
+
+    Their difference is that of their differences from the hub, of which neither can share what it alone
+    has: with d differences each and u of them its own, they share min(d - u) at most.
+    """
+    shared = F.least(F.col("x.d") - F.col("x.u"), F.col("y.d") - F.col("y.u"))
+    apart = F.col("x.d") + F.col("y.d") - 2 * shared
+    # similar / 100 of the union in common means that so much of both sizes may differ.
+    return (100 + similar) * apart <= (100 - similar) * (F.col("x.n") + F.col("y.n"))
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     stage = Stage(docs.sparkSession)
@@ -232,38 +304,45 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILA
     signed = stage(add_columns(texts, SIGNED, lambda: signer(width, BANDS, ROWS), drop=("text",), limit=SIGNED_BYTES))
     classes = signed.where("_class is not null and doc_id is not null").groupBy("_class")
     classes = stage(classes.agg(F.min("doc_id").alias("id"), F.first("_bands").alias("_bands"), F.first("_signature").alias("_signature")))
-    banded = classes.select("id", F.explode("_bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    members = stage(banded.join(shared.drop("most"), "band"))
-
-    involved = members.select("id").distinct()
+    members = _with_hubs(classes.select("id", F.explode("_bands").alias("band")), stage)
     # Every text of a class is the same word sequence; ids alone name them from here on.
-    full = stage(texts.join(involved, texts["doc_id"] == involved["id"], "left_semi").select(F.col("doc_id").alias("id"), "text"))
-
-    pairs = members.where("id <> least").groupBy("id").agg(F.min("least").alias("a")).select("a", F.col("id").alias("b"))
-    links = stage(verify(_agreed(pairs, classes, LEAST_AGREED), full, width, similar))
-    groups = components(links, stage)
-    left, centres = members.select("band", "id"), FIRST_CENTRES
-    while True:
-        named = left.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        several = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        named = stage(named.join(several.select("band"), "band"))
-        if named.isEmpty():
-            break
-        sizes = named.groupBy("band", "component").count()
-        largest = sizes.groupBy("band").agg(F.max(F.struct("count", "component")).alias("l"))
-        largest = largest.select("band", F.col("l.component").alias("largest"))
-        outside = named.join(largest, "band").where("component <> largest").drop("largest")
-        order = Window.partitionBy("band").orderBy("id")
-        chosen = stage(outside.withColumn("n", F.row_number().over(order)).where(F.col("n") <= centres).drop("n"))
-        other = named.select("band", F.col("id").alias("other"), F.col("component").alias("theirs"))
-        met = chosen.join(other, "band").where("component <> theirs")
-        pairs = stage(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
-        links = stage(links.union(verify(_agreed(pairs, classes, LEAST_AGREED), full, width, similar)))
-        groups = components(links, stage)
-        left = named.select("band", "id").join(chosen.select("band", "id"), ["band", "id"], "left_anti")
-        centres *= 2
-
+    involved = members.select("id").distinct()
+    full = stage(texts.join(involved.hint("merge"), texts["doc_id"] == involved["id"], "left_semi").select(F.col("doc_id").alias("id"), "text"))
+
+    best = members.where("id <> hub").groupBy(F.col("id").alias("b")).agg((-F.max(F.struct("weight", -F.col("hub")))["col2"]).alias("a"))
+    groups = rooted(compare(best.select("a", "b"), full, width, similar).where("linked").select("a", "b").distinct(), stage)
+
+    left = _unresolved(members, groups, stage)
+    to_hub = left.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    beside = stage(compare(to_hub, full, width, similar, differing=True))
+    groups = merged(groups, beside.where("linked").select("a", "b").distinct(), stage)
+    own = beside.select("a", "b", F.explode("differences").alias("element")).groupBy("a", "element")
+    own = own.agg(F.min("b").alias("b"), F.max("b").alias("most")).where("b = most").groupBy("a", "b").count()
+    known = beside.join(own, ["a", "b"], "left").select(
+        F.col("a").alias("hub"), F.col("b").alias("id"), "n", F.size("differences").alias("d"), F.coalesce("count", F.lit(0)).alias("u")
+    )
+    # An id with several texts is known by none of them: anything may be like it.
+    known = stage(known.groupBy("hub", "id").agg(F.max("n").alias("n"), F.max("d").alias("d"), F.min("u").alias("u"), F.count(F.lit(1)).alias("texts")))
+
+    # Buckets of one hub share most members: they meet by hub, each pair once.
+    left = _unresolved(left.drop("component"), groups, stage).where("id <> hub").select("hub", "id", "component").distinct()
+    left = left.join(known, ["hub", "id"])
+    sizes = left.groupBy("hub", "component").count().groupBy("hub").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
+    left = stage(left.join(sizes, "hub"))
+    met = left.where("component <> largest").alias("x").join(
+        left.alias("y"),
+        (F.col("x.hub") == F.col("y.hub"))
+        & (F.col("x.component") != F.col("y.component"))
+        & ((F.col("y.component") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
+        & ((F.col("x.texts") > 1) | (F.col("y.texts") > 1) | _can_link(similar)),
+    )
+    met = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    last = compare(_agreed(stage(met), classes, LEAST_AGREED), full, width, similar).where("linked").select("a", "b")
+    groups = merged(groups, last.distinct(), stage)
+
+    whole = groups.union(groups.select(F.col("component").alias("id"), "component").distinct())
+    least = whole.groupBy("component").agg(F.min("id").alias("least"))
+    groups = whole.join(least, "component").select("id", F.col("least").alias("component"))
     named = signed.join(classes.select("_class", "id"), "_class", "left").join(groups, "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
     named = named.select("doc_id", "n_shingles", component.alias("component_id"))

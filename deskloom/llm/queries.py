@@ -46,7 +46,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), width=4)
 
 
 def op8_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,17 +24,17 @@ class Forest(dict):
         self[max(a, b)] = min(a, b)
 
 
-def set_of(text):
+def set_of(text, width):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    if len(words) < 4:
+    if len(words) < width:
         return {tuple(words)} if words else set()
-    return set(zip(words, words[1:], words[2:], words[3:]))
+    return set(zip(*(words[i:] for i in range(width))))
 
 
-def check(rows, docs):
+def check(rows, docs, width=5):
     """Rows are those of all pairs compared."""
     docs = [(d, t) for d, t in docs if d is not None]
-    sets = [(d, set_of(t)) for d, t in docs]
+    sets = [(d, set_of(t, width)) for d, t in docs]
     holders, forest = defaultdict(list), Forest()
     for i, (d, s) in enumerate(sets):
         forest.find(d)
@@ -49,18 +49,17 @@ def check(rows, docs):
 
 
 def test_query_matches_brute_force(spark, sample):
-    check(queries.op7_neardup(spark, SF).collect(), [(d["doc_id"], d["text"]) for d in sample])
+    check(queries.op7_neardup(spark, SF).collect(), [(d["doc_id"], d["text"]) for d in sample], width=4)
 
 
 def grown(rng, words, n):
     return " ".join(rng.choices(words, k=n))
 
 
-@pytest.mark.parametrize("centres", [1, 16])
-def test_groups_chains_and_shared_passages(make_docs, monkeypatch, centres):
+@pytest.mark.parametrize("seed", [8, 9])
+def test_groups_chains_and_shared_passages(make_docs, seed):
     """Links that hang on one pair, large groups of copies, and buckets of texts that only share a passage."""
-    monkeypatch.setattr(neardup, "FIRST_CENTRES", centres)
-    rng = random.Random(8)
+    rng = random.Random(seed)
     words = [f"w{i}" for i in range(4000)]
     passage = grown(rng, words, 60)
     texts = [grown(rng, words, rng.randrange(3, 120)) for _ in range(150)]
@@ -68,7 +67,7 @@ def test_groups_chains_and_shared_passages(make_docs, monkeypatch, centres):
     base = grown(rng, words, 150).split()
     for _ in range(250):
         copy = list(base)
-        for _ in range(rng.randrange(0, 8)):
+        for _ in range(rng.randrange(0, 9)):
             copy[rng.randrange(150)] = rng.choice(words)
         texts.append(" ".join(copy))
     chain = grown(rng, words, 100).split()

@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 from llm_fixtures import SF
-from test_fertility import brute_repeated  # noqa: F401
+from pyspark.sql import functions as F
 from test_neardup import check as check_groups
 from test_packing import check as check_pieces
 
@@ -13,7 +13,8 @@ from deskloom.llm import fertility, mixing, neardup, queries, secrets
 
 def test_every_stage_against_plain_code(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    steps = [docs]
+    told = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" token = 'k3yabcdefgh'"))).otherwise(F.col("text"))
+    steps = [docs.withColumn("text", told)]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         steps.append(stage(spark, steps[-1], SF).cache())
         assert steps[-1].columns == docs.columns
