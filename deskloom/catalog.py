@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from deskloom.plans.sync import LOAD_ORDER, run_sync, stored_rows
 from deskloom.rows import with_seed
 from deskloom.sample import HOST, PAGE_ROWS, Desk, epoch, to_pages
 from deskloom.schema import TABLES
-from deskloom.session import configure, scale_to, shared_folder
+from deskloom.session import configure, run_folder, scale_to
 from deskloom.sinks import warehouse
 from deskloom.sinks.warehouse import Warehouse, offsets
 from deskloom.sources import pages
@@ -25,6 +25,7 @@ from deskloom.streaming.follow import decode_stream, follow, follow_children, fo
 
 CHANGED_SINCE = 820454400  # 1996-01-01
 RATED_SINCE = 1704153600  # 2024-01-02
+RENAMED = "Case Prio"
 
 Query = Callable[[Desk], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,13 +135,14 @@ def child_refresh_metrics(desk: Desk) -> DataFrame:
 
 @query
 def page_chain_gaps(desk: Desk) -> DataFrame:
-    """Two chains: tickets by full pages, and one page per order that has line items."""
+    """Two chains: tickets by full pages, and one page per order that has line items; some fetches fail."""
     numbered = desk.pages("ticket").withColumn("_n", F.regexp_extract("url", r"(\d+)$", 1).cast("bigint"))
     chained = F.concat(F.lit(f"{HOST}{S.API_PATH}/incremental/tickets.json?start_time="), (F.col("_n") + 1).cast("string"))
     orders = desk.source("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
     base = f"{HOST}{S.API_PATH}/tickets.json?page="
     following = desk.source("orders").select(F.col("o_orderkey").alias("_following"))
     snapshot = orders.join(following, F.col("l_orderkey") + 1 == F.col("_following"), "left").select(
+        "l_orderkey",
         F.concat(F.lit(base), F.col("l_orderkey").cast("string")).alias("url"),
         "lines",
         F.concat(F.lit(base), F.col("_following").cast("string")).alias("_next"),
@@ -148,13 +150,13 @@ def page_chain_gaps(desk: Desk) -> DataFrame:
     record = F.array(F.struct(F.col("lines").alias("id"))).alias("tickets")
     listed = snapshot.select(
         "url",
-        F.lit(200).alias("status_code"),
+        F.when(F.col("l_orderkey") % 11 == 5, 503).otherwise(200).alias("status_code"),
         F.lit(0).cast("bigint").alias("fetched_at"),
         F.to_json(F.struct(record, F.col("lines").alias("count"), F.col("_next").alias("next_page"))).alias("body"),
     )
     linked = numbered.select(
         "url",
-        "status_code",
+        F.when(F.col("_n") % 7 == 3, 500).otherwise(F.col("status_code")).alias("status_code"),
         "fetched_at",
         F.concat(F.regexp_replace("body", r"\}$", ',"next_page":"'), chained, F.lit('"}')).alias("body"),
     )
@@ -563,64 +565,77 @@ def unsigned_violations(desk: Desk) -> DataFrame:
 # --- base table loads -------------------------------------------------------------------------
 
 
-def _loaded(desk: Desk, table: str) -> DataFrame:
-    """Pages of one resource through decode, rules, references and key, without its sentinel."""
-    spec = TABLES[table]
-    rows = _decoded(desk, table)
-    order = ([spec.age] if spec.age else []) + ["fetched_at"]
-    rows = upsert.newest(rows, list(spec.key), order)
-    if not spec.parents:
-        return quality.accepted(quality.check(rows, table, {}))
-    # The reference check reads the rows more than once, so the pages are decoded into a written table.
-    staged = Warehouse(desk.spark, _run_folder(desk)).stage(rows, table)
-    return quality.accepted(quality.check(staged, table, {p: _parent(desk, p) for p in set(spec.parents.values())}))
+# The resources a table is made of: its own pages and those of what it refers to, parents first.
+_ACCOUNTS = ("groups", "organization", "user")
+_TICKETS = (*_ACCOUNTS, "ticket")
+NEEDED = {
+    "groups": ("groups",),
+    "ticketfields": ("ticketfields",),
+    "organizationfields": ("organizationfields",),
+    "userfields": ("userfields",),
+    "ticketmetric": ("ticketmetric",),
+    "organization": ("groups", "organization"),
+    "organizationdata": ("organizationfields", "groups", "organization"),
+    "user": _ACCOUNTS,
+    "userdata": ("userfields", *_ACCOUNTS),
+    "ticket": _TICKETS,
+    "ticketdata": ("ticketfields", *_TICKETS),
+    "satisfactionrating": (*_TICKETS, "satisfactionrating"),
+    "audit": ("ticketfields", *_TICKETS, "audit"),
+    "changeevent": ("ticketfields", *_TICKETS, "audit"),
+}
 
 
-def _parent(desk: Desk, table: str) -> DataFrame:
-    """The accepted rows of a table that others refer to; of the sample's parents, only tickets lose rows."""
-    if table == "ticket":
-        return quality.accepted(_checked_tickets(desk))
-    return desk[table]
+def _land(rows: DataFrame, folder: str) -> str:
+    rows.write.mode("overwrite").json(folder)
+    return folder
 
 
-def _load(table: str) -> Query:
-    return lambda desk: with_seed(table, upsert.align(_loaded(desk, table), TABLES[table]))
+def _synced(desk: Desk, *resources: str) -> Warehouse:
+    """A warehouse that the pages of some resources were loaded into."""
+    folder = run_folder(desk.spark)
+    landing = _land(reduce(DataFrame.unionByName, map(desk.pages, resources)), f"{folder}/landing")
+    run_sync(desk.spark, landing, f"{folder}/tables")
+    return Warehouse(desk.spark, f"{folder}/tables")
 
 
-for _table in ("groups", "organization", "user", "ticketfields", "organizationfields", "userfields", "ticket",
-               "ticketmetric", "satisfactionrating"):
-    QUERIES[f"load_{_table}"] = _load(_table)
+def _load(table: str) -> Query:
+    return lambda desk: _synced(desk, *NEEDED[table]).read(table)
 
 
-@query
-def load_organizationdata(desk: Desk) -> DataFrame:
-    keys = flatten.index_keys(desk["organizationfields"])
-    return flatten.flatten_map(_loaded(desk, "organization"), keys, "organization_fields")
+QUERIES.update({f"load_{table}": _load(table) for table in NEEDED})
 
 
 @query
-def load_userdata(desk: Desk) -> DataFrame:
-    return flatten.flatten_map(_loaded(desk, "user"), flatten.index_keys(desk["userfields"]), "user_fields")
+def load_renamed_field(desk: Desk) -> DataFrame:
+    """The priority field gets another title, and some tickets come again after that."""
+    target = _synced(desk, *NEEDED["ticketdata"])
+    title = F.when(F.col("id") == 101, RENAMED).otherwise(F.col("title"))
+    fields = desk["ticketfields"].withColumn("title", title).withColumn("updatedat", F.col("updatedat") + 1)
+    again = desk.records("ticket").filter(F.col("recipient") == "support@example.com")
+    again = again.withColumn("updatedat", F.col("updatedat") + 7200)
+    landing = _land(to_pages(fields, "ticketfields").unionByName(to_pages(again, "ticket")), f"{run_folder(desk.spark)}/landing")
+    run_sync(desk.spark, landing, target.root)
+    return target.read("ticketdata")
 
 
 @query
-def load_ticketdata(desk: Desk) -> DataFrame:
-    return flatten.flatten_list(_loaded(desk, "ticket"), flatten.index_titles(desk["ticketfields"]))
+def dead_letters(desk: Desk) -> DataFrame:
+    """All letters of two loads and a stream: failed pages, and organizations of groups that do not exist."""
 
+    def misplaced(last: int) -> DataFrame:
+        lost = F.when(F.col("id") % 10 == last, 900 + last).otherwise(F.col("groupid"))
+        return to_pages(desk.records("organization").withColumn("groupid", lost), "organization")
 
-def _accepted_audits(desk: Desk) -> DataFrame:
-    accepted = _loaded(desk, "audit")
-    return flatten.audits_with(accepted, flatten.change_events(accepted, desk["ticketfields"]))
-
-
-@query
-def load_audit(desk: Desk) -> DataFrame:
-    return upsert.align(_accepted_audits(desk), TABLES["audit"])
-
-
-@query
-def load_changeevent(desk: Desk) -> DataFrame:
-    return flatten.change_events(_accepted_audits(desk), desk["ticketfields"])
+    failed = _fetch_log(desk).select("url", "status_code", F.lit(1).cast("bigint").alias("fetched_at"), F.lit("{}").alias("body"))
+    failed = failed.filter(F.col("status_code") != 200)
+    folder = run_folder(desk.spark)
+    first = desk.pages("groups").unionByName(misplaced(3)).unionByName(failed)
+    run_sync(desk.spark, _land(first, f"{folder}/first"), f"{folder}/tables")
+    run_sync(desk.spark, _land(desk.pages("groups"), f"{folder}/second"), f"{folder}/tables")
+    landing = _land(misplaced(4).filter(F.col("fetched_at") >= 0), f"{folder}/third")
+    follow_table(desk.spark, landing, "organization", f"{folder}/tables", f"{folder}/checkpoint", drain=True).awaitTermination()
+    return Warehouse(desk.spark, f"{folder}/tables").quarantined().select("resource", "key", "reason")
 
 
 # --- views ------------------------------------------------------------------------------------
@@ -650,20 +665,10 @@ QUERIES["ticket_view_basic"] = views.ticket_view_basic
 # --- streaming --------------------------------------------------------------------------------
 
 
-def _run_folder(desk: Desk) -> str:
-    """A fresh folder for one run, below the one all executors share."""
-    return f"{shared_folder(desk.spark)}/run-{uuid4()}"
-
-
-def _land(rows: DataFrame, folder: str) -> str:
-    rows.write.mode("overwrite").json(folder)
-    return folder
-
-
 @query
 def stream_decode(desk: Desk) -> DataFrame:
     """Follow landed ticket pages; the decoded records are appended to a parquet folder."""
-    folder = _run_folder(desk)
+    folder = run_folder(desk.spark)
     landing = _land(desk.pages("ticket"), f"{folder}/landing")
     rows = upsert.align(decode_stream(desk.spark, landing, "ticket"), TABLES["ticket"])
     stream = (
@@ -678,24 +683,24 @@ def stream_decode(desk: Desk) -> DataFrame:
 
 @query
 def stream_upsert(desk: Desk) -> DataFrame:
-    """Tickets land twice, the second time closed and two hours newer, and are upserted as they come."""
-    folder = _run_folder(desk)
+    """Tickets land twice, the second time closed and two hours newer, and are loaded as they come."""
+    target = _synced(desk, *_ACCOUNTS)
+    folder = run_folder(desk.spark)
     again = desk.records("ticket").withColumn("status", F.lit("closed")).withColumn("updatedat", F.col("updatedat") + 7200)
     solved = again.filter(F.col("recipient") == "support@example.com")
     landing = _land(desk.pages("ticket").unionByName(to_pages(solved, "ticket")), f"{folder}/landing")
-    follow_table(desk.spark, landing, "ticket", f"{folder}/tables", f"{folder}/checkpoint", drain=True).awaitTermination()
-    return Warehouse(desk.spark, f"{folder}/tables").read("ticket")
+    follow_table(desk.spark, landing, "ticket", target.root, f"{folder}/checkpoint", drain=True).awaitTermination()
+    return target.read("ticket")
 
 
 @query
 def stream_child_refresh(desk: Desk) -> DataFrame:
     """As tickets land, their audits are refreshed from the child pages; returns the stored audits."""
-    folder = _run_folder(desk)
+    folder = run_folder(desk.spark)
     changed = pages.since(desk.ticket_records, CHANGED_SINCE)
     landing = _land(desk.pages("ticket", changed), f"{folder}/landing")
     children = _land(desk.pages("audit").unionByName(desk.pages("ticketmetric")), f"{folder}/children")
-    target = Warehouse(desk.spark, f"{folder}/tables")
-    target.upsert("ticketfields", desk["ticketfields"])
+    target = _synced(desk, "ticketfields", *_TICKETS)
     follow_children(
         desk.spark,
         landing,
@@ -710,7 +715,7 @@ def stream_child_refresh(desk: Desk) -> DataFrame:
 @query
 def load_order(desk: Desk) -> DataFrame:
     """A full load of every resource from a landing folder; returns the rows stored per table, in load order."""
-    folder = _run_folder(desk)
+    folder = run_folder(desk.spark)
     landing = _land(desk.all_pages(), f"{folder}/landing")
     run_sync(desk.spark, landing, f"{folder}/tables")
     return stored_rows(Warehouse(desk.spark, f"{folder}/tables"))
@@ -719,7 +724,7 @@ def load_order(desk: Desk) -> DataFrame:
 @query
 def stream_load(desk: Desk) -> DataFrame:
     """The same load by following the landing folder, read back through the ticket view."""
-    folder = _run_folder(desk)
+    folder = run_folder(desk.spark)
     landing = _land(desk.all_pages(), f"{folder}/landing")
     follow(desk.spark, landing, f"{folder}/tables", f"{folder}/checkpoint", drain=True).awaitTermination()
     target = Warehouse(desk.spark, f"{folder}/tables")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskloom.schema import RESOURCES, Table
+from deskloom.schema import RESOURCES, UNKNOWN_FIELD, Table
 
 
 def apply_defaults(rows: DataFrame, table: Table) -> DataFrame:
@@ -38,6 +38,13 @@ def record_columns(table: Table) -> list[str]:
     return [column for column, _, _ in resource.members]
 
 
+def keyed(rows: DataFrame, table: Table) -> DataFrame:
+    """Rows with the key column that is not stored, where the table has one."""
+    if UNKNOWN_FIELD not in table.key:
+        return rows
+    return rows.withColumn(UNKNOWN_FIELD, F.when(F.col("id") == 0, F.coalesce("title", F.lit(""))).otherwise(F.lit("")))
+
+
 def newest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, then by the whole row, so ties have one answer.
 

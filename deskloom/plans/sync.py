@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,15 @@ from deskloom.operators.quality import (
     tag_missing,
     tag_moved,
 )
-from deskloom.operators.upsert import arrivals, newest
+from deskloom.operators.upsert import arrivals, keyed, newest
 from deskloom.schema import TABLES
 from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
-from deskloom.sinks.warehouse import Warehouse
+from deskloom.sinks.warehouse import Warehouse, fetch_offset
 from deskloom.sources.pages import (
+    arrived,
     decode_records,
     good,
-    loadable,
     read_pages,
     rejected_pages,
     rejected_records,
@@ -62,24 +63,34 @@ class Load:
 
     Everything that is read more than once is first written under the warehouse: raw records once
     per load, then per table the decoded records and the checked rows. No lineage reaches back past
-    those files. Tables that nothing landed for are left alone.
+    those files. Tables that nothing landed for, or that are not among ``tables``, are left alone. The label
+    names the load's dead letters and report: the same label again replaces them, another one adds to them.
     """
 
-    def __init__(self, warehouse: Warehouse, label: str, hooks: Hooks | None = None, titles=AUDIT_TITLES) -> None:
+    def __init__(
+        self,
+        warehouse: Warehouse,
+        label: str,
+        hooks: Hooks | None = None,
+        titles=AUDIT_TITLES,
+        tables: tuple[str, ...] = LOAD_ORDER,
+    ) -> None:
         self.warehouse = warehouse
         self.spark = warehouse.spark
         self.label = label
         self.hooks = hooks.copy() if hooks else Hooks()
         self.titles = titles
+        self.tables = tables
         self.reports: list[DataFrame] = []
         self.letters: list[DataFrame] = []
+        self.reached: list[DataFrame] = []
 
     def _stage(self, name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
         return self.warehouse.stage(rows, f"{self.label}/{name}", by)
 
     def run(self, pages: DataFrame) -> DataFrame:
-        """Load all tables; returns rows read, accepted and quarantined per table."""
-        self.records = self._stage("records", split_pages(loadable(pages)), by="table")
+        """Load the tables; returns rows read, accepted and quarantined per table."""
+        self.records = self._stage("records", split_pages(arrived(pages)), by="table")
         self.letters.append(rejected_pages(self.records))
         self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
 
@@ -110,7 +121,8 @@ class Load:
         self.warehouse.quarantine(reduce(DataFrame.unionByName, self.letters), self.label)
         if self.reports:
             self.warehouse.save_report(reduce(DataFrame.unionByName, self.reports), self.label)
-            self.warehouse.save_offsets(OFFSET_TABLES)
+            start = self.spark.createDataFrame([(t, 0) for t in OFFSET_TABLES], "sequencename string, lastval long")
+            self.warehouse.advance_offsets(reduce(DataFrame.unionByName, self.reached, start))
         self.warehouse.drop(f"staging/{self.label}")
         return self.warehouse.report(self.label)
 
@@ -121,7 +133,7 @@ class Load:
 
     def _load_part(self, table: str, records: DataFrame | None, flatten: Hook) -> None:
         """Store the rows flattened out of what was stored of a resource, if anything was."""
-        if records is not None:
+        if records is not None and table in self.tables:
             self._store(table, flatten(records), [], {})
 
     def _load_resource(self, table: str) -> DataFrame | None:
@@ -130,7 +142,7 @@ class Load:
         Returns the stored records with their embedded members, so that what is flattened out of
         them belongs to accepted, current parents only.
         """
-        if table not in self.landed:
+        if table not in self.landed or table not in self.tables:
             return None
         records = decode_records(self.records.filter(F.col("table") == table), table)
         # The raw text is only needed where a record could not be read.
@@ -150,10 +162,11 @@ class Load:
         left to check. Of the table itself and of its parents only the touched slices are read.
         """
         spec = TABLES[table]
+        rows = keyed(rows, spec)
         slices = self.warehouse.touched(table, rows, parents)
         if not slices[table]:
             return None
-        stored = self.warehouse.read(table, slices[table])
+        stored = keyed(self.warehouse.read(table, slices[table]), spec)
         tagged = tag(newest(rows, list(spec.key), order), table_rules(spec, rows.columns))
         if parents:
             known = {p: self.warehouse.read(p, slices[p]) for p in set(parents.values())}
@@ -165,15 +178,29 @@ class Load:
         self.letters.append(quarantined(tagged, table))
         self.reports.append(route_counts(tagged, table))
         fine = accepted(tagged)
-        self.warehouse.apply(table, fine.select(*[c for c in fine.columns if c in spec.names]), stored)
+        if table in OFFSET_TABLES:
+            self.reached.append(fetch_offset(fine).select(F.lit(table).alias("sequencename"), F.col("offset").alias("lastval")))
+        self.warehouse.apply(table, fine.select(*[c for c in fine.columns if c in spec.names]), stored.select(*spec.names))
         return arrivals(stored, fine, list(spec.key), spec.age)
 
 
-def run_sync(spark: SparkSession, landing: str, warehouse: str, label: str = "sync", hooks: Hooks | None = None) -> DataFrame:
-    """Load every page of a landing folder into the base tables of a warehouse folder."""
+def run_sync(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    label: str | None = None,
+    hooks: Hooks | None = None,
+    since: str | None = None,
+) -> DataFrame:
+    """Load the pages of a landing folder into the base tables of a warehouse folder.
+
+    Every load has a label of its own unless one is given, so dead letters of earlier loads stay. ``since``
+    (``yyyy-MM-dd'T'HH:mm:ss``, in the session's zone) leaves files alone that were landed before; a
+    file that is read again changes nothing.
+    """
     configure(spark)
     scale_to(spark, landing)
-    return Load(Warehouse(spark, warehouse), label, hooks).run(read_pages(spark, landing))
+    return Load(Warehouse(spark, warehouse), label or f"sync-{uuid4().hex}", hooks).run(read_pages(spark, landing, since))
 
 
 def stored_rows(warehouse: Warehouse) -> DataFrame:

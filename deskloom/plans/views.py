@@ -181,9 +181,9 @@ def ticket_view(t: Tables, types: Mapping[str, str] | None = None) -> DataFrame:
     )
 
 
-def ticket_view_sorted(t: Tables) -> DataFrame:
+def ticket_view_sorted(t: Tables, types: Mapping[str, str] | None = None) -> DataFrame:
     """The ticket view in id order, for presentation."""
-    return ticket_view(t).orderBy("id")
+    return ticket_view(t, types).orderBy("id")
 
 
 def ticket_view_basic(t: Tables) -> DataFrame:
@@ -248,13 +248,16 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def register_views(spark: SparkSession, tables: Tables) -> None:
+def register_views(spark: SparkSession, tables: Tables, types: Mapping[str, str] | None = None) -> None:
     """Make base tables (lower-case names) and views available to ``spark.sql``.
 
+    ``types`` maps the site's own addresses to ticket types (``settings.recipient_types``).
+
     Further views over them are plain ``CREATE OR REPLACE TEMP VIEW`` statements. SQL names are
     case-blind, so a view whose name equals a base table's in another case must not be added.
     """
     for name, rows in tables.items():
         rows.createOrReplaceTempView(name)
     for name, view in VIEWS.items():
-        view(tables).createOrReplaceTempView(name)
+        rows = view(tables, types) if view is ticket_view else view(tables)
+        rows.createOrReplaceTempView(name)

@@ -86,13 +86,17 @@ def _definitions(name: str) -> Table:
     )
 
 
+# A key column that is not stored: the title of an attribute whose field is unknown. All such fields carry id 0,
+# so the title tells them apart; a known field is its id, whatever it is called now.
+UNKNOWN_FIELD = "_unknown_field"
+
+
 def _attributes(name: str, parent: str, length: int) -> Table:
     return Table(
         name,
         (ident("objectid"), ident("id"), text("title", default=None),
          text("value", length, default=None), text("transformed", length, default=None)),
-        # Unknown field keys all carry id 0, so the title keeps them apart.
-        key=("objectid", "id", "title"),
+        key=("objectid", "id", UNKNOWN_FIELD),
         parents={"objectid": parent},
         slice_by="objectid",
         sort_by=("title", "objectid"),

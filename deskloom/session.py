@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -25,34 +26,41 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Target size of a shuffle partition, and the most partitions a shuffle starts with. Adaptive execution
-# merges small ones afterwards, so the start may be generous; its number of blocks must not be.
+# Target size of a shuffle partition. Adaptive execution merges small ones, so the start may be generous.
 PARTITION_BYTES = 64 * 1024 * 1024
-MOST_PARTITIONS = 32_768
 
 
-def scale_to(spark: SparkSession, folder: str) -> int:
-    """Let shuffles start with enough partitions for the data under a folder; returns the number.
+def scale_to(spark: SparkSession, *paths: str) -> int:
+    """Let shuffles start with enough partitions for the data under the paths; returns the number.
 
     The session's own ``spark.sql.shuffle.partitions`` is the least.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    held = files.getContentSummary(path).getLength()
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(least, min(held // PARTITION_BYTES, MOST_PARTITIONS))
+    held = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        held += files.getContentSummary(path).getLength()
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), held // PARTITION_BYTES)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return partitions
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder.
-
-    Only a local-mode session may go without one; it gets a fresh temporary folder.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder,
+    else one beside the tables of the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="deskloom-")
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_runs").rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, for one run; it is deleted when the driver exits."""
+    folder = f"{shared_folder(spark)}/run-{uuid4()}"
+    atexit.register(_delete, spark, folder)
+    return folder
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    if jvm is not None and spark.sparkContext._jsc is not None:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskloom.operators.upsert import align, arrivals, newest, record_columns, survivors
+from deskloom.operators.upsert import align, arrivals, keyed, newest, record_columns, survivors
 from deskloom.rows import with_seed
 from deskloom.schema import TABLES, Table
 
@@ -99,7 +99,8 @@ class Warehouse:
         empty = self.spark.createDataFrame([], spec.struct)
         if not folders:
             return with_seed(table, empty)
-        chosen = [path for k, path in folders.items() if only is None or k in only]
+        wanted = folders.keys() if only is None else set(only)
+        chosen = [path for k, path in folders.items() if k in wanted]
         if not chosen:
             return empty
         stored = T.StructType([*spec.struct.fields, T.StructField(SLICE, T.LongType())])
@@ -132,6 +133,7 @@ class Warehouse:
         """Commit rows, which must be the whole content of every slice they fall into."""
         spec = TABLES[table]
         version = (self.versions(table) or [0])[-1] + 1
+        folder = f"{self.root}/{table}/version={version}"
         (
             align(rows, spec)
             .withColumn(SLICE, slice_of(spec))
@@ -139,7 +141,7 @@ class Warehouse:
             .sortWithinPartitions(SLICE, *(spec.sort_by or spec.key))
             .write.mode("overwrite")
             .partitionBy(SLICE)
-            .parquet(f"{self.root}/{table}/version={version}")
+            .parquet(folder)
         )
         return version
 
@@ -153,7 +155,8 @@ class Warehouse:
         present = [c.name for c in spec.columns if c.name in batch.columns]
         slices = self.touched(table, batch)[table]
         if slices:
-            ranked = newest(batch.select(*present, *extra), list(spec.key), ([spec.age] if spec.age else []) + order)
+            rows = keyed(batch.select(*present, *extra), spec)
+            ranked = newest(rows, list(spec.key), ([spec.age] if spec.age else []) + order)
             self.apply(table, ranked.select(*present), self.read(table, slices))
 
     def apply(self, table: str, incoming: DataFrame, stored: DataFrame) -> None:
@@ -164,17 +167,18 @@ class Warehouse:
         spec = TABLES[table]
         key = list(spec.key)
         kept = [c for c in spec.names if c not in incoming.columns and c not in record_columns(spec)]
-        rows = align(incoming, spec)
-        written = arrivals(stored, rows, key, spec.age, kept).select(*stored.columns)
-        self.write(table, survivors(stored, rows, key, spec.age).unionByName(written))
+        rows, held = keyed(align(incoming, spec), spec), keyed(stored, spec)
+        written = arrivals(held, rows, key, spec.age, kept).select(*held.columns)
+        self.write(table, survivors(held, rows, key, spec.age).unionByName(written))
 
     def offset(self, table: str) -> DataFrame:
         """One row: the newest ``updatedat`` stored, 0 for an empty table."""
         return fetch_offset(self.read(table))
 
-    def save_offsets(self, tables: list[str]) -> None:
-        """Record the offset of each table in the offset table."""
-        self.upsert("sequencetable", offsets({t: self.read(t) for t in tables}))
+    def advance_offsets(self, reached: DataFrame) -> None:
+        """Raise stored offsets to those reached, ``(sequencename, lastval)``; none goes back."""
+        every = self.read("sequencetable").select("sequencename", "lastval").unionByName(reached)
+        self.upsert("sequencetable", every.groupBy("sequencename").agg(F.max("lastval").alias("lastval")))
 
     # --- dead letters and reports; the label names the load, so a replay replaces its own ---
 

@@ -19,9 +19,10 @@ from deskloom.settings import API_PATH, FULL_PAGE
 CORRUPT = "_unreadable"
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed pages of a folder: JSON lines, one page per line."""
-    return spark.read.schema(PAGE).json(folder)
+def read_pages(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
+    """Landed pages of a folder: JSON lines, one page per line; only of files modified after ``since``, if given."""
+    reader = spark.read.schema(PAGE)
+    return (reader.option("modifiedAfter", since) if since else reader).json(folder)
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -113,8 +114,8 @@ def split_pages(pages: DataFrame) -> DataFrame:
 
     A regular page carries one known member, of the shape its name promises, and its records come
     straight out of that parse. Any other page is taken apart member by member. One that yields no
-    records at all comes as one row of the table :data:`REJECTED`, with its body as the record and
-    the reason as ``problem``.
+    records at all, or whose fetch failed, comes as one row of the table :data:`REJECTED`, with its body as
+    the record and the reason as ``problem``.
     """
     shape = ", ".join([f"`{m}` array<string>" for m in LISTS] + [f"`{m}` string" for m in OBJECTS])
     whole = F.col("_page")
@@ -128,7 +129,14 @@ def split_pages(pages: DataFrame) -> DataFrame:
     table = F.create_map(*[F.lit(v) for pair in sorted(MEMBERS.items()) for v in pair])
     payload = F.col("_members")[F.col("_last")]
     unreadable = (payload != "null") & F.col("_list").isNull()
-    pages = pages.select("url", "fetched_at", "body")
+    fetched = route(F.col("status_code")) == "load"
+    pages = pages.select(
+        "url",
+        "fetched_at",
+        F.when(fetched, F.col("body")).alias("body"),
+        F.when(~fetched, F.coalesce("body", F.lit(""))).alias("_failed"),
+        F.concat(F.lit("status_"), F.coalesce(F.col("status_code").cast("string"), F.lit("none"))).alias("_status"),
+    )
     parsed = once(once(pages, "_page", F.from_json("body", shape)), "_found", found)
     return (
         once(parsed, "_members", _members(F.when(~regular, F.col("body"))))
@@ -137,7 +145,9 @@ def split_pages(pages: DataFrame) -> DataFrame:
         .withColumn("_list", F.when(regular, F.col("_found")[0]["list"]).otherwise(payload_records(payload)))
         .withColumn(
             "problem",
-            F.when(F.col("resource").isNull(), F.lit("unknown_resource")).when(unreadable, F.lit("bad_payload")),
+            F.when(F.col("_failed").isNotNull(), F.col("_status"))
+            .when(F.col("resource").isNull(), F.lit("unknown_resource"))
+            .when(unreadable, F.lit("bad_payload")),
         )
         .select(
             F.when(F.col("problem").isNull(), table[F.col("resource")]).otherwise(F.lit(REJECTED)).alias("table"),
@@ -145,7 +155,7 @@ def split_pages(pages: DataFrame) -> DataFrame:
             F.when(F.col("problem").isNotNull(), F.col("url")).alias("url"),
             F.coalesce("resource", F.lit("")).alias("resource"),
             "problem",
-            F.explode(F.when(F.col("problem").isNull(), F.col("_list")).otherwise(F.array("body"))).alias("record"),
+            F.explode(F.when(F.col("problem").isNull(), F.col("_list")).otherwise(F.array(F.coalesce("_failed", "body")))).alias("record"),
         )
     )
 
@@ -248,12 +258,13 @@ def read_resource(
 def pages_of(pages: DataFrame, changed: DataFrame) -> DataFrame:
     """Child pages that can hold records of the changed tickets, told by their address before any parse.
 
-    A page whose address names no ticket is kept.
+    A page whose address names no ticket is kept, and takes no part in the join.
     """
     ids = changed.select(F.col("id").alias("_changed"))
     ticket = F.regexp_extract("url", r"/tickets/(\d+)/[^/]*$", 1).try_cast("bigint")
-    found = pages.withColumn("_ticket", ticket).join(ids, F.col("_ticket") == F.col("_changed"), "left")
-    return found.filter(F.col("_ticket").isNull() | F.col("_changed").isNotNull()).select(*pages.columns)
+    named = pages.withColumn("_ticket", ticket)
+    found = named.join(ids, F.col("_ticket") == F.col("_changed"), "left_semi").select(*pages.columns)
+    return found.unionByName(named.filter(F.col("_ticket").isNull()).select(*pages.columns))
 
 
 # --- addresses --------------------------------------------------------------------------------
@@ -359,14 +370,20 @@ def loadable(pages: DataFrame) -> DataFrame:
     return pages.filter(route(F.col("status_code")) == "load")
 
 
+def arrived(pages: DataFrame) -> DataFrame:
+    """Pages to load, and those whose fetch ended in an error; one that is to be retried or skipped is neither."""
+    return pages.filter(F.coalesce(route(F.col("status_code")), F.lit("error")).isin("load", "error"))
+
+
 def chain_gaps(pages: DataFrame) -> DataFrame:
-    """Pages that announce a successor which never landed.
+    """Pages that announce a successor which never landed, or came back as anything but a page to load.
 
     An incremental listing goes on while its pages are full, any other while a next page is
     named.
     """
-    envelope = scan_envelope(pages)
+    fetched = loadable(pages)
+    envelope = scan_envelope(fetched)
     goes_on = F.when(is_incremental(F.col("url")), F.col("count") >= FULL_PAGE).otherwise(F.lit(True))
     expected = envelope.filter(F.col("next_page").isNotNull() & goes_on).select("url", "next_page")
-    landed = pages.select(F.col("url").alias("_landed")).distinct()
+    landed = fetched.select(F.col("url").alias("_landed")).distinct()
     return expected.join(landed, F.col("next_page") == F.col("_landed"), "left_anti")

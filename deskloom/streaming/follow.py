@@ -1,8 +1,8 @@
 """Follow a landing folder with Structured Streaming and load each micro-batch of pages.
 
 Loads are idempotent, so a batch that is replayed after a failure leaves the same tables; its dead
-letters are written under the batch's own label and replace those of the first try. No watermark is
-used: late records are never dropped, the newest version of a key stays.
+letters are written under the batch's own label (the stream's id and the batch's number) and replace those
+of the first try. No watermark is used: late records are never dropped, the newest version of a key stays.
 """
 
 from __future__ import annotations
@@ -10,17 +10,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from deskloom.operators.flatten import audits_with, change_events, changed_ids
+from deskloom.operators.flatten import changed_ids
 from deskloom.operators.hooks import Hooks
 from deskloom.plans.sync import Load
 from deskloom.schema import PAGE
-from deskloom.session import configure
+from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
 from deskloom.sinks.warehouse import Warehouse
-from deskloom.sources.pages import children_of, decode, decode_records, good, loadable, pages_of, split_pages
+from deskloom.sources.pages import (
+    arrived,
+    children_of,
+    decode,
+    decode_records,
+    good,
+    loadable,
+    pages_of,
+    rejected_pages,
+    rejected_records,
+    split_pages,
+)
 
 
 def page_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
@@ -31,8 +41,15 @@ def page_stream(spark: SparkSession, landing: str, files_per_batch: int | None =
     return reader.json(landing)
 
 
-def _start(pages: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, drain: bool) -> StreamingQuery:
-    writer = pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+def _start(pages: DataFrame, each: Callable[[DataFrame, str], None], checkpoint: str, drain: bool) -> StreamingQuery:
+    """Start a stream that hands each batch of pages over with a label no other batch or stream has."""
+
+    def labelled(batch: DataFrame, number: int) -> None:
+        # The id that the checkpoint keeps: a new checkpoint is a new stream, at the same place too.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        each(batch, f"stream-{stream}-{number}")
+
+    writer = pages.writeStream.foreachBatch(labelled).option("checkpointLocation", checkpoint)
     if drain:
         writer = writer.trigger(availableNow=True)
     return writer.start()
@@ -48,11 +65,10 @@ def follow(
     drain: bool = False,
 ) -> StreamingQuery:
     """Load every resource from a landing folder; ``drain`` stops once all landed pages are loaded."""
-    configure(spark)
+    scale_to(configure(spark), landing)
 
-    def each(pages: DataFrame, batch: int) -> None:
-        target = Warehouse(pages.sparkSession, warehouse)
-        Load(target, f"batch-{batch}", hooks).run(pages)
+    def each(pages: DataFrame, label: str) -> None:
+        Load(Warehouse(pages.sparkSession, warehouse), label, hooks).run(pages)
 
     return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)
 
@@ -66,11 +82,11 @@ def follow_table(
     files_per_batch: int | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Upsert one resource as its pages land, without reference checks."""
-    configure(spark)
+    """Load one resource as its pages land, with all checks against what is stored of its parents."""
+    scale_to(configure(spark), landing)
 
-    def each(pages: DataFrame, batch: int) -> None:
-        Warehouse(pages.sparkSession, warehouse).upsert(table, good(decode(loadable(pages), table)), ["fetched_at"])
+    def each(pages: DataFrame, label: str) -> None:
+        Load(Warehouse(pages.sparkSession, warehouse), label, tables=(table,)).run(pages)
 
     return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)
 
@@ -80,6 +96,12 @@ def decode_stream(spark: SparkSession, landing: str, table: str, files_per_batch
     return good(decode(loadable(page_stream(spark, landing, files_per_batch)), table))
 
 
+def rejected_stream(spark: SparkSession, landing: str, table: str, files_per_batch: int | None = None) -> DataFrame:
+    """What :func:`decode_stream` leaves out, as dead letters: failed and unknown pages, unreadable records."""
+    split = split_pages(arrived(page_stream(spark, landing, files_per_batch)))
+    return rejected_pages(split).unionByName(rejected_records(decode_records(split.filter(split["table"] == table), table), table))
+
+
 def follow_children(
     spark: SparkSession,
     landing: str,
@@ -90,23 +112,24 @@ def follow_children(
     files_per_batch: int | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """For each batch of changed tickets, refresh their audits and metrics from the child pages."""
-    configure(spark)
-
-    def each(pages: DataFrame, batch: int) -> None:
-        target, label = Warehouse(pages.sparkSession, warehouse), f"children-{batch}"
-        changed = target.stage(changed_ids(good(decode(loadable(pages), "ticket"))), f"{label}/changed")
-        children = pages_of(loadable(child_pages(pages.sparkSession)), changed)
-        records = target.stage(split_pages(children), f"{label}/records", by="table")
-
-        def refreshed(table: str) -> DataFrame:
-            return children_of(good(decode_records(records.filter(F.col("table") == table), table)), changed)
-
-        audits = target.stage(refreshed("audit"), f"{label}/audits")
-        events = change_events(audits, target.read("ticketfields"), titles, ["fetched_at"])
-        target.upsert("audit", audits_with(audits, events), ["fetched_at"])
-        target.upsert("changeevent", events, ["fetched_at"])
-        target.upsert("ticketmetric", refreshed("ticketmetric"), ["fetched_at"])
-        target.drop(f"staging/{label}")
+    """For each batch of changed tickets, refresh their audits and metrics from the child pages.
+
+    Children go through the checks of every load; ticket records that cannot be read become dead letters.
+    """
+    scale_to(configure(spark), landing)
+
+    def each(pages: DataFrame, label: str) -> None:
+        target = Warehouse(pages.sparkSession, warehouse)
+        staging = f"{label}-tickets"
+        split = target.stage(split_pages(arrived(pages)), f"{staging}/records", by="table")
+        tickets = target.stage(decode_records(split.filter(split["table"] == "ticket"), "ticket"), f"{staging}/decoded")
+        target.quarantine(rejected_pages(split).unionByName(rejected_records(tickets, "ticket")), staging)
+        changed = target.stage(changed_ids(good(tickets)), f"{staging}/changed")
+        hooks = Hooks()
+        for table in ("audit", "ticketmetric"):
+            hooks.register(table, lambda rows: children_of(rows, changed))
+        load = Load(target, label, hooks, titles, ("audit", "changeevent", "ticketmetric"))
+        load.run(pages_of(child_pages(pages.sparkSession), changed))
+        target.drop(f"staging/{staging}")
 
     return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)

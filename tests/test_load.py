@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from conftest import rows_of
@@ -71,6 +72,7 @@ def base_pages():
         page("satisfaction_ratings", [{"id": 80, "ticket_id": 1, "assignee_id": 500, "requester_id": 500, "group_id": 1, "score": "good"}]),
         page("tickets", [ticket(5)], status=404),
         page(None, "oops"),
+        page("groups", [{"id": 2, "name": "never"}], status=500),
     ]
 
 
@@ -140,10 +142,14 @@ def test_report(loaded):
     }
 
 
+LETTERS = 7
+
+
 def test_dead_letters(loaded):
     letters = rows_of(loaded[2].quarantined(), "resource", "key", "reason")
     assert letters == [
         ("", f"{API}/None.json", "unknown_resource"),
+        ("", f"{API}/groups.json", "status_500"),
         ("audit", "1002/2", "ticketid:no_parent"),
         ("organization", "101", "groupid:no_parent"),
         ("ticket", "2", "assigneeid:no_parent"),
@@ -172,7 +178,7 @@ def test_read_resource(spark, loaded):
 
 
 def test_staging_is_dropped(loaded):
-    assert not (loaded[0] / "tables" / "staging" / "sync").exists()
+    assert not list((loaded[0] / "tables" / "staging").glob("*"))
 
 
 def test_views_over_a_load(spark, loaded):
@@ -196,7 +202,11 @@ def test_running_again_changes_nothing(spark, loaded):
     before = {t: rows_of(target.read(t)) for t in LOAD_ORDER}
     run_sync(spark, str(root / "landing"), str(root / "tables"))
     assert {t: rows_of(target.read(t)) for t in LOAD_ORDER} == before
-    assert target.quarantined().count() == 6
+    # Letters of every load stay; a load under the same label replaces its own.
+    assert target.quarantined().count() == 2 * LETTERS
+    for _ in range(2):
+        run_sync(spark, str(root / "landing"), str(root / "tables"), label="same")
+    assert target.quarantined().count() == 3 * LETTERS
 
 
 def test_hooks_take_part_in_a_load(spark, tmp_path):
@@ -247,10 +257,45 @@ def test_stream_and_batch_agree(spark, tmp_path, loaded):
 
 def test_replayed_batches_change_nothing(spark, tmp_path):
     landing, tables = tmp_path / "landing", str(tmp_path / "tables")
-    land(landing, "a", page("tickets", [ticket(1), ticket(2)]))
+    land(tmp_path / "before", "a", *base_pages()[3:6])
+    run_sync(spark, str(tmp_path / "before"), tables)
+    land(landing, "a", page("tickets", [ticket(1), ticket(2), ticket(3, assignee=999)]), page("tickets", "oops", status=503), page(None, "bad"))
     land(landing, "b", page("tickets", [ticket(1, day=3, status="solved")], fetched=2))
     for attempt in ("first", "again"):  # a lost checkpoint replays every file
         follow_table(
             spark, str(landing), "ticket", tables, str(tmp_path / attempt), files_per_batch=1, drain=True
         ).awaitTermination()
-        assert rows_of(Warehouse(spark, tables).read("ticket"), "id", "status") == [(1, "solved"), (2, "open")]
+        target = Warehouse(spark, tables)
+        assert rows_of(target.read("ticket"), "id", "status") == [(1, "solved"), (2, "open")]
+    # The stream's own label: each of the two streams left its letters.
+    letters = rows_of(target.quarantined().filter("resource <> 'organization'"), "resource", "reason")
+    assert letters == 2 * [("", "status_503")] + 2 * [("", "unknown_resource")] + 2 * [("ticket", "assigneeid:no_parent")]
+
+
+def test_a_renamed_field_replaces_its_value(spark, tmp_path):
+    tables = str(tmp_path / "tables")
+    land(tmp_path / "a", "a", *base_pages())
+    run_sync(spark, str(tmp_path / "a"), tables)
+    fields = [{"id": 11, "type": "text", "title": "Renamed", "updated_at": at(5)}]
+    organization = {"id": 100, "name": "Acme", "group_id": 1, "updated_at": at(5), "organization_fields": {"other": "x"}}
+    land(tmp_path / "b", "b", page("ticket_fields", fields), page("tickets", [ticket(1, day=5)], fetched=2), page("organizations", [organization], fetched=2))
+    run_sync(spark, str(tmp_path / "b"), tables)
+    target = Warehouse(spark, tables)
+    assert rows_of(target.read("ticketdata").filter("id = 11"), "objectid", "title") == [(1, "Renamed")]
+    assert rows_of(target.read("organizationdata").filter("id = 0"), "title") == [("odd",), ("other",)]
+
+
+def test_files_landed_before_are_left_alone(spark, tmp_path):
+    land(tmp_path / "in", "a", *base_pages())
+    land(tmp_path / "in", "b", page("groups", [{"id": 7, "name": "later"}], fetched=2))
+    os.utime(tmp_path / "in" / "a.json", (0, 0))
+    report = run_sync(spark, str(tmp_path / "in"), str(tmp_path / "tables"), since="2020-01-01T00:00:00")
+    assert rows_of(report, "table", "read") == [("groups", 1)]
+
+
+def test_sql_views_know_the_sites_own_addresses(spark, loaded):
+    tables = {t: loaded[2].read(t) for t in LOAD_ORDER}
+    register_views(spark, tables, {"escalations@example.com": "mine"})
+    assert rows_of(spark.sql("SELECT type FROM TicketView")) == [("mine",)]
+    for name in LOAD_ORDER:
+        spark.catalog.dropTempView(name)

@@ -39,7 +39,7 @@ def test_flatten_map_keeps_unknown_keys_apart(spark):
     )
     rows = flatten.flatten_map(df, flatten.index_keys(fields(spark, (10, "Ten"))), "user_fields")
     assert rows_of(rows, "id", "title", "value") == [(0, "x", "b"), (0, "y", "c"), (10, "k10", "a")]
-    assert quality.duplicate_keys(rows, list(TABLES["userdata"].key)).count() == 0
+    assert quality.duplicate_keys(upsert.keyed(rows, TABLES["userdata"]), list(TABLES["userdata"].key)).count() == 0
 
 
 def test_change_events(spark):

@@ -145,6 +145,9 @@ def test_chain_gaps(spark):
     ]
     pages = spark.createDataFrame([(u, 200, 0, b) for u, b in rows], PAGE)
     assert rows_of(p.chain_gaps(pages), "url") == [(f"{snap}2",), (f"{inc}5",)]
+    # A successor that came back as an error is missing, and an error announces nothing.
+    failed = spark.createDataFrame([(f"{inc}6", 500, 0, ""), (f"{snap}3", 503, 0, body("groups", 3, f"{snap}4"))], PAGE)
+    assert rows_of(p.chain_gaps(pages.unionByName(failed)), "url") == [(f"{snap}2",), (f"{inc}5",)]
 
 
 def test_since_includes_the_boundary(spark):

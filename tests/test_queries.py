@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from deskloom.catalog import queries
+from deskloom.oracles import oracle_sql
 
 SF = "/root/testdata/sf0.001"
 SQL = oracle_sql()

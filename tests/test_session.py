@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-import pytest
+import glob
 
 from deskloom import session
 
@@ -11,8 +11,7 @@ def test_shuffles_start_with_enough_partitions(spark, tmp_path, monkeypatch):
     assert session.scale_to(spark, str(tmp_path)) == least
     monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
     assert session.scale_to(spark, str(tmp_path)) == 10
-    monkeypatch.setattr(session, "MOST_PARTITIONS", 7)
-    assert session.scale_to(spark, str(tmp_path)) == 7
+    assert session.scale_to(spark, str(tmp_path), str(tmp_path / "data")) == 20
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
@@ -28,9 +27,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     cluster = "spark://host:7077"
     assert session.shared_folder(Stub(cluster, spark_checkpoint_dir="/shared/run/")) == "/shared/run"
     assert session.shared_folder(Stub(cluster, context="hdfs://x/ck")) == "hdfs://x/ck"
-    assert session.shared_folder(spark).startswith("/tmp/")
+    assert session.shared_folder(Stub(cluster, spark_sql_warehouse_dir="s3://b/tables/")) == "s3://b/tables/_runs"
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(Stub("spark://host:7077"))
+def test_run_folders_are_deleted(spark):
+    folder = session.run_folder(spark)
+    spark.range(1).write.parquet(f"{folder}/x")
+    assert folder != session.run_folder(spark)
+    session._delete(spark, folder)
+    assert not glob.glob(f"{folder.removeprefix('file:')}*")
