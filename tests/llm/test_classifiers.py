@@ -5,7 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from deskloom.llm import langid, queries, toxicity

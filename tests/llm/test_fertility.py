@@ -6,7 +6,7 @@ from collections import Counter
 
 from hypothesis import given
 from hypothesis import strategies as st
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import fertility, queries
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import mixing, queries
 

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import neardup, queries
 from deskloom.llm.common import Stage

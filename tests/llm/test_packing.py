@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given
 from hypothesis import strategies as st
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, folder_of, make_docs, odd_rows, sample  # noqa: F401
 from tokenizers import Tokenizer
 
 from deskloom.llm import packing, queries

@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
-from llm_fixtures import SF
+from llm_fixtures import SF, make_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 from test_neardup import check as check_groups
 from test_packing import check as check_pieces
@@ -50,8 +50,6 @@ def test_run_gives_what_the_stages_give(spark):
 
 
 def test_stages_take_odd_and_empty_tables(spark, make_docs):
-    from llm_fixtures import odd_rows
-
     for docs in (make_docs(odd_rows()).selectExpr("*", "1 as kept", "2 as length", "3 as sequence_id"), make_docs([])):
         for name, stage in corpus_pipeline.STAGES:
             got = stage(spark, docs, SF)

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import queries, secrets
 

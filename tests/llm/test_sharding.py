@@ -4,7 +4,7 @@ import random
 import zlib
 from collections import defaultdict
 
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import queries, sharding
 

@@ -4,7 +4,7 @@ import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_fixtures import SF, odd_rows
+from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import queries, tokencount
 
