@@ -20,9 +20,8 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
-    net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    named = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text")
-    return toxicity.score(named, net).drop("text")
+    named = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text", "lang")
+    return toxicity.fit_and_score(named, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,18 @@ over the words of a text, each takes the largest answer it finds anywhere, and a
 number of these. Embeddings start from how much more often a bucket is found in toxic texts than chance
 allows (0 for the rare ones) and are trained with the rest by Adam on the logistic loss.
 
-Thresholds are calibrated by language on rows set apart from the training: for each language the number that
-tells its toxic rows best becomes 0.5. A text's language is guessed from its words, so a score depends
-on the text alone; a language with fewer than ``CALIBRATION_LEAST`` toxic rows uses the threshold of all.
-
-Learned are labelled rows whose id is not held out (crc32 of the id as text, modulo 5, is not 0), at most
-``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them by hash of their id, the first ``TRAINING_CHARS`` of each. Scores are
-of whole texts. Null texts and texts without words score as a text none of whose words is known. Without
-labelled rows of both kinds every score is 0. Repeated rows score the same; where ids repeat, each text that
-a label's id names is an example.
+Learned are whole texts of labelled rows whose id is not held out (crc32 of the id as text, modulo 5, is not
+0), at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them by hash of their id.
+
+Thresholds are calibrated by language on all labelled rows that are not held out, however many: tasks score
+them, those learned from among them, and what is gathered is how many toxic and clean rows of a language have
+their number in each of ``BINS`` bins of equal width. For each language the edge that tells its toxic rows best becomes 0.5. A text's language
+is guessed from its words, so a score depends on the text alone; a language with fewer than
+``CALIBRATION_LEAST`` toxic or clean rows in all uses the threshold of all languages.
+
+Scores are of whole texts. Null texts and texts without words score as a text none of whose words is known.
+Without labelled rows of both kinds every score is 0. Repeated rows score the same; where ids repeat, each text
+that a label's id names is an example.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskloom.llm.common import add_columns
+from deskloom.llm.common import Stage, add_columns
 from deskloom.llm.langid import held_out
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -38,13 +41,16 @@ EPOCHS = 8
 BATCH = 128
 TOXIC_ROWS = 3000
 CLEAN_ROWS = 5000
-TRAINING_CHARS = 20_000
 CALIBRATION_LEAST = 30
+# Bins of a histogram of numbers, and the number its middle bins end at on either side; further ones count as its ends.
+BINS = 2048
+FURTHEST = 32.0
 SEED = 11
 # Words run through the filters at once, and bytes of text in a block: they bound a task's memory.
 STRETCH = 1 << 16
 SCORED_BYTES = 1 << 20
 
+RATED = T.StructType([T.StructField("_logit", T.FloatType()), T.StructField("_language", T.IntegerType())])
 FIELDS = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
 
@@ -105,6 +111,24 @@ def pooled(net: Network, words: np.ndarray, owner: np.ndarray, texts: int) -> np
     return best
 
 
+def peaks(net: Network, words: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest answer of every filter in every text, and the first position where it is found."""
+    best = np.zeros((texts, len(WIDTHS) * FILTERS), np.float32)
+    place = np.zeros(best.shape, np.int64)
+    reach = max(WIDTHS) - 1
+    for start in range(0, len(words), STRETCH):
+        answers = convolve(net, words[start : start + STRETCH + reach])[:STRETCH]
+        mine = owner[start : start + STRETCH]
+        first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+        own, part = mine[first], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(mine)]))
+        top = np.maximum.reduceat(answers, first, axis=0)
+        found = np.where(answers == top[part], np.arange(len(mine), dtype=np.int32)[:, None], np.int32(STRETCH))
+        at = start + np.minimum.reduceat(found, first, axis=0)
+        place[own] = np.where(top > best[own], at, place[own])
+        best[own] = np.maximum(best[own], top)
+    return best, place
+
+
 def logits(net: Network, words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     return pooled(net, words, owner, texts) @ net.out[:-1] + net.out[-1]
 
@@ -149,10 +173,7 @@ def train(texts: list[str], toxic: list[int], langs: list[str | None]) -> Networ
     rng = np.random.default_rng(SEED)
     known: dict = {}
     parts = [hashed([t], known)[0] for t in texts]
-    shuffled = rng.permutation(len(texts))
-    apart, rest = shuffled[: len(shuffled) // 4], shuffled[len(shuffled) // 4 :]
-    if label[rest].min() == label[rest].max():
-        rest = shuffled
+    rest = rng.permutation(len(texts))
 
     def batch(rows):
         return np.concatenate([parts[i] for i in rows]), np.repeat(np.arange(len(rows)), [len(parts[i]) for i in rows])
@@ -179,21 +200,17 @@ def train(texts: list[str], toxic: list[int], langs: list[str | None]) -> Networ
         for start in range(0, len(rest), BATCH):
             rows = rng.permutation(rest)[:BATCH]
             words, owner = batch(rows)
-            answers = convolve(net, words)
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            best = np.maximum.reduceat(answers, first, axis=0)
+            best, at = peaks(net, words, owner, len(rows))
             z = best @ net.out[:-1] + net.out[-1]
             slope = (1 / (1 + np.exp(-z)) - label[rows]) * weight[rows] / len(rows)
             d_out = np.r_[best.T @ slope, slope.sum()] + 1e-4 * net.out
             d_best = slope[:, None] * net.out[:-1] * (best > 0)
             d_kernel, d_bias = 1e-4 * net.kernel, d_best.sum(axis=0)
             d_words: list = []
-            for f in range(answers.shape[1]):
-                at = np.flatnonzero(answers[:, f] == best[owner, f])
-                at = at[np.unique(owner[at], return_index=True)[1]]  # the first place of each text's largest answer
+            for f in range(best.shape[1]):
                 i, k = divmod(f, FILTERS)
                 for j in range(WIDTHS[i]):
-                    place = np.minimum(at + j, len(words) - 1)
+                    place = np.minimum(at[:, f] + j, len(words) - 1)
                     x = np.concatenate([net.embedding[0][words[place, 0]], net.embedding[1][words[place, 1]]], axis=1)
                     d_kernel[:, firsts[i] + j, k] += d_best[:, f] @ x
                     d_words.append((words[place], d_best[:, f, None] * net.kernel[:, firsts[i] + j, k]))
@@ -207,71 +224,110 @@ def train(texts: list[str], toxic: list[int], langs: list[str | None]) -> Networ
                 squares[side, seen] += (total**2).mean(axis=1)
                 step = 0.05 * total / np.sqrt(squares[side, seen])[:, None]
                 net.embedding[side, seen] -= np.where(seen[:, None] > 0, step, 0).astype(np.float32)
-    return calibrated(net, [parts[i] for i in apart], label[apart])
-
-
-def calibrated(net: Network, parts: list[np.ndarray], label: np.ndarray) -> Network:
-    """The network with the threshold of each language that tells these rows best."""
-    if not len(parts):
-        return net
-    z, lang = [], []
-    for p in parts:
-        owner = np.zeros(len(p), int)
-        z.append(logits(net, p, owner, 1)[0])
-        lang.append(guessed(net, p, owner, 1)[0])
-    z, lang = np.array(z), np.array(lang)
-
-    def best(rows: np.ndarray) -> float:
-        order = np.argsort(z[rows], kind="stable")
-        values, labels = z[rows][order], label[rows][order]
-        # Errors if all from place i on are called toxic; the middle of the best places.
-        errors = np.r_[0, np.cumsum(labels)] + np.r_[np.cumsum((1 - labels)[::-1])[::-1], 0]
+    return net
+
+
+def calibrated(net: Network, counts: dict[tuple[int, int], np.ndarray]) -> Network:
+    """The network with the threshold of each language that tells its rows best, from counts by bin of rows of
+    (language, toxic)."""
+    edges = np.linspace(-FURTHEST, FURTHEST, BINS + 1)
+
+    def best(clean: np.ndarray, toxic: np.ndarray) -> float:
+        # Errors if all from bin i on are called toxic; the middle of the best edges.
+        errors = np.r_[0, np.cumsum(toxic)] + np.r_[np.cumsum(clean[::-1])[::-1], 0]
         places = np.flatnonzero(errors == errors.min())
-        place = places[len(places) // 2]
-        low = values[place - 1] if place else values[0] - 1
-        high = values[place] if place < len(values) else values[-1] + 1
-        return float((low + high) / 2)
+        return float(edges[places[len(places) // 2]])
 
-    everyone = best(np.arange(len(z)))
-    by_lang = [np.flatnonzero(lang == k) for k in range(len(net.thresholds))]
-    enough = [min(label[r].sum(), (1 - label[r]).sum()) >= CALIBRATION_LEAST for r in by_lang]
-    return net._replace(thresholds=np.array([best(r) if e else everyone for r, e in zip(by_lang, enough)], np.float32))
+    none = np.zeros(BINS, np.int64)
+    by_lang = [(counts.get((k, 0), none), counts.get((k, 1), none)) for k in range(len(net.thresholds))]
+    everyone = best(sum(c for c, _ in by_lang), sum(t for _, t in by_lang))
+    enough = [min(c.sum(), t.sum()) >= CALIBRATION_LEAST for c, t in by_lang]
+    return net._replace(thresholds=np.array([best(*r) if e else everyone for r, e in zip(by_lang, enough)], np.float32))
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """The labels that may be learned from, one row (doc_id, toxic) per id."""
+    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list, list, list]:
-    """Texts, labels and languages of at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` rows."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    """Whole texts, labels and languages of at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled ids."""
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("n", F.row_number().over(order))
+    ranked = known_labels(labels).withColumn("n", F.row_number().over(order))
     chosen = ranked.where(F.col("n") <= F.when(F.col("toxic") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)).drop("n")
-    texts = docs.where("text is not null").select("doc_id", F.substring("text", 1, TRAINING_CHARS).alias("text"), "lang")
+    texts = docs.where("text is not null").select("doc_id", "text", "lang")
     # No more ids than there are training rows: a side of known size.
     rows = [tuple(r) for r in texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", "lang").collect()]
     rows.sort(key=lambda r: (r[0], r[1]))
     return [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows]
 
 
+def calibrate(rated: DataFrame, labels: DataFrame, net: Network) -> Network:
+    """The network with thresholds of all labelled rows among ``rated`` (doc_id, and what :func:`rate` adds)."""
+    place = F.floor((F.col("_logit").cast("double") + FURTHEST) * (BINS / (2 * FURTHEST)))
+    place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place)).cast("int").alias("bin")
+    # Texts stay where they are: what meets the labels is an id and two numbers.
+    rows = rated.select("doc_id", "_language", place).join(known_labels(labels), "doc_id")
+    counts: dict = {}
+    for language, toxic, at, n in rows.groupBy("_language", "toxic", "bin").count().collect():
+        counts.setdefault((language, toxic), np.zeros(BINS, np.int64))[at] = n
+    return calibrated(net, counts)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     """A network of the labelled documents: ``docs`` (doc_id, text, lang), ``labels`` (doc_id, toxic)."""
-    return train(*training_rows(docs, labels))
+    net = train(*training_rows(docs, labels))
+    return net and calibrate(rate(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))), net), labels, net)
 
 
-def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``, from ``text`` alone (replacing such columns)."""
-    sent = docs.sparkSession.sparkContext.broadcast(None if net is None else tuple(net))
+def rate(docs: DataFrame, net: Network) -> DataFrame:
+    """``docs`` with ``_logit`` and ``_language``, what the network says of ``text`` before any threshold."""
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(net))
 
     def make():
-        own = None if sent.value is None else Network(*sent.value)
+        own = Network(*sent.value)
         known: dict = {}
 
         def compute(texts):
-            p = np.zeros(len(texts))
-            if own is not None and texts:
-                words, owner = hashed(texts, known)
-                z = logits(own, words, owner, len(texts)) - own.thresholds[guessed(own, words, owner, len(texts))]
-                p = 1 / (1 + np.exp(-np.clip(z.astype(float), -30, 30)))
-            return {"score": p, "predicted": (p >= 0.5).astype(int)}
+            if not texts:
+                return {"_logit": [], "_language": []}
+            words, owner = hashed(texts, known)
+            z = logits(own, words, owner, len(texts)).astype(np.float32)
+            return {"_logit": z, "_language": guessed(own, words, owner, len(texts)).astype(np.int32)}
+
+        return compute
+
+    return add_columns(docs, RATED, make, limit=SCORED_BYTES)
+
+
+def judge(rated: DataFrame, net: Network) -> DataFrame:
+    """Rated documents with ``score`` and ``predicted`` (replacing such columns) in place of what was rated."""
+    thresholds = net.thresholds.astype(np.float64)
+
+    def make():
+        def compute(logit, language):
+            z = np.array(logit, np.float64) - thresholds[np.array(language, np.int64)]
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            return {"score": p, "predicted": (p >= 0.5).astype(np.int32)}
 
         return compute
 
-    return add_columns(docs, FIELDS, make, limit=SCORED_BYTES)
+    return add_columns(rated, FIELDS, make, ("_logit", "_language"), drop=tuple(RATED.names))
+
+
+def score(docs: DataFrame, net: Network | None) -> DataFrame:
+    """``docs`` with ``score`` and ``predicted``, from ``text`` alone (replacing such columns)."""
+    if net is None:
+        kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in FIELDS.names]
+        return docs.select(*kept, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    return judge(rate(docs, net), net)
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """What :func:`fit` and :func:`score` give for ``docs`` (doc_id, text, lang, ...), rated once; without text and lang."""
+    net = train(*training_rows(docs, labels))
+    if net is None:
+        return score(docs, None).drop("text", "lang")
+    rated = Stage(docs.sparkSession)(rate(docs.drop("lang"), net).drop("text"))
+    return judge(rated, calibrate(rated, labels, net))

@@ -70,6 +70,41 @@ def test_odd_rows(spark, make_docs):
     assert toxicity.score(docs.limit(0), None).count() == langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_thresholds_count_all_labelled_rows(spark, make_docs, monkeypatch):
+    """However few rows are learned from, a language's threshold errs least over all its labelled rows."""
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 40)
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 40)
+    rng = random.Random(5)
+    words = [a + b for a in "bdfgklmnprst" for b in ("ado", "ela", "iru", "osa")]
+    rows = []
+    for i in range(1200):
+        some = rng.choices(words, k=20)
+        # Few toxic rows, whose mark is at the end of a long text; and many clean rows that hold it too.
+        rows.append((i, " ".join(some * (220 if i % 8 == 0 else 1) + ["awful"] * (i % 8 == 0 or i % 16 == 1)), "en", "a"))
+    docs = make_docs(rows)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    texts = toxicity.training_rows(docs, labels)[0]
+    assert len(texts) == 80 and max(map(len, texts)) > 20_000 and any(t.endswith("awful") for t in texts if len(t) > 20_000)
+    net = toxicity.fit(docs, labels)
+    seen = [(r, int(r.doc_id % 8 == 0)) for r in toxicity.rate(docs, net).collect() if not held_out(r.doc_id)]
+    assert len(seen) > 900
+    z, label = np.array([r._logit for r, _ in seen]), np.array([t for _, t in seen])
+    errors = lambda at: ((z >= at) != label).sum()
+    edges = np.linspace(-toxicity.FURTHEST, toxicity.FURTHEST, toxicity.BINS + 1)
+    assert errors(net.thresholds[0]) == min(map(errors, edges))
+
+
+def test_thresholds_follow_the_share_of_toxic_rows():
+    net = toxicity.train(["good day", "bad day"] * 4, [0, 1] * 4, ["en"] * 8)
+    clean, toxic = np.zeros((2, toxicity.BINS), int)
+    clean[[1000, 1010]], toxic[[1005, 1020]] = (900, 40), (35, 60)
+    edges = np.linspace(-toxicity.FURTHEST, toxicity.FURTHEST, toxicity.BINS + 1)
+    often = toxicity.calibrated(net, {(0, 0): clean, (0, 1): toxic}).thresholds[0]
+    assert edges[1010] < often <= edges[1020]
+    seldom = toxicity.calibrated(net, {(0, 0): clean // 10, (0, 1): toxic}).thresholds[0]
+    assert edges[1000] < seldom <= edges[1005]
+
+
 def test_long_texts_are_read_to_their_end(monkeypatch):
     rng = random.Random(2)
     clean = [" ".join(rng.choices([f"word{chr(97 + i)}" for i in range(26)], k=40)) for _ in range(300)]
