@@ -6,7 +6,8 @@ that keys are written in are candidates, after excluding
 
 * known digests: hexadecimal of the lengths of the common hash functions, and UUIDs,
 * identifiers: words, words with a short number behind them and numbers, joined by separators or not, where
-  a word's capitals begin parts of ``HUMP`` letters on average.
+  a word's capitals begin parts of ``HUMP`` letters on average, and whose letters look like words by their tokens
+  too: letters of one case at random, in one run or in groups, cost as many tokens as other random strings.
 
 Base kinds (``assign``, ``access``, ``hex``) are always reported; a candidate that overlaps one is not
 reported again. Null and empty texts have no spans. Texts are scanned whole, whatever their length;
@@ -37,6 +38,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
+LETTERS = re.compile(r"[A-Za-z]+")
 WORDS = re.compile(r"[+/_=-]*((\d+|[A-Za-z]+\d{0,4})([+/_=-]+|$))*")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 HUMP = 3
@@ -58,15 +60,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def is_known(run: str) -> bool:
-    """Whether a candidate is no secret by its form alone."""
+def is_known(run: str, wordy: Callable[[list[str]], bool]) -> bool:
+    """Whether a candidate is no secret: by its form, and of an identifier by its runs of letters (``wordy``) too."""
     body = run.strip("+/_=-")
     if UUID.fullmatch(body) or DIGEST.fullmatch(body) and len(body) in DIGEST_LENGTHS:
         return True
     if not WORDS.fullmatch(run):
         return False
     parts = PARTS.findall(body)
-    return sum(map(len, parts)) >= HUMP * len(parts)
+    return sum(map(len, parts)) >= HUMP * len(parts) and wordy(LETTERS.findall(body))
 
 
 def scanner(ranks_file: str, pattern: str, least: float) -> Callable[[str | None], list[tuple[str, int, int]]]:
@@ -76,12 +78,15 @@ def scanner(ranks_file: str, pattern: str, least: float) -> Callable[[str | None
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_file, "rb"))}
     vocabulary = tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def is_random(run: str) -> bool:
-        if is_known(run):
-            return False
+    def tokens(run: str) -> int:
         # In stretches, as merging one long piece is quadratic.
-        tokens = sum(len(vocabulary.encode_ordinary(run[i : i + 1000])) for i in range(0, len(run), 1000))
-        return len(run) < least * tokens
+        return sum(len(vocabulary.encode_ordinary(run[i : i + 1000])) for i in range(0, len(run), 1000))
+
+    def wordy(runs: list[str]) -> bool:
+        return sum(map(len, runs)) >= least * sum(map(tokens, runs))
+
+    def is_random(run: str) -> bool:
+        return not is_known(run, wordy) and len(run) < least * tokens(run)
 
     def scan(text: str | None) -> list[tuple[str, int, int]]:
         text = text or ""

@@ -77,6 +77,19 @@ def test_random_strings_and_what_is_known():
         assert scan(f"a {text} b") == [], text
 
 
+def test_random_letters_of_one_case():
+    scan = secrets.scanner(*secrets.vocabulary(), secrets.CHARS_PER_TOKEN)
+    rng = random.Random(7)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    for letters in (lower, lower.upper()):
+        for sep in "-_/=":
+            keys = ["".join(rng.choices(letters, k=32)) for _ in range(100)]
+            groups = [sep.join("".join(rng.choices(letters, k=5)) for _ in range(5)) for _ in range(100)]
+            for these in (keys, groups):
+                found = [scan(f"key {k} end") == [("random", 4, 4 + len(k))] for k in these]
+                assert sum(found) >= 90
+
+
 def test_redaction(make_docs):
     rows = [(1, "x token = 'abcdefgh12' y", "en", "a"), (2, None, None, None), (3, "clean", "en", "a"), (3, "clean", "en", "a")]
     docs = make_docs(rows)
