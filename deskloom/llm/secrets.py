@@ -9,8 +9,8 @@ that keys are written in are candidates, after excluding
   a word's capitals begin parts of ``HUMP`` letters on average, and whose letters look like words by their tokens
   too: letters of one case at random, in one run or in groups, cost as many tokens as other random strings.
 
-Base kinds (``assign``, ``access``, ``hex``) are always reported; a candidate that overlaps one is not
-reported again. Null and empty texts have no spans. Texts are scanned whole, whatever their length;
+Base kinds (``assign``, ``access``, ``hex``) are always reported; of a candidate that overlaps some, every stretch
+of ``LEAST`` or more characters outside them is a candidate of its own. Null and empty texts have no spans. Texts are scanned whole, whatever their length;
 repeated rows get the same spans each.
 """
 
@@ -34,7 +34,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
@@ -95,11 +96,17 @@ def scanner(ranks_file: str, pattern: str, least: float) -> Callable[[str | None
         at = reach = 0
         for m in CANDIDATE.finditer(text):
             # Candidates come in order: reach is the furthest end of the spans that begin before this ends.
+            free = []
+            start = max(reach, m.start())
             while at < len(taken) and taken[at][0] < m.end():
+                free.append((start, taken[at][0]))
                 reach = max(reach, taken[at][1])
+                start = max(start, reach)
                 at += 1
-            if reach <= m.start() and is_random(m[0]):
-                spans.append(("random", m.start(), m.end()))
+            free.append((start, m.end()))
+            for start, end in free:
+                if end - start >= LEAST and is_random(text[start:end]):
+                    spans.append(("random", start, end))
         return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
     return scan
@@ -109,7 +116,7 @@ def redact(text: str, spans: list[tuple[str, int, int]], mask: str) -> str:
     """The text with every stretch that spans cover replaced by the mask once."""
     out, done = [], 0
     for _, start, end in spans:
-        if start >= done:
+        if start > done or not out:
             out += [text[done:start], mask]
         done = max(done, end)
     return "".join(out) + text[done:]
