@@ -3,8 +3,8 @@
 A stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; all but the last return
 the columns of ``documents``. Documents that the quality rules reject go; of each group of near-duplicates the
 document with the least id stays; secrets are masked in the text; the mix repeats and leaves out documents
-to meet its sources' targets (a row per copy); the last stage returns the token pieces of every row and their
-places in sequences. Nulls, empty texts and repeated rows fare as each operator's module says.
+to meet its sources' targets (a row per copy); the last stage returns the token pieces of every row with
+their ids, the ids' digest and their places in sequences. Nulls, empty texts and repeated rows fare as each operator's module says.
 """
 
 from __future__ import annotations
@@ -33,8 +33,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces(docs)
-    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -25,9 +25,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces(documents(spark, sf_dir, "doc_id", "text"))
-    # The digest of the ids stands in for them, so that what is placed is narrow.
-    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    packed = packing.pack(documents(spark, sf_dir, "doc_id", "text"))
+    columns = [F.crc32("ids").alias("ids_crc32") if c == "ids" else c for c in packed.columns]
+    return packed.select(columns)
 
 
 def op4_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,22 @@ def test_query_matches_brute_force(spark, sample):
     check(queries.op3_packing(spark, SF).collect(), [(d["doc_id"], d["text"]) for d in sample])
 
 
+def test_sequences_rebuild_the_texts(spark, sample):
+    """What lies at a place of a sequence is the ids of the piece; pieces of a document are its ids."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = packing.pack(docs).collect()
+    sequences = defaultdict(dict)
+    for r in rows:
+        assert len(r.ids) == 4 * r.length
+        sequences[r.sequence_id][r.offset] = bytes(r.ids)
+    whole = {k: b"".join(v[o] for o in sorted(v)) for k, v in sequences.items()}
+    pieces = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.piece):
+        ids = np.frombuffer(whole[r.sequence_id], "<u4")[r.offset : r.offset + r.length]
+        pieces[r.doc_id] += ids.tolist()
+    assert pieces == {d["doc_id"]: ids_of(d["text"]) for d in sample}
+
+
 def test_odd_rows(spark, make_docs, folder_of):
     odd = odd_rows() + [(20 + i, t, "en", "a") for i, t in enumerate(ODD_TEXTS)]
     check(queries.op3_packing(spark, folder_of(make_docs(odd))).collect(), [(d, t) for d, t, *_ in odd])

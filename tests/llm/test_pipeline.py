@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from llm_fixtures import SF, make_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 from test_neardup import check as check_groups
 from test_packing import check as check_pieces
+from test_packing import ids_of
 
 from deskloom.llm import fertility, mixing, neardup, queries, secrets
 
@@ -40,6 +43,15 @@ def test_every_stage_against_plain_code(spark):
     check_pieces(corpus_pipeline.STAGES[-1][1](spark, steps[-1], SF).collect(), [r[:2] for r in mixed])
 
 
+def test_last_stage_gives_ids(spark, make_docs):
+    rows = corpus_pipeline.STAGES[-1][1](spark, make_docs(odd_rows()), SF).collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    texts = {}
+    for r in sorted(rows, key=lambda r: r.piece):
+        texts.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert texts[7] == ids_of(dict(r[:2] for r in odd_rows())[7])
+
+
 def test_run_gives_what_the_stages_give(spark):
     rows = queries.QUERIES["pipeline"](spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
