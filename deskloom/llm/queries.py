@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deskloom.llm import audit, fertility, langid, mixing, neardup, packing, phrases, secrets, sharding, tokencount, toxicity
+from deskloom.llm import audit, fertility, infill, langid, mixing, neardup, packing, phrases, secrets, sharding, tokencount, toxicity
 from deskloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(infill.fill_in_middle(documents(spark, sf_dir, "doc_id", "text")).drop("text"))
+
+
 def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(documents(spark, sf_dir, "doc_id", "text", "source"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -80,9 +84,10 @@ QUERIES: dict[str, Query] = {
         op8_tokencount,
         op9_secrets,
         op10_sharding,
+        op11_infill,
         op13_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 # What needs a vocabulary, a model or a hash that SQL does not have is tested against brute force instead.
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op13_audit": audit.ORACLE}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op11_infill": infill.ORACLE, "op13_audit": audit.ORACLE}
