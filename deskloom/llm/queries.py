@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deskloom.llm import audit, fertility, infill, langid, mixing, neardup, packing, phrases, secrets, sharding, tokencount, toxicity
+from deskloom.llm import audit, fertility, infill, langid, mixing, nearest, neardup, packing, phrases, secrets, sharding, tokencount, toxicity
 from deskloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(infill.fill_in_middle(documents(spark, sf_dir, "doc_id", "text")).drop("text"))
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(documents(spark, sf_dir, "doc_id", "text", "source"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
         op9_secrets,
         op10_sharding,
         op11_infill,
+        op12_nearest,
         op13_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
