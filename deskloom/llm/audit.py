@@ -57,12 +57,13 @@ def _named(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame, known: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, known: DataFrame, stage: Stage) -> DataFrame:
     """The rows of ``docs`` (:func:`_named`) whose text a smaller id has; ``known`` holds the keys of all its rows."""
     several = known.groupBy("_hash", "_chars").agg(F.count(F.lit(1)).alias("_rows"), F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"))
     slices = F.ceil(F.col("_rows") * (F.col("_chars") + 16) / SLICE_CHARS).cast("int").alias("_slices")
     several = several.where("_a < _b").select("_hash", "_chars", slices)
-    copies = docs.join(several, ["_hash", "_chars"])
+    # Read twice: written, so that the texts of the whole table are dealt out once.
+    copies = stage(docs.join(several, ["_hash", "_chars"]))
     first = copies.groupBy("_hash", "text", "_slices").agg(F.min("doc_id").alias("_first"))
     # The one row of a text goes to every slice of its copies.
     first = first.select("_hash", "text", "_first", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"))
@@ -81,7 +82,7 @@ def failure_sets(docs: DataFrame) -> DataFrame:
     stage = Stage(docs.sparkSession)
     named = _named(docs)
     known = stage(named.select(*KEY, alone(F.col("text")).alias("bits")).withColumn("n", F.lit(1).cast("long")))
-    copied = repeats(named, known).select(*KEY, F.lit(BIT["E"]).alias("bits"), F.lit(0).cast("long").alias("n"))
+    copied = repeats(named, known, stage).select(*KEY, F.lit(BIT["E"]).alias("bits"), F.lit(0).cast("long").alias("n"))
     return known.union(copied).groupBy(*KEY).agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("n")).select("doc_id", "part", "bits", "n")
 
 
