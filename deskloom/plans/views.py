@@ -16,6 +16,9 @@ from deskloom.functions.scalars import from_epoch, from_epoch_signed, ticket_typ
 from deskloom.operators.eav import attribute, pivot
 from deskloom.operators.flatten import wanted_fields
 from deskloom.settings import (
+    COMPANY_MAILBOXES,
+    DEFAULT_TICKET_TYPE,
+    DESK_MAILBOXES,
     ORGANIZATION_ATTRIBUTES,
     TICKET_ATTRIBUTES,
     TITLE_BUNDLE,
@@ -129,14 +132,20 @@ def organization_attribute(name: str) -> Callable[[Tables], DataFrame]:
 
 
 def _tickets_with_account(t: Tables) -> DataFrame:
-    """Tickets whose organization and assignee exist, with the organization's name."""
+    """Tickets whose organization and assignee exist, with the organization's name.
+
+    The shared parents meet three numbers of each ticket; the wide row joins what is left, on its id.
+    """
     organizations = t["organization"].select(F.col("id").alias("_org"), F.col("name").alias("organization"))
     assignees = t["user"].select(F.col("id").alias("_user"))
-    return (
+    accounts = (
         t["ticket"]
-        .join(organizations, F.col("organizationid") == F.col("_org"))
-        .join(assignees, F.col("assigneeid") == F.col("_user"), "left_semi")
+        .select(F.col("id").alias("_t0"), F.col("organizationid").alias("_o"), F.col("assigneeid").alias("_a"))
+        .join(organizations, F.col("_o") == F.col("_org"))
+        .join(assignees, F.col("_a") == F.col("_user"), "left_semi")
+        .select("_t0", "organization")
     )
+    return t["ticket"].join(accounts, F.col("id") == F.col("_t0"))
 
 
 def _metrics(t: Tables) -> DataFrame:
@@ -146,10 +155,19 @@ def _metrics(t: Tables) -> DataFrame:
 
 
 def ticket_view(t: Tables, types: Mapping[str, str] | None = None) -> DataFrame:
-    """One wide row per ticket that has an organization, an assignee and all five attributes.
+    """One wide row per ticket that has an organization, an assignee and all five attributes."""
+    return _with_type(ticket_recipients(t), ticket_type(F.col("recipient"), types or recipient_types()))
+
 
-    The joins on shared parents come first, while rows are narrow; everything after them joins on
-    the ticket id, so tickets are shuffled on it once.
+def _with_type(rows: DataFrame, kind: Column) -> DataFrame:
+    return rows.select(*[kind.alias("type") if c == "recipient" else F.col(c) for c in rows.columns])
+
+
+def ticket_recipients(t: Tables) -> DataFrame:
+    """The ticket view with the address a ticket was sent to in place of the type that it stands for.
+
+    Shared parents are resolved on narrow rows; everything joins on the ticket id after that, so the wide
+    rows are shuffled once, on their id.
     """
     attributes = pivot(t["ticketdata"], TICKET_ATTRIBUTES, "_t1")
     return (
@@ -162,7 +180,7 @@ def ticket_view(t: Tables, types: Mapping[str, str] | None = None) -> DataFrame:
             "organization",
             from_epoch(F.col("createdat")).alias("created"),
             from_epoch(F.col("updatedat")).alias("updated"),
-            ticket_type(F.col("recipient"), types or recipient_types()).alias("type"),
+            "recipient",
             "status",
             "subject",
             "priority",
@@ -248,10 +266,29 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# A function of SQL that gives the ticket view for the mail domains of a site, and the view it reads.
+TICKET_FUNCTION = "TicketViewOf"
+RECIPIENTS_VIEW = "TicketRecipients"
+
+
+def _ticket_function(rows: DataFrame) -> str:
+    """The statement that defines :data:`TICKET_FUNCTION` over the view :data:`RECIPIENTS_VIEW` of the rows."""
+    boxes = [("company", box, kind) for box, kind in COMPANY_MAILBOXES.items()] + [("desk", box, kind) for box, kind in DESK_MAILBOXES.items()]
+    cases = " ".join(f"WHEN concat('{box}@', {domain}) THEN '{kind}'" for domain, box, kind in boxes)
+    kind = f"CASE recipient {cases} ELSE '{DEFAULT_TICKET_TYPE}' END AS type"
+    columns = ", ".join("type STRING" if n == "recipient" else f"{n} {t}" for n, t in rows.dtypes)
+    chosen = ", ".join(kind if c == "recipient" else c for c in rows.columns)
+    return (
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {TICKET_FUNCTION}(company STRING, desk STRING) "
+        f"RETURNS TABLE({columns}) RETURN SELECT {chosen} FROM {RECIPIENTS_VIEW}"
+    )
+
+
 def register_views(spark: SparkSession, tables: Tables, types: Mapping[str, str] | None = None) -> None:
     """Make base tables (lower-case names) and views available to ``spark.sql``.
 
-    ``types`` maps the site's own addresses to ticket types (``settings.recipient_types``).
+    ``types`` maps the site's own addresses to ticket types (``settings.recipient_types``). In SQL, the table function
+    ``TicketViewOf(company, desk)`` gives the ticket view for other mail domains of a company and its desk.
 
     Further views over them are plain ``CREATE OR REPLACE TEMP VIEW`` statements. SQL names are
     case-blind, so a view whose name equals a base table's in another case must not be added.
@@ -261,3 +298,13 @@ def register_views(spark: SparkSession, tables: Tables, types: Mapping[str, str]
     for name, view in VIEWS.items():
         rows = view(tables, types) if view is ticket_view else view(tables)
         rows.createOrReplaceTempView(name)
+    recipients = ticket_recipients(tables)
+    recipients.createOrReplaceTempView(RECIPIENTS_VIEW)
+    spark.sql(_ticket_function(recipients))
+
+
+def drop_views(spark: SparkSession, tables: Tables) -> None:
+    """Take back what :func:`register_views` made."""
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {TICKET_FUNCTION}")
+    for name in [*tables, *VIEWS, RECIPIENTS_VIEW]:
+        spark.catalog.dropTempView(name)
