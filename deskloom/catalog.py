@@ -163,6 +163,26 @@ def page_chain_gaps(desk: Desk) -> DataFrame:
     return pages.chain_gaps(linked.unionByName(listed))
 
 
+@query
+def page_chain_reach(desk: Desk) -> DataFrame:
+    """One page per order that has line items, each naming the next order's; some fetches fail, some links lead back.
+
+    Fetching began at every 25th order.
+    """
+    base = f"{HOST}{S.API_PATH}/tickets.json?page="
+    key = F.col("l_orderkey")
+    following = F.when(key % 50 == 49, key - 7).otherwise(key + 1)
+    body = F.struct(F.array(F.struct(key.alias("id"))).alias("tickets"), F.concat(F.lit(base), following.cast("string")).alias("next_page"))
+    chained = desk.source("lineitem").select("l_orderkey").distinct().select(
+        F.concat(F.lit(base), key.cast("string")).alias("url"),
+        F.when(key % 11 == 5, 503).otherwise(200).alias("status_code"),
+        key.alias("fetched_at"),
+        F.to_json(body).alias("body"),
+    )
+    entries = desk.source("orders").filter("o_orderkey % 25 = 0").select(F.concat(F.lit(base), F.col("o_orderkey").cast("string")).alias("url"))
+    return pages.chain_reach(chained, entries)
+
+
 @query
 def page_count_check(desk: Desk) -> DataFrame:
     """Pages announce every line item of an order but carry each line number once."""
@@ -187,6 +207,14 @@ def fetch_triage(desk: Desk) -> DataFrame:
     return pages.fetch_routes(_fetch_log(desk))
 
 
+@query
+def retry_worklist(desk: Desk) -> DataFrame:
+    """Every page is fetched once, and those of every third id that were put off a second time with success."""
+    first = _fetch_log(desk).withColumn("fetched_at", F.lit(1).cast("bigint"))
+    again = first.filter("page_id % 3 = 0").withColumns({"status_code": F.lit(200), "fetched_at": F.lit(2).cast("bigint")})
+    return pages.retry_urls(first.unionByName(again).drop("page_id"))
+
+
 @query
 def url_classify(desk: Desk) -> DataFrame:
     return pages.classify_urls(desk.source("pages").select("page_id", "url"))
@@ -586,8 +614,8 @@ NEEDED = {
 }
 
 
-def _land(rows: DataFrame, folder: str) -> str:
-    rows.write.mode("overwrite").json(folder)
+def _land(rows: DataFrame, folder: str, mode: str = "overwrite") -> str:
+    rows.write.mode(mode).json(folder)
     return folder
 
 
@@ -606,6 +634,21 @@ def _load(table: str) -> Query:
 QUERIES.update({f"load_{table}": _load(table) for table in NEEDED})
 
 
+@query
+def incremental_sync(desk: Desk) -> DataFrame:
+    """Two loads of a landing folder that grows by every other page of tickets: what the second one reads of each
+    resource, and where the next fetch starts by the stored offsets."""
+    folder = run_folder(desk.spark)
+    later = F.col("fetched_at") % 2 == 1
+    first = reduce(DataFrame.unionByName, map(desk.pages, _ACCOUNTS)).unionByName(desk.pages("ticket").filter(~later))
+    landing = _land(first, f"{folder}/landing")
+    run_sync(desk.spark, landing, f"{folder}/tables")
+    _land(desk.pages("ticket").filter(later), landing, "append")
+    report = run_sync(desk.spark, landing, f"{folder}/tables").select(F.col("table").alias("resource"), "read")
+    listings = pages.listing_urls(Warehouse(desk.spark, f"{folder}/tables").read("sequencetable"), HOST)
+    return listings.join(report, "resource", "left").select("resource", "url", F.coalesce("read", F.lit(0)).cast("bigint").alias("read"))
+
+
 @query
 def load_renamed_field(desk: Desk) -> DataFrame:
     """The priority field gets another title, and some tickets come again after that."""
@@ -659,6 +702,25 @@ VIEW_KEYS = {
 }
 QUERIES.update({key: views.VIEWS[name] for key, name in VIEW_KEYS.items()})
 QUERIES["ticket_view_sorted"] = views.ticket_view_sorted
+USER_VIEW = """
+    CREATE OR REPLACE TEMP VIEW OpenWork AS
+    SELECT v.type, p.priority, count(*) AS tickets, count(m.ticketid) AS timed, max(v.ttr) AS longest
+    FROM TicketViewOf('example.com', 'desk.example.com') v
+    JOIN TicketPriority p ON p.ticketid = v.id LEFT JOIN TicketTime m ON m.ticketid = v.id
+    WHERE v.status <> 'solved' GROUP BY v.type, p.priority"""
+
+
+@query
+def user_view(desk: Desk) -> DataFrame:
+    """A site's own view, written in SQL over the registered ones, with the site's mail domains."""
+    views.register_views(desk.spark, desk, S.recipient_types("elsewhere.org", "desk.elsewhere.org"))
+    desk.spark.sql(USER_VIEW)
+    rows = desk.spark.table("OpenWork")
+    desk.spark.catalog.dropTempView("OpenWork")
+    views.drop_views(desk.spark, desk)
+    return rows
+
+
 QUERIES["ticket_view_basic"] = views.ticket_view_basic
 
 
@@ -704,7 +766,7 @@ def stream_child_refresh(desk: Desk) -> DataFrame:
     follow_children(
         desk.spark,
         landing,
-        lambda spark: pages.read_pages(spark, children),
+        children,
         target.root,
         f"{folder}/checkpoint",
         drain=True,
@@ -712,6 +774,24 @@ def stream_child_refresh(desk: Desk) -> DataFrame:
     return target.read("audit")
 
 
+@query
+def late_children(desk: Desk) -> DataFrame:
+    """Audits land before the tickets that changed, with them and after them; all of them are stored."""
+    folder = run_folder(desk.spark)
+    target = _synced(desk, "ticketfields", *_TICKETS)
+    changed = desk.pages("ticket", pages.since(desk.ticket_records, CHANGED_SINCE))
+    audits = desk.pages("audit").withColumn("_part", F.crc32("url") % 3)
+    landing, children = f"{folder}/landing", f"{folder}/children"
+    _land(changed.limit(0), landing)
+    _land(audits.limit(0).drop("_part"), children)
+    for part in range(3):
+        if part == 1:
+            _land(changed, landing, "append")
+        _land(audits.filter(F.col("_part") == part).drop("_part"), children, "append")
+        follow_children(desk.spark, landing, children, target.root, drain=True).awaitTermination()
+    return target.read("audit")
+
+
 @query
 def load_order(desk: Desk) -> DataFrame:
     """A full load of every resource from a landing folder; returns the rows stored per table, in load order."""

@@ -253,6 +253,11 @@ _OFFSETS = " UNION ALL ".join(
     f"SELECT '{t}' AS sequencename, greatest(coalesce(max(updatedat), 0), 0)::BIGINT AS lastval FROM {t}_"
     for t in ("organization", "user", "ticket", "satisfactionrating")
 )
+_LISTINGS = """FROM (VALUES ('ticketfields', 'ticket_fields.json', false), ('organizationfields', 'organization_fields.json', false),
+            ('userfields', 'user_fields.json', false), ('groups', 'groups.json', false),
+            ('organization', 'incremental/organizations.json', true), ('user', 'incremental/users.json', true),
+            ('ticket', 'incremental/tickets.json', true), ('satisfactionrating', 'satisfaction_ratings.json', true))
+            l(resource, path, timed)"""
 _TICKET = ("id, externalid, url, subject, status, requesterid, submitterid, assigneeid, recipient, organizationid, "
            "groupid, createdat, updatedat")
 
@@ -299,6 +304,14 @@ ORACLES: dict[str, str] = {
         FROM lineitem WHERE l_orderkey + 1 IN (SELECT o_orderkey FROM orders)
             AND l_orderkey % 11 <> 5
             AND ((l_orderkey + 1) % 11 = 5 OR l_orderkey + 1 NOT IN (SELECT l_orderkey FROM lineitem))""",
+    "page_chain_reach": f"""
+        WITH RECURSIVE landed AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey % 11 <> 5),
+        link AS (SELECT a.k, b.k AS n FROM landed a JOIN landed b ON b.k = CASE WHEN a.k % 50 = 49 THEN a.k - 7 ELSE a.k + 1 END),
+        walk AS (SELECT k AS origin, n FROM link UNION SELECT w.origin, l.n FROM walk w JOIN link l ON l.k = w.n),
+        reached AS (SELECT k FROM landed WHERE k % 25 = 0 UNION SELECT n FROM walk WHERE origin % 25 = 0)
+        SELECT '{API}/tickets.json?page=' || k AS url, k IN (SELECT k FROM reached) AS reached,
+            k IN (SELECT origin FROM walk WHERE origin = n) AS cyclic
+        FROM landed WHERE k NOT IN (SELECT k FROM reached) OR k IN (SELECT origin FROM walk WHERE origin = n)""",
     "page_count_check": f"""
         SELECT '{API}/tickets.json?page=' || l_orderkey AS url, 'tickets' AS resource, count(*)::BIGINT AS announced,
             count(DISTINCT l_linenumber)::BIGINT AS actual
@@ -306,6 +319,7 @@ ORACLES: dict[str, str] = {
     "fetch_triage": """
         SELECT CASE page_id % 10 WHEN 0 THEN 'retry' WHEN 1 THEN 'skip' WHEN 2 THEN 'error' ELSE 'load' END AS route,
             count(*)::BIGINT AS pages FROM pages GROUP BY 1""",
+    "retry_worklist": "SELECT url, count(*)::BIGINT AS fetches FROM pages WHERE page_id % 10 = 0 AND page_id % 3 <> 0 GROUP BY url",
     "url_classify": f"""
         SELECT page_id, url, CASE WHEN starts_with({_OPTION}, '{S.API_PATH}')
                 THEN substr({_OPTION}, {len(S.API_PATH) + 1}) ELSE {_OPTION} END AS option,
@@ -318,11 +332,7 @@ ORACLES: dict[str, str] = {
         FROM ticket_, (VALUES ('audits'), ('metrics')) k(kind) WHERE updatedat >= {CHANGED_SINCE}""",
     "listing_worklist": f"""
         SELECT l.resource, '{API}/' || l.path || CASE WHEN l.timed THEN '?start_time=' || coalesce(s.lastval, 0) ELSE '' END AS url
-        FROM (VALUES ('ticketfields', 'ticket_fields.json', false), ('organizationfields', 'organization_fields.json', false),
-            ('userfields', 'user_fields.json', false), ('groups', 'groups.json', false),
-            ('organization', 'incremental/organizations.json', true), ('user', 'incremental/users.json', true),
-            ('ticket', 'incremental/tickets.json', true), ('satisfactionrating', 'satisfaction_ratings.json', true))
-            l(resource, path, timed)
+        {_LISTINGS}
         LEFT JOIN ({_OFFSETS}) s ON s.sequencename = l.resource""",
     # --- row transformations and filters
     "hook_chain": """
@@ -443,6 +453,13 @@ ORACLES: dict[str, str] = {
     "load_changeevent": "SELECT * FROM changeevent_ WHERE auditid IN (SELECT id FROM accepted_audit_)",
     "load_ticketmetric": "SELECT * FROM ticketmetric_",
     "load_satisfactionrating": "SELECT * FROM satisfactionrating_ WHERE ticketid IN (SELECT id FROM accepted_ticket_)",
+    "incremental_sync": f"""
+        SELECT l.resource, '{API}/' || l.path || CASE WHEN l.timed THEN '?start_time=' || coalesce(s.lastval, 0) ELSE '' END AS url,
+            CASE l.resource WHEN 'ticket' THEN (SELECT count(*) FROM ticket_ WHERE id // {PAGE_ROWS} % 2 = 1) ELSE 0 END::BIGINT AS read
+        {_LISTINGS}
+        LEFT JOIN (SELECT 'organization' AS name, max(updatedat) AS lastval FROM organization_
+            UNION ALL SELECT 'user', max(updatedat) FROM user_ UNION ALL SELECT 'ticket', max(updatedat) FROM accepted_ticket_) s
+            ON s.name = l.resource""",
     "load_renamed_field": """
         SELECT d.* REPLACE (CASE WHEN d.id = 101 AND t.recipient = 'support@example.com' THEN 'Case Prio' ELSE d.title END AS title)
         FROM ticketdata_ d JOIN accepted_ticket_ t ON t.id = d.objectid""",
@@ -469,6 +486,9 @@ ORACLES: dict[str, str] = {
     "organization_view": f"""
         SELECT o.*, {_attribute_columns(S.ORGANIZATION_ATTRIBUTES)} FROM organization_ o
         {_attribute_joins("organizationdata_", S.ORGANIZATION_ATTRIBUTES, "o.id")}""",
+    "user_view": f"""
+        SELECT type, priority, count(*)::BIGINT AS tickets, count(tickettime)::BIGINT AS timed, max(ttr)::BIGINT AS longest
+        FROM ({TICKET_VIEW.replace("ORDER BY 1", "")}) WHERE status <> 'solved' GROUP BY type, priority""",
     # --- streaming
     "stream_decode": "SELECT * FROM ticket_",
     "stream_upsert": f"""
@@ -476,6 +496,8 @@ ORACLES: dict[str, str] = {
             CASE WHEN recipient = 'support@example.com' THEN updatedat + 7200 ELSE updatedat END AS updatedat) FROM accepted_ticket_""",
     "stream_child_refresh": f"""
         SELECT * FROM accepted_audit_ WHERE ticketid IN (SELECT id FROM ticket_ WHERE updatedat >= {CHANGED_SINCE})""",
+    "late_children": f"""
+        SELECT * FROM accepted_audit_ WHERE ticketid IN (SELECT id FROM ticket_ WHERE updatedat >= {CHANGED_SINCE})""",
     "load_order": """
         SELECT position::INTEGER AS position, name AS "table", rows::BIGINT AS rows FROM (
             SELECT 1 AS position, 'ticketfields' AS name, count(*) AS rows FROM ticketfields_

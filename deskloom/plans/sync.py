@@ -8,16 +8,16 @@ from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.operators.flatten import audits_with, change_events, flatten_list, flatten_map, index_keys, index_titles
 from deskloom.operators.hooks import Hook, Hooks
 from deskloom.operators.quality import (
+    REASONS,
     accepted,
     missing_parents,
     quarantined,
-    route_counts,
     table_rules,
     tag,
     tag_missing,
@@ -27,7 +27,7 @@ from deskloom.operators.upsert import arrivals, keyed, newest
 from deskloom.schema import TABLES
 from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
-from deskloom.sinks.warehouse import Warehouse, fetch_offset
+from deskloom.sinks.warehouse import REPORT, Warehouse
 from deskloom.sources.pages import (
     arrived,
     decode_records,
@@ -37,6 +37,7 @@ from deskloom.sources.pages import (
     rejected_records,
     split_pages,
 )
+from deskloom.streaming.progress import page_stream, progress_folder, start
 
 # Parents come before children: a reference is checked against rows that are already committed.
 LOAD_ORDER = (
@@ -81,16 +82,20 @@ class Load:
         self.hooks = hooks.copy() if hooks else Hooks()
         self.titles = titles
         self.tables = tables
-        self.reports: list[DataFrame] = []
+        self.reports: list[tuple[str, int, int, int]] = []
         self.letters: list[DataFrame] = []
-        self.reached: list[DataFrame] = []
+        self.reached: list[tuple[str, int]] = [(t, 0) for t in OFFSET_TABLES]
 
     def _stage(self, name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
         return self.warehouse.stage(rows, f"{self.label}/{name}", by)
 
     def run(self, pages: DataFrame) -> DataFrame:
-        """Load the tables; returns rows read, accepted and quarantined per table."""
-        self.records = self._stage("records", split_pages(arrived(pages)), by="table")
+        """Load the tables from pages; returns rows read, accepted and quarantined per table."""
+        return self.load(split_pages(arrived(pages)))
+
+    def load(self, records: DataFrame) -> DataFrame:
+        """As :meth:`run`, from the raw records that pages were split into."""
+        self.records = self._stage("records", records, by="table")
         self.letters.append(rejected_pages(self.records))
         self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
 
@@ -120,9 +125,8 @@ class Load:
 
         self.warehouse.quarantine(reduce(DataFrame.unionByName, self.letters), self.label)
         if self.reports:
-            self.warehouse.save_report(reduce(DataFrame.unionByName, self.reports), self.label)
-            start = self.spark.createDataFrame([(t, 0) for t in OFFSET_TABLES], "sequencename string, lastval long")
-            self.warehouse.advance_offsets(reduce(DataFrame.unionByName, self.reached, start))
+            self.warehouse.save_report(self.reports, self.label)
+            self.warehouse.advance_offsets(self.spark.createDataFrame(self.reached, "sequencename string, lastval long"))
         self.warehouse.drop(f"staging/{self.label}")
         return self.warehouse.report(self.label)
 
@@ -155,6 +159,13 @@ class Load:
         spec = TABLES[table]
         return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"], spec.parents)
 
+    def _counted(self, table: str, tagged: DataFrame) -> tuple[DataFrame, dict]:
+        """Stage checked rows, and what is counted while they are written: rows, accepted ones, their newest age."""
+        seen, fine = Observation(), F.size(REASONS) == 0
+        reached = F.max(F.when(fine, F.col("updatedat"))) if table in OFFSET_TABLES else F.lit(None).cast("bigint")
+        watched = tagged.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(fine).alias("accepted"), reached.alias("reached"))
+        return self._stage(table, watched), seen.get
+
     def _store(self, table: str, rows: DataFrame, order: list[str], parents: dict[str, str]) -> DataFrame | None:
         """Check the newest row of each key, set bad ones aside, write the others; returns those.
 
@@ -174,12 +185,12 @@ class Load:
             tagged = tag_missing(tagged, parents, missing)
         if spec.owner:
             tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in order else None)
-        tagged = self._stage(table, tagged)
+        tagged, seen = self._counted(table, tagged)
         self.letters.append(quarantined(tagged, table))
-        self.reports.append(route_counts(tagged, table))
+        self.reports.append((table, seen["read"], seen["accepted"], seen["read"] - seen["accepted"]))
         fine = accepted(tagged)
         if table in OFFSET_TABLES:
-            self.reached.append(fetch_offset(fine).select(F.lit(table).alias("sequencename"), F.col("offset").alias("lastval")))
+            self.reached.append((table, max(seen["reached"] or 0, 0)))
         self.warehouse.apply(table, fine.select(*[c for c in fine.columns if c in spec.names]), stored.select(*spec.names))
         return arrivals(stored, fine, list(spec.key), spec.age)
 
@@ -191,16 +202,35 @@ def run_sync(
     label: str | None = None,
     hooks: Hooks | None = None,
     since: str | None = None,
+    afresh: bool = False,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Load the pages of a landing folder into the base tables of a warehouse folder.
+    """Load what has landed in a folder since the last load into the base tables of a warehouse folder.
+
+    The warehouse remembers which files it has loaded, in the same progress that ``follow`` keeps, so a load reads
+    new files only, in batches of at most ``bytes_per_batch``. Returns rows read, accepted and quarantined per table.
 
-    Every load has a label of its own unless one is given, so dead letters of earlier loads stay. ``since``
-    (``yyyy-MM-dd'T'HH:mm:ss``, in the session's zone) leaves files alone that were landed before; a
-    file that is read again changes nothing.
+    ``afresh``, a ``label`` or ``since`` read the folder without regard to that, in one batch: all of it, or the
+    files modified after ``since`` (``yyyy-MM-dd'T'HH:mm:ss``, in the session's zone). A file that is read again
+    changes nothing. Every load has a label of its own unless one is given, so dead letters of earlier loads
+    stay; those of a given label are replaced.
     """
     configure(spark)
     scale_to(spark, landing)
-    return Load(Warehouse(spark, warehouse), label or f"sync-{uuid4().hex}", hooks).run(read_pages(spark, landing, since))
+    target = Warehouse(spark, warehouse)
+    if afresh or label or since:
+        return Load(target, label or f"sync-{uuid4().hex}", hooks).run(read_pages(spark, landing, since))
+    labels: list[str] = []
+
+    def each(pages: DataFrame, stream: str, number: int) -> None:
+        labels.append(f"{stream}-{number}")
+        Load(Warehouse(pages.sparkSession, warehouse), labels[-1], hooks).run(pages)
+
+    pages = page_stream(spark, landing, bytes_per_batch=bytes_per_batch)
+    start(pages, each, progress_folder(warehouse, landing), drain=True).awaitTermination()
+    reports = [target.report(one) for one in dict.fromkeys(labels)]
+    every = reduce(DataFrame.unionByName, reports, spark.createDataFrame([], REPORT))
+    return every.groupBy("table").agg(*[F.sum(c).alias(c) for c in ("read", "accepted", "quarantined")])
 
 
 def stored_rows(warehouse: Warehouse) -> DataFrame:

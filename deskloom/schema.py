@@ -31,8 +31,10 @@ class Table:
 
     ``age`` orders versions of one key. ``owner`` names the part of the key that is fixed for
     an ``id``: an id seen again under another owner is refused. ``slice_by`` is the numeric
-    column whose ranges the stored files are grouped by, ``slice_rows`` the width of a range, and
-    ``sort_by`` the order of rows in a file (the key, unless named), so that filters skip row groups.
+    column whose ranges the stored files are grouped by, ``slice_rows`` the width of a range and
+    ``slices`` how many groups there are: ranges are dealt to them in turn, so neighbouring ids stay
+    together and ids that lie far apart make no more folders than that. ``sort_by`` is the order of rows in
+    a file (the key, unless named), so that filters skip row groups.
     """
 
     name: str
@@ -43,6 +45,7 @@ class Table:
     parents: dict[str, str] = field(default_factory=dict)
     slice_by: str | None = "id"
     slice_rows: int = 1_000_000
+    slices: int = 4096
     sort_by: tuple[str, ...] = ()
     seed: dict[str, object] | None = None
 

@@ -2,8 +2,9 @@
 
     <root>/<table>/version=<n>/slice=<k>/part-*.parquet
 
-A slice is a range of the table's slicing id, so its rows are bounded and rows that change
-together lie together. An upsert rewrites only the slices its batch touches; the current table is,
+A slice is one of a bounded number of groups that ranges of the table's slicing id are dealt to in turn, so
+rows that change together lie together and there are never more folders than that, however far apart the
+ids lie. An upsert rewrites only the slices its batch touches; the current table is,
 for each slice, the folder of the newest committed version. Spark's ``_SUCCESS`` marker commits a
 version, so a lost executor or a driver that dies half way leaves the previous state readable, and
 a frame that reads an older version stays valid while a newer one is written.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,8 @@ def slice_of(spec: Table, column: str | None = None) -> Column:
     """Slice of a row, by the table's slicing id or by another column that holds one."""
     if spec.slice_by is None:
         return F.lit(0).cast("bigint")
-    return F.floor(F.col(column or spec.slice_by) / spec.slice_rows)
+    # Whole-number division: as doubles, ids beyond 2^53 would fall into a neighbouring range.
+    return F.pmod(F.call_function("div", F.col(column or spec.slice_by), F.lit(spec.slice_rows)), F.lit(spec.slices)).cast("bigint")
 
 
 class Warehouse:
@@ -52,6 +55,10 @@ class Warehouse:
         path, files = self._path(pattern)
         return [status.getPath().toString() for status in files.globStatus(path) or []]
 
+    def exists(self, name: str) -> bool:
+        path, files = self._path(name)
+        return files.exists(path)
+
     def stage(self, rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
         """Write rows that will be read more than once, and return them as read back.
 
@@ -114,8 +121,8 @@ class Warehouse:
     def touched(self, table: str, rows: DataFrame, parents: Mapping[str, str] | None = None) -> dict[str, list[int]]:
         """Slices a batch falls into, of its own table and of the tables it refers to.
 
-        ``parents`` maps reference columns to tables. One pass; what comes to the driver is one
-        number per id range, not per row.
+        ``parents`` maps reference columns to tables. One pass; what comes to the driver is at most a
+        table's number of slices for each table.
         """
         spec = TABLES[table]
         held = [F.struct(F.lit(table).alias("table"), slice_of(spec).alias(SLICE))]
@@ -148,16 +155,20 @@ class Warehouse:
     def upsert(self, table: str, batch: DataFrame, order: list[str] | None = None) -> None:
         """Merge a batch into a table. Running it again with the same batch changes nothing.
 
-        The batch may hold several versions of a key; ``order`` ranks them after the table's age.
+        The batch may hold several versions of a key; ``order`` ranks them after the table's age. It is
+        computed once: its newest rows are written before the slices they touch are merged.
         """
         spec, order = TABLES[table], order or []
         extra = [c for c in order if c not in spec.names]
         present = [c.name for c in spec.columns if c.name in batch.columns]
-        slices = self.touched(table, batch)[table]
+        rows = keyed(batch.select(*present, *extra), spec)
+        ranked = newest(rows, list(spec.key), ([spec.age] if spec.age else []) + order)
+        staging = f"upsert-{uuid4().hex}"
+        staged = self.stage(ranked.select(*present), staging)
+        slices = self.touched(table, staged)[table]
         if slices:
-            rows = keyed(batch.select(*present, *extra), spec)
-            ranked = newest(rows, list(spec.key), ([spec.age] if spec.age else []) + order)
-            self.apply(table, ranked.select(*present), self.read(table, slices))
+            self.apply(table, staged, self.read(table, slices))
+        self.drop(f"staging/{staging}")
 
     def apply(self, table: str, incoming: DataFrame, stored: DataFrame) -> None:
         """Write stored slices with incoming rows (one per key) merged in.
@@ -190,8 +201,9 @@ class Warehouse:
         """All dead letters of all loads."""
         return self._read_all("quarantine/*", LETTER)
 
-    def save_report(self, report: DataFrame, label: str) -> None:
-        report.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/reports/{label}")
+    def save_report(self, counts: list[tuple[str, int, int, int]], label: str) -> None:
+        """Keep what a load counted, one row per table."""
+        self.spark.createDataFrame(counts, REPORT).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/reports/{label}")
 
     def report(self, label: str = "*") -> DataFrame:
         """Rows read, accepted and quarantined per table, of one load or of all."""

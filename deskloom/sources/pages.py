@@ -14,6 +14,7 @@ from deskloom.functions.scalars import calendar_minutes, is_bad_time, to_epoch
 from deskloom.operators.upsert import newest
 from deskloom.rows import literal_rows
 from deskloom.schema import MEMBERS, PAGE, RESOURCES
+from deskloom.session import run_folder
 from deskloom.settings import API_PATH, FULL_PAGE
 
 CORRUPT = "_unreadable"
@@ -167,6 +168,12 @@ def rejected_pages(split: DataFrame) -> DataFrame:
     )
 
 
+def record_ticket(records: DataFrame) -> DataFrame:
+    """Raw records with the ticket a child record belongs to; NULL where it names none or is no child."""
+    named = F.get_json_object("record", "$.ticket_id").try_cast("bigint")
+    return records.withColumn("_ticket", F.when(F.col("table").isin("audit", "ticketmetric"), named))
+
+
 def decode(pages: DataFrame, table: str) -> DataFrame:
     """Typed records of one resource, straight from pages."""
     return decode_records(split_pages(pages).filter(F.col("table") == table), table)
@@ -375,15 +382,63 @@ def arrived(pages: DataFrame) -> DataFrame:
     return pages.filter(F.coalesce(route(F.col("status_code")), F.lit("error")).isin("load", "error"))
 
 
-def chain_gaps(pages: DataFrame) -> DataFrame:
-    """Pages that announce a successor which never landed, or came back as anything but a page to load.
+def links(pages: DataFrame) -> DataFrame:
+    """(url, next_page, fetched_at) of the pages that announce a successor.
 
     An incremental listing goes on while its pages are full, any other while a next page is
     named.
     """
-    fetched = loadable(pages)
-    envelope = scan_envelope(fetched)
     goes_on = F.when(is_incremental(F.col("url")), F.col("count") >= FULL_PAGE).otherwise(F.lit(True))
-    expected = envelope.filter(F.col("next_page").isNotNull() & goes_on).select("url", "next_page")
+    return scan_envelope(pages).filter(F.col("next_page").isNotNull() & goes_on).select("url", "next_page", "fetched_at")
+
+
+def chain_gaps(pages: DataFrame) -> DataFrame:
+    """Pages that announce a successor which never landed, or came back as anything but a page to load."""
+    fetched = loadable(pages)
     landed = fetched.select(F.col("url").alias("_landed")).distinct()
+    expected = links(fetched).select("url", "next_page")
     return expected.join(landed, F.col("next_page") == F.col("_landed"), "left_anti")
+
+
+def chain_reach(pages: DataFrame, entries: DataFrame) -> DataFrame:
+    """Landed pages no walk along the links from an entry comes to, and pages whose links lead round in a circle.
+
+    ``entries`` (url) are the addresses fetching began with. Returns (url, reached, cyclic) of the pages that are
+    not reached or lie on a circle; a page fetched more than once links as its last fetch does.
+
+    Links are walked by doubling: each round knows where twice as many links lead, and takes in what lies that
+    much further from the pages reached so far. So a chain of a million pages takes twenty rounds, each two joins of
+    addresses, written to a folder of the run. After the last round only circles still lead anywhere.
+    """
+    spark = pages.sparkSession
+    folder = run_folder(spark)
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    fetched = loadable(pages)
+    last = links(fetched).groupBy("url").agg(F.max_by("next_page", F.struct("fetched_at", "next_page")).alias("to"))
+    landed = written(fetched.select("url").distinct(), "landed")
+    leads = written(last.join(landed.withColumnRenamed("url", "to"), "to", "left_semi").select("url", "to"), "leads-0")
+    reached = landed.join(entries.select("url").distinct(), "url", "left_semi")
+    rounds = max(landed.count(), 1).bit_length()
+    for n in range(1, rounds + 1):
+        further = reached.join(leads, "url").select(F.col("to").alias("url"))
+        reached = written(reached.union(further).distinct(), f"reached-{n}")
+        onward = leads.select(F.col("url").alias("to"), F.col("to").alias("beyond"))
+        leads = written(leads.join(onward, "to").select("url", F.col("beyond").alias("to")), f"leads-{n}")
+        if leads.isEmpty():
+            break
+    on_walk = reached.select("url", F.lit(True).alias("_reached"))
+    on_circle = leads.select(F.col("to").alias("url"), F.lit(True).alias("_cyclic")).distinct()
+    told = landed.join(on_walk, "url", "left").join(on_circle, "url", "left")
+    told = told.select("url", F.col("_reached").isNotNull().alias("reached"), F.col("_cyclic").isNotNull().alias("cyclic"))
+    return told.filter(~F.col("reached") | F.col("cyclic"))
+
+
+def retry_urls(pages: DataFrame) -> DataFrame:
+    """Work list of the addresses whose last fetch was put off (429): (url, fetches) so far."""
+    last = F.max_by("status_code", F.struct("fetched_at", "status_code"))
+    fetched = pages.groupBy("url").agg(last.alias("_status"), F.count(F.lit(1)).alias("fetches"))
+    return fetched.filter(route(F.col("_status")) == "retry").select("url", "fetches")

@@ -7,70 +7,54 @@ of the first try. No watermark is used: late records are never dropped, the newe
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from deskloom.operators.flatten import changed_ids
 from deskloom.operators.hooks import Hooks
 from deskloom.plans.sync import Load
-from deskloom.schema import PAGE
 from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
 from deskloom.sinks.warehouse import Warehouse
 from deskloom.sources.pages import (
     arrived,
-    children_of,
     decode,
     decode_records,
     good,
     loadable,
-    pages_of,
+    record_ticket,
     rejected_pages,
     rejected_records,
     split_pages,
 )
+from deskloom.streaming.progress import page_stream, progress_folder, start
+from deskloom.streaming.waiting import Waiting
 
-
-def page_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Pages as they land; ``files_per_batch`` bounds a micro-batch."""
-    reader = spark.readStream.schema(PAGE)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing)
-
-
-def _start(pages: DataFrame, each: Callable[[DataFrame, str], None], checkpoint: str, drain: bool) -> StreamingQuery:
-    """Start a stream that hands each batch of pages over with a label no other batch or stream has."""
-
-    def labelled(batch: DataFrame, number: int) -> None:
-        # The id that the checkpoint keeps: a new checkpoint is a new stream, at the same place too.
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        each(batch, f"stream-{stream}-{number}")
-
-    writer = pages.writeStream.foreachBatch(labelled).option("checkpointLocation", checkpoint)
-    if drain:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+CHILDREN = ("audit", "changeevent", "ticketmetric")
 
 
 def follow(
     spark: SparkSession,
     landing: str,
     warehouse: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     hooks: Hooks | None = None,
     files_per_batch: int | None = None,
     drain: bool = False,
+    bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Load every resource from a landing folder; ``drain`` stops once all landed pages are loaded."""
+    """Load every resource from a landing folder; ``drain`` stops once all landed pages are loaded.
+
+    Without a checkpoint of its own the stream goes on where the last ``run_sync`` of the folder ended.
+    """
     scale_to(configure(spark), landing)
 
-    def each(pages: DataFrame, label: str) -> None:
-        Load(Warehouse(pages.sparkSession, warehouse), label, hooks).run(pages)
+    def each(pages: DataFrame, stream: str, number: int) -> None:
+        Load(Warehouse(pages.sparkSession, warehouse), f"{stream}-{number}", hooks).run(pages)
 
-    return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)
+    pages = page_stream(spark, landing, files_per_batch, bytes_per_batch)
+    return start(pages, each, checkpoint or progress_folder(warehouse, landing), drain)
 
 
 def follow_table(
@@ -81,14 +65,15 @@ def follow_table(
     checkpoint: str,
     files_per_batch: int | None = None,
     drain: bool = False,
+    bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Load one resource as its pages land, with all checks against what is stored of its parents."""
     scale_to(configure(spark), landing)
 
-    def each(pages: DataFrame, label: str) -> None:
-        Load(Warehouse(pages.sparkSession, warehouse), label, tables=(table,)).run(pages)
+    def each(pages: DataFrame, stream: str, number: int) -> None:
+        Load(Warehouse(pages.sparkSession, warehouse), f"{stream}-{number}", tables=(table,)).run(pages)
 
-    return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)
+    return start(page_stream(spark, landing, files_per_batch, bytes_per_batch), each, checkpoint, drain)
 
 
 def decode_stream(spark: SparkSession, landing: str, table: str, files_per_batch: int | None = None) -> DataFrame:
@@ -105,31 +90,38 @@ def rejected_stream(spark: SparkSession, landing: str, table: str, files_per_bat
 def follow_children(
     spark: SparkSession,
     landing: str,
-    child_pages: Callable[[SparkSession], DataFrame],
+    children: str,
     warehouse: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     titles=AUDIT_TITLES,
     files_per_batch: int | None = None,
     drain: bool = False,
+    bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """For each batch of changed tickets, refresh their audits and metrics from the child pages.
+    """Load the audits and metrics of changed tickets, whichever of the two lands first.
 
-    Children go through the checks of every load; ticket records that cannot be read become dead letters.
+    One stream over the folder ``landing`` of ticket pages and the folder ``children`` of child pages. A child
+    record is loaded in the batch in which both itself and a change of its ticket have landed: until then it
+    waits, and a ticket once changed stays known (see :class:`Waiting`). Children go through the checks of every
+    load; records that cannot be read become dead letters at once.
     """
-    scale_to(configure(spark), landing)
+    scale_to(configure(spark), landing, children)
 
-    def each(pages: DataFrame, label: str) -> None:
+    def each(pages: DataFrame, stream: str, number: int) -> None:
         target = Warehouse(pages.sparkSession, warehouse)
+        label = f"{stream}-{number}"
         staging = f"{label}-tickets"
-        split = target.stage(split_pages(arrived(pages)), f"{staging}/records", by="table")
+        split = target.stage(split_pages(arrived(pages.filter(~F.col("_child")))), f"{staging}/records", by="table")
         tickets = target.stage(decode_records(split.filter(split["table"] == "ticket"), "ticket"), f"{staging}/decoded")
         target.quarantine(rejected_pages(split).unionByName(rejected_records(tickets, "ticket")), staging)
-        changed = target.stage(changed_ids(good(tickets)), f"{staging}/changed")
-        hooks = Hooks()
-        for table in ("audit", "ticketmetric"):
-            hooks.register(table, lambda rows: children_of(rows, changed))
-        load = Load(target, label, hooks, titles, ("audit", "changeevent", "ticketmetric"))
-        load.run(pages_of(child_pages(pages.sparkSession), changed))
+        waiting = Waiting(target, stream, number)
+        known = waiting.know(changed_ids(good(tickets)))
+        arriving = record_ticket(split_pages(arrived(pages.filter(F.col("_child")))))
+        ready = waiting.release(arriving, known)
+        Load(target, label, titles=titles, tables=CHILDREN).load(ready)
+        waiting.forget()
         target.drop(f"staging/{staging}")
 
-    return _start(page_stream(spark, landing, files_per_batch), each, checkpoint, drain)
+    tickets = page_stream(spark, landing, files_per_batch, bytes_per_batch).withColumn("_child", F.lit(False))
+    both = tickets.unionByName(page_stream(spark, children, files_per_batch, bytes_per_batch).withColumn("_child", F.lit(True)))
+    return start(both, each, checkpoint or progress_folder(warehouse, landing, children), drain)

@@ -200,7 +200,7 @@ def test_views_over_a_load(spark, loaded):
 def test_running_again_changes_nothing(spark, loaded):
     root, _, target = loaded
     before = {t: rows_of(target.read(t)) for t in LOAD_ORDER}
-    run_sync(spark, str(root / "landing"), str(root / "tables"))
+    run_sync(spark, str(root / "landing"), str(root / "tables"), afresh=True)
     assert {t: rows_of(target.read(t)) for t in LOAD_ORDER} == before
     # Letters of every load stay; a load under the same label replaces its own.
     assert target.quarantined().count() == 2 * LETTERS
