@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable, Iterator
-from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from deskloom.session import run_folder, scale_to
+
 # Text handled at once by a function in a task: bounds its Python objects, whatever the batch holds.
 BLOCK_BYTES = 4 << 20
 
@@ -21,7 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents table, or the named columns of it."""
+    """The documents table, or the named columns of it; shuffles start with partitions for its size."""
+    scale_to(spark, f"{sf_dir}/documents.parquet")
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return table.select(*columns) if columns else table
 
@@ -88,32 +89,13 @@ def keep_rows(df: DataFrame, make: Callable[[], Callable[..., list]], inputs: tu
     return df.mapInArrow(run, df.schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder all executors reach, below ``spark.checkpoint.dir``; deleted when the driver exits.
-
-    Where that is unset: the context's checkpoint folder, else one below the warehouse.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = named or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
-    folder = f"{base.rstrip('/')}/llm-{uuid4().hex}"
-    atexit.register(_delete, spark, folder)
-    return folder
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is not None and spark.sparkContext._jsc is not None:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 class Stage:
     """Tables written to a shared folder and read back: what is read twice is computed once, and a lost
     executor costs no more than the files it had not written."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.folder = shared_folder(spark)
+        self.folder = run_folder(spark)
         self.count = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -122,6 +104,13 @@ class Stage:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, number: int) -> None:
+        """Delete the table that was staged as this one, which nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{number}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """How many partitions a shuffle starts with: the session's number, or more where the input asks for it."""
+    asked = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(asked or 0))

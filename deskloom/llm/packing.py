@@ -16,8 +16,10 @@ its own slots. A document of any length is cut into whole pieces; only the first
 
 from __future__ import annotations
 
+import base64
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskloom.llm.common import Stage, add_columns, blocks, shuffle_partitions
+from deskloom.llm.common import Stage, blocks, shuffle_partitions
 
 CAPACITY = 1024
 END = 2
-# Encoded chunks a task remembers; beyond that it starts anew. Chunks encoded in one text.
-REMEMBERED = 600_000
-JOINED = 512
-# A space between two characters that are not white space begins a token, whatever stands around it.
-INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-WIDE_SPACE = re.compile(r"\s\s")
 
 PIECES = T.StructType(
     [
@@ -48,50 +44,54 @@ PIECES = T.StructType(
 SLOTS = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
 
-def encoder(vocabulary: str) -> Callable[[list], list[bytes]]:
-    """A function from texts to token ids, as little-endian unsigned 32-bit numbers.
+class Vocabulary(NamedTuple):
+    """A byte-level vocabulary: the file that says how texts are encoded, and the same tokens as ranks of byte strings
+    with the pattern that splits texts before merging, if there is such a file."""
 
-    Texts are encoded by chunks that begin at a space, which never lie within a token; a chunk met again
-    is not encoded again. New chunks are encoded many in one text: each begins with a token that begins
-    with the space, and has no other.
+    file: str
+    ranks: str | None = None
+    pattern: str | None = None
+
+
+def public_vocabulary() -> Vocabulary:
+    import public_tokenizers as public
+
+    return Vocabulary(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+
+
+def number_type(vocabulary: Vocabulary) -> str:
+    """The unsigned type that holds every id of the vocabulary: two bytes where it has at most 65,536 entries."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(vocabulary.file).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def encoder(vocabulary: Vocabulary, kind: str = "<u4") -> Callable[[str], np.ndarray]:
+    """A function from a text to its token ids, numbers of the given type.
+
+    Both files give the same ids; ranks are merged faster. Only they know no added tokens, so a text that
+    holds the string of one is encoded by the other.
     """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary)
-    space = tokenizer.encode("a b", add_special_tokens=False).tokens[1][0]  # how the vocabulary writes it
-    opens = np.array([(tokenizer.id_to_token(i) or "").startswith(space) for i in range(tokenizer.get_vocab_size())])
-    known: dict[str, bytes] = {}
-
-    def ids_of(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def learn(chunks: list[str]) -> None:
-        for at in range(0, len(chunks), JOINED):
-            part = chunks[at : at + JOINED]
-            ids = ids_of(" " + " ".join(part))
-            starts = np.flatnonzero(opens[ids])
-            if len(starts) != len(part):
-                known.update((c, ids_of(" " + c).tobytes()) for c in part)
-                continue
-            raw = ids.tobytes()
-            ends = [*(4 * starts[1:]).tolist(), len(raw)]
-            known.update((c, raw[a:b]) for c, a, b in zip(part, (4 * starts).tolist(), ends))
-
-    def encode(texts: list) -> list[bytes]:
-        chunks = [INNER_SPACE.split(t) if WIDE_SPACE.search(t) else t.split(" ") for t in (t or "" for t in texts)]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set().union(*(c[1:] for c in chunks)) - known.keys()
-        # Chunks with white space at an end would meet the next one's space.
-        plain = [c for c in new if c and c == c.strip()]
-        learn(plain)
-        if len(plain) < len(new):
-            known.update((c, ids_of(" " + c).tobytes()) for c in new - set(plain))
-        first = [ids_of(c[0]).tobytes() for c in chunks]
-        return [f + b"".join(map(known.__getitem__, c[1:])) for f, c in zip(first, chunks)]
+    tokenizer = Tokenizer.from_file(vocabulary.file)
+
+    def by_file(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
+
+    if vocabulary.ranks is None:
+        return by_file
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary.ranks, "rb"))}
+    merges = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+    added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)")
+
+    def encode(text: str) -> np.ndarray:
+        return by_file(text) if added.search(text) else np.array(merges.encode_ordinary(text), kind)
 
     return encode
 
@@ -101,21 +101,16 @@ def cut(n: int, capacity: int) -> list[int]:
     return list(range((n - 1) % capacity + 1, n + 1, capacity))
 
 
-def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Token pieces of ``docs`` (doc_id, text), each with its ids; see :data:`PIECES`."""
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), *PIECES.fields[1:]])
-    end = np.array([END], "<u4").tobytes()
+def pieces(docs: DataFrame, vocabulary: Vocabulary | None = None, capacity: int = CAPACITY, kind: str = "<u4") -> DataFrame:
+    """Token pieces of ``docs`` (doc_id, text), each with its ids as numbers of a type; see :data:`PIECES`."""
+    vocabulary = vocabulary or public_vocabulary()
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *PIECES.fields[1:]])
 
     def run(batches):
-        encode = encoder(vocabulary)
+        encode, end = encoder(vocabulary, kind), np.array([END], kind)
         for block in blocks(batches, "text"):
-            whole = [ids + end for ids in encode(block.column("text").to_pylist())]
-            ends = [cut(len(ids) // 4, capacity) for ids in whole]
+            whole = [np.append(encode(t or ""), end) for t in block.column("text").to_pylist()]
+            ends = [cut(len(ids), capacity) for ids in whole]
             starts = [[0, *e[:-1]] for e in ends]
             row = np.repeat(np.arange(len(ends)), [len(e) for e in ends])
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +119,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                     pa.array([i for e in ends for i in range(len(e))], pa.int32()),
                     pa.array([x for s in starts for x in s], pa.int64()),
                     pa.array([b - a for s, e in zip(starts, ends) for a, b in zip(s, e)], pa.int64()),
-                    pa.array([ids[4 * a : 4 * b] for ids, s, e in zip(whole, starts, ends) for a, b in zip(s, e)], pa.binary()),
+                    pa.array([ids[a:b].tobytes() for ids, s, e in zip(whole, starts, ends) for a, b in zip(s, e)], pa.binary()),
                 ],
                 names=schema.names,
             )
@@ -166,10 +161,19 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(runs), np.int64).reshape(-1, 5)
 
 
-def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def widened(column: pa.Array, kind: str) -> pa.Array:
+    """A binary column of numbers of a type as little-endian unsigned 32-bit numbers."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    numbers = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].view(kind).astype("<u4")
+    moved = (offsets - offsets[0]) * (4 // np.dtype(kind).itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(moved.astype(np.int32)), pa.py_buffer(numbers)])
+
+
+def place(parts: DataFrame, capacity: int = CAPACITY, ids: str | None = None, kind: str = "<u4") -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset`` (replacing such columns); needs a column ``length``.
 
-    No sequence holds more than ``capacity``, and its pieces lie in it without gaps.
+    No sequence holds more than ``capacity``, and its pieces lie in it without gaps. The binary column ``ids``, if
+    named, holds numbers of the type ``kind`` and comes out with 32-bit ones.
     """
     spark = parts.sparkSession
     stage = Stage(spark)
@@ -185,26 +189,28 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sizes = sizes.select("_slice", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = Window.partitionBy("_slice", "length").orderBy("_row")
     ranked = rows.withColumn("_rank", F.row_number().over(within) - 1).join(sizes, ["_slice", "length"])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))
+    kept = [f for f in parts.schema.fields if f.name.lower() not in SLOTS.names]
+    ranked = ranked.select(*[f.name for f in kept], (F.col("_rank") + F.col("_before")).alias("_rank"))
 
-    def make():
-        def compute(lengths, ranks):
-            length, rank = np.array(lengths, np.int64), np.array(ranks, np.int64)
+    def run(batches):
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
             # Runs are ordered by length, then rank: one key for both.
             width = int(runs[:, 1].max(initial=0)) + int(rank.max(initial=0)) + 2
             at = np.searchsorted(runs[:, 0] * width + runs[:, 1], length * width + rank, side="right") - 1
             along = rank - runs[at, 1]
-            return {
-                "sequence_id": runs[at, 2] + along // runs[at, 3],
-                "offset": runs[at, 4] + along % runs[at, 3] * length,
-            }
+            slots = [runs[at, 2] + along // runs[at, 3], runs[at, 4] + along % runs[at, 3] * length]
+            held = [widened(batch.column(f.name), kind) if f.name == ids else batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*held, *map(pa.array, slots)], names=[*(f.name for f in kept), *SLOTS.names])
 
-        return compute
+    return ranked.mapInArrow(run, T.StructType([*kept, *SLOTS.fields]))
 
-    placed = add_columns(ranked, SLOTS, make, ("length", "_rank"), drop=("_row", "_slice", "_rank", "_before"))
-    return placed.select(*[c for c in parts.columns if c not in SLOTS.names], *SLOTS.names)
 
+def pack(docs: DataFrame, vocabulary: Vocabulary | None = None, capacity: int = CAPACITY) -> DataFrame:
+    """Documents packed into sequences: their pieces with ids (32-bit) and places.
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Documents packed into sequences: their pieces with ids and places."""
-    return place(pieces(docs, vocabulary, capacity), capacity)
+    Ids are as narrow as the vocabulary allows until they are placed.
+    """
+    vocabulary = vocabulary or public_vocabulary()
+    kind = number_type(vocabulary)
+    return place(pieces(docs, vocabulary, capacity, kind), capacity, "ids", kind)

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import SF, folder_of, make_docs, odd_rows, sample  # noqa: F401
 from tokenizers import Tokenizer
@@ -119,13 +119,38 @@ ODD_TEXTS = [
 ]
 
 
-@given(st.lists(st.text(st.sampled_from("ab1'., \n\t\xa0\x1cé日<|>"), max_size=40), max_size=6))
-def test_chunks_encode_like_the_whole(texts):
-    got = [np.frombuffer(b, "<u4").tolist() for b in ENCODE(texts)]
-    assert got == [ids_of(t)[:-1] for t in texts]
+PARTS = st.sampled_from(["<|endoftext|>", "<|", "'ll", "'S", "  ", "\r\n", "\u3000", "\u2028", "café", "日本", "\U0001f468\u200d\U0001f469", "٣x", "Ⅷ½", "e\u0301"])
+TEXTS = st.lists(st.one_of(PARTS, st.text(max_size=8), st.text(st.sampled_from("abAB19'., -\n\t\xa0\x1c\x85"), max_size=12)), max_size=12).map("".join)
+VOCABULARY = packing.public_vocabulary()
+ENCODE, BY_FILE = packing.encoder(VOCABULARY), packing.encoder(VOCABULARY._replace(ranks=None))
 
 
-ENCODE = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+@settings(max_examples=1500)
+@given(TEXTS)
+def test_ranks_give_the_ids_of_the_file(text):
+    assert ENCODE(text).tolist() == BY_FILE(text).tolist() == ids_of(text)[:-1]
+
+
+def test_every_character_between_others_has_the_ids_of_the_file():
+    """Both split texts by classes of characters: one of any class, in each neighbourhood."""
+    every = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0x3000, 0x110000, 97) if not 0xD800 <= c < 0xE000]
+    for around in ("a%sb", "1%s2", " %s", ".%s!", "%s ", "\n%s\n x"):
+        for c in every:
+            text = around % c
+            assert ENCODE(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_narrow_until_they_are_placed(spark, make_docs):
+    import pyarrow as pa
+
+    assert packing.number_type(VOCABULARY) == "<u2"
+    docs = make_docs(odd_rows())
+    narrow, wide = packing.pieces(docs, kind="<u2").collect(), packing.pieces(docs).collect()
+    assert [np.frombuffer(r.ids, "<u2").tolist() for r in narrow] == [np.frombuffer(r.ids, "<u4").tolist() for r in wide]
+    values = [b"\x01\x00\x02\xff", b"", b"\x07\x00"]
+    for column in (pa.array(values, pa.binary()), pa.array([b"zz", *values, b"y"], pa.binary()).slice(1, 3)):
+        assert [np.frombuffer(v, "<u4").tolist() for v in packing.widened(column, "<u2").to_pylist()] == [[1, 0xFF02], [], [7]]
+    assert packing.widened(pa.array([], pa.binary()), "<u2").to_pylist() == []
 
 
 def test_lengths_that_most_pieces_share(spark):
