@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
-from hypothesis import given
+import pytest
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
@@ -50,6 +53,60 @@ def test_base_columns_match_brute_force(spark, sample):
         assert not (row.base_failed and row.kept)
 
 
+PATHS = fertility.public_vocabularies()
+CHUNKS = fertility.Chunks(*PATHS)
+PARTS = st.sampled_from([" ", "  ", "\u2581", " \u2581", "\u2581 ", "\n", "\r\n ", "\u3000", "\xa0", "word", "the", "日本語", "<s>", "é", "\U0001f600"])
+TEXTS = st.lists(st.one_of(PARTS, st.text(max_size=6), st.text(st.sampled_from("ab1,.' "), max_size=12)), max_size=14).map("".join)
+
+
+def whole_measures(text):
+    """The measures from the tokens of the whole text."""
+    many, ids = len(CHUNKS.many.encode_ordinary(text)), CHUNKS.pieces.encode(text)
+    if not ids:
+        return 0, many, 0.0, 0.0
+    shares = [n / len(ids) for n in Counter(ids).values()]
+    is_byte = [CHUNKS.pieces.is_byte(i) and CHUNKS.pieces.id_to_piece(i) != "<0x0A>" for i in ids]
+    return len(ids), many, sum(is_byte) / len(ids), -sum(p * math.log2(p) for p in shares)
+
+
+@settings(max_examples=1500)
+@given(st.lists(TEXTS, max_size=4))
+def test_measures_are_those_of_whole_texts(texts):
+    for got, text in zip(CHUNKS.measure(texts), texts, strict=True):
+        assert got == pytest.approx(whole_measures(text)), text
+
+
+@settings(max_examples=1000)
+@given(st.text(st.sampled_from("ab \n\t\x1c\x85\xa0\u2003\u3000\u2581é"), max_size=20))
+def test_texts_are_cut_at_safe_spaces_only(text):
+    assert fertility.chunks_of(text) == fertility.SAFE.split(text)
+
+
+def test_long_runs_are_measured_whole_and_chunks_are_forgotten(monkeypatch):
+    rng = random.Random(4)
+    long = ["x" * 30_000, "".join(rng.choices("日本語文章漢字学校", k=9000)), "".join(rng.choices("ab01", k=9000)) + " end"]
+    assert [g == pytest.approx(whole_measures(t)) for g, t in zip(CHUNKS.measure(long), long)] == [True] * 3
+    monkeypatch.setattr(fertility, "REMEMBERED", 10)
+    for _ in range(3):
+        texts = [" ".join(str(rng.random()) for _ in range(30)) for _ in range(3)]
+        assert [g == pytest.approx(whole_measures(t)) for g, t in zip(CHUNKS.measure(texts), texts)] == [True] * 3
+
+
+@given(st.text(st.sampled_from("a#$ é日\t\n\r\x0b\x0c\x1c\x85\xa0\u2028\u3000"), max_size=60))
+def test_base_counts_of_any_white_space(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), brute_repeated(words))
+    assert fertility.base_counts(text) == want
+
+
+@given(st.text(max_size=40))
+def test_main_script_counts_every_letter(text):
+    seen = Counter(unicodedata.name(c, "").split(" ")[0] for c in text if c.isalpha())
+    seen.pop("", None)
+    assert fertility.main_script(text, {}) == (max(seen, key=lambda s: (seen[s], s)) if seen else "")
+
+
 def test_bands_tell_prose_from_noise(make_docs):
     rng = random.Random(1)
     prose = "The committee met on Tuesday to discuss the annual report and agreed to publish it next month. "
