@@ -21,8 +21,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents table, or the named columns of it; shuffles start with partitions for its size."""
+    """The documents table, or the named columns of it.
+
+    Shuffles start with partitions for its size, and batches on their way to Python hold bytes, not rows, of a
+    bounded number, as texts differ in length by orders of magnitude.
+    """
     scale_to(spark, f"{sf_dir}/documents.parquet")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BLOCK_BYTES))
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return table.select(*columns) if columns else table
 

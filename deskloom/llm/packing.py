@@ -17,8 +17,8 @@ its own slots. A document of any length is cut into whole pieces; only the first
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -45,42 +45,53 @@ SLOTS = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField(
 
 
 class Vocabulary(NamedTuple):
-    """A byte-level vocabulary: the file that says how texts are encoded, and the same tokens as ranks of byte strings
-    with the pattern that splits texts before merging, if there is such a file."""
+    """A byte-level vocabulary: the file that says how texts are encoded, its entries and the strings of its added
+    tokens; and the same tokens as ranks of byte strings with the pattern that splits texts before merging, if
+    there is such a file."""
 
     file: str
+    entries: int
+    added: tuple[str, ...]
     ranks: str | None = None
     pattern: str | None = None
 
+    @property
+    def kind(self) -> str:
+        """The unsigned type that holds every id: two bytes where there are at most 65,536."""
+        return "<u2" if self.entries <= 1 << 16 else "<u4"
 
-def public_vocabulary() -> Vocabulary:
-    import public_tokenizers as public
 
-    return Vocabulary(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+def vocabulary_of(file: str, ranks: str | None = None, pattern: str | None = None) -> Vocabulary:
+    from tokenizers import Tokenizer
 
+    tokenizer = Tokenizer.from_file(file)
+    added = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    return Vocabulary(file, tokenizer.get_vocab_size(), added, ranks, pattern)
 
-def number_type(vocabulary: Vocabulary) -> str:
-    """The unsigned type that holds every id of the vocabulary: two bytes where it has at most 65,536 entries."""
-    from tokenizers import Tokenizer
 
-    return "<u2" if Tokenizer.from_file(vocabulary.file).get_vocab_size() <= 1 << 16 else "<u4"
+def public_vocabulary() -> Vocabulary:
+    import public_tokenizers as public
+
+    return vocabulary_of(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
 def encoder(vocabulary: Vocabulary, kind: str = "<u4") -> Callable[[str], np.ndarray]:
     """A function from a text to its token ids, numbers of the given type.
 
     Both files give the same ids; ranks are merged faster. Only they know no added tokens, so a text that
-    holds the string of one is encoded by the other.
+    holds the string of one is encoded by the other, which is not loaded before.
     """
     import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    @cache
+    def tokenizer():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary.file)
+        return Tokenizer.from_file(vocabulary.file)
 
     def by_file(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
+        return np.array(tokenizer().encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
 
     if vocabulary.ranks is None:
         return by_file
@@ -88,10 +99,9 @@ def encoder(vocabulary: Vocabulary, kind: str = "<u4") -> Callable[[str], np.nda
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary.ranks, "rb"))}
     merges = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
-    added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)")
 
     def encode(text: str) -> np.ndarray:
-        return by_file(text) if added.search(text) else np.array(merges.encode_ordinary(text), kind)
+        return by_file(text) if any(s in text for s in vocabulary.added) else np.array(merges.encode_ordinary(text), kind)
 
     return encode
 
@@ -212,5 +222,4 @@ def pack(docs: DataFrame, vocabulary: Vocabulary | None = None, capacity: int =
     Ids are as narrow as the vocabulary allows until they are placed.
     """
     vocabulary = vocabulary or public_vocabulary()
-    kind = number_type(vocabulary)
-    return place(pieces(docs, vocabulary, capacity, kind), capacity, "ids", kind)
+    return place(pieces(docs, vocabulary, capacity, vocabulary.kind), capacity, "ids", vocabulary.kind)
