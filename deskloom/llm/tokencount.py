@@ -1,8 +1,8 @@
 """Token counts: texts encoded in batches inside Arrow functions that return lengths only.
 
 A batch holds at most ``common.BLOCK_BYTES`` of text, so short texts share a call and a long one does not
-share it. A longer text is cut at safe boundaries, single spaces between two other characters: no piece of
-the vocabulary has a space after another character, so no merge crosses such a place, and the next part,
+share it. A longer text is cut at safe boundaries, single spaces between two other characters but the mark U+2581
+that the vocabulary writes for a space: no piece of it has a space after another character, so no merge crosses such a place, and the next part,
 whose first piece gets a space in front, counts as it does in the whole. Vocabularies of which this does
 not hold are not cut for.
 
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from deskloom.llm.common import add_columns
 
 PART_CHARS = 1 << 16
-SAFE = re.compile(r"(?<=[^ ]) (?=[^ ])")
+SAFE = re.compile("(?<=[^ \u2581]) (?=[^ \u2581])")
 FIELDS = T.StructType(
     [
         T.StructField("n_bytes", T.LongType()),

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import sentencepiece
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
@@ -20,8 +20,10 @@ def test_counts_match_whole_texts(spark, sample):
         assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(doc["text"].encode()), n, n > 4096)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(st.sampled_from("ab, .\n\té日\U0001f600<s>▁"), max_size=80), st.integers(1, 20))
+@settings(max_examples=600, deadline=None)
+@example("▁ ▁", 1)
+@example("a ▁ b▁ c", 1)
+@given(st.text(st.one_of(st.sampled_from("ab, .\n\té日\U0001f600<s>▁"), st.sampled_from(" ▁")), max_size=80), st.integers(1, 20))
 def test_parts_count_like_the_whole(text, size):
     parts = list(tokencount.parts_of(text, size))
     assert " ".join(parts) == text
