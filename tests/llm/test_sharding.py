@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
 from llm_fixtures import SF, make_docs, odd_rows, sample  # noqa: F401
 
 from deskloom.llm import queries, sharding
@@ -57,6 +58,16 @@ def test_a_third_of_all_rows_is_one_text(make_docs):
     assert 0.95 < low and high < 1.05
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_a_third_of_all_rows_is_one_row(make_docs, doc_id):
+    rng = random.Random(6)
+    docs = [(doc_id if i % 3 == 0 else i, "hot text" if i % 3 == 0 else "".join(rng.choices("abc", k=8)), "en", "a") for i in range(12_000)]
+    rows = sharding.assign_shards(make_docs(docs)).collect()
+    check(rows, [(d, t) for d, t, *_ in docs])
+    low, high = spread(rows)
+    assert 0.95 < low and high < 1.05
+
+
 def test_overfull_ranges_are_cut_again(make_docs, monkeypatch):
     monkeypatch.setattr(sharding, "PER_RANGE", 0.2)
     docs = [(i, f"text {i}", "en", "a") for i in range(6000)]
