@@ -19,6 +19,7 @@ time. Repeated rows have equal fingerprints.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskloom.llm.common import add_columns, blocks, shuffle_partitions
+from deskloom.llm.common import Stage, add_columns, blocks, shuffle_partitions
 from deskloom.llm.neardup import mix
 
 LEVELS = 3
@@ -36,6 +37,8 @@ KEPT = 24
 NAME_BITS = 48
 PARSED_BYTES = 1 << 20
 LEAST_ID = -(1 << 63)
+# Keys sampled for each range of the order that next documents are found in.
+PER_RANGE = 32
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -136,37 +139,58 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return add_columns(docs, fields, lambda: lambda texts: {"fingerprint": fingerprints(texts)}, limit=PARSED_BYTES)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the columns rows are ordered by: falling id, then the text's hash, then a number."""
+    falling = F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
+    return docs.select(
+        "doc_id", "text", falling.alias("_k"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.xxhash64(F.monotonically_increasing_id()).alias("_n")
+    )
+
+
+def _splitters(keys: DataFrame, ranges: int) -> list[tuple[int, int, int]]:
+    """Keys at the quantiles of a sample drawn by size, ``PER_RANGE`` for a range."""
+    total = keys.agg(F.sum("size")).first()[0] or 0
+    uniform = F.xxhash64("_k", "_t", "_n", F.lit(1)).bitwiseAND((1 << 53) - 1) / F.lit(float(1 << 53))
+    chance = F.least(F.lit(1.0), F.col("size") * F.lit(ranges * PER_RANGE / max(total, 1)))
+    drawn = keys.withColumn("_p", chance).where(uniform < F.col("_p")).select("_k", "_t", "_n", F.col("size") / F.col("_p"))
+    sample = sorted(tuple(r) for r in drawn.collect())
+    ends = np.cumsum([w for *_, w in sample])
+    at = np.searchsorted(ends, np.arange(1, ranges) * (ends[-1] / ranges)) if len(ends) else []
+    return sorted({sample[i][:3] for i in at if i < len(sample)})
+
+
 def _in_descending_ranges(docs: DataFrame) -> DataFrame:
-    """Rows (_range, _ghost, _k, doc_id, text) so that a range, in falling order of id, holds its rows and
-    then, as ghosts, the rows that the whole order goes on with."""
+    """Rows (_range, _ghost, doc_id, text) so that a range, in falling order of id, holds its rows and then, as a
+    ghost, the one row that the whole order goes on with.
+
+    Ranges are cut between any two rows, also of one id, or of one id and text, so none holds much more than its part
+    of all bytes. What follows a range is a row with the least key of those beyond; rows with an equal key are equal.
+    """
     spark = docs.sparkSession
-    ranges = 8 * shuffle_partitions(spark)
-    rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("_k"))
-    at = F.approx_percentile("_k", [i / ranges for i in range(1, ranges)], 100_000)
-    splitters = np.unique(np.array(rows.agg(at).first()[0] or [], np.int64))
-    number = T.StructType([T.StructField("_range", T.LongType()), T.StructField("_also", T.LongType())])
-
-    def deal(heads: dict[int, int]):
-        def make():
-            def compute(_, keys):
-                keys = np.array(keys, np.int64)
-                return {"_range": np.searchsorted(splitters, keys, "left"), "_also": [heads.get(k) for k in keys.tolist()]}
-
-            return compute
-
-        return make
-
-    # One id per range reaches the driver: the one its order begins with.
-    firsts = add_columns(rows.select("_k", F.lit("").alias("text")), number, deal({}), ("text", "_k"))
-    heads = {r["_range"]: r["head"] for r in firsts.groupBy("_range").agg(F.max("_k").alias("head")).collect()}
-    falling = sorted(heads, reverse=True)
-    follows = {heads[r]: falling[i - 1] for i, r in enumerate(falling)}
-    dealt = add_columns(rows, number, deal(follows), ("text", "_k"))
-    place = F.array(F.struct(F.col("_range").alias("r"), F.lit(0).alias("g")), F.struct(F.col("_also").alias("r"), F.lit(1).alias("g")))
-    dealt = dealt.select("doc_id", "text", "_k", F.explode(place).alias("p")).where("p.r is not null")
-    dealt = dealt.select(F.col("p.r").alias("_range"), F.col("p.g").alias("_ghost"), "_k", "doc_id", "text")
-    dealt = dealt.repartition(shuffle_partitions(spark), "_range")
-    return dealt.sortWithinPartitions("_range", "_ghost", F.col("_k").desc(), "text")
+    rows = _keyed(docs)
+    size = (F.octet_length(F.coalesce("text", F.lit(""))) + F.lit(16)).cast("long").alias("size")
+    keys = Stage(spark)(rows.select("_k", "_t", "_n", size))
+    splitters = _splitters(keys, 4 * shuffle_partitions(spark))
+    number = T.StructType([T.StructField("_range", T.LongType())])
+
+    def make():
+        return lambda k, t, n: {"_range": [bisect_right(splitters, key) for key in zip(k, t, n)]}
+
+    dealt = add_columns(keys, number, make, ("_k", "_t", "_n"))
+    # One key of each range reaches the driver: the one its order begins with.
+    heads = {r["_range"]: tuple(r["head"]) for r in dealt.groupBy("_range").agg(F.min(F.struct("_k", "_t")).alias("head")).collect()}
+    follows, after = [], heads[min(heads)] if heads else None
+    for r in range(len(splitters), -1, -1):
+        follows.append((r, *(after or (0, 0))))
+        after = heads.get(r, after)
+    ahead = spark.createDataFrame(follows, "_range long, _k long, _t long")
+    ghosts = rows.select("doc_id", "text", "_k", "_t").join(ahead, ["_k", "_t"]).groupBy("_range", "_k", "_t")
+    ghosts = ghosts.agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    plain = add_columns(rows, number, make, ("_k", "_t", "_n"))
+    both = plain.select("_range", F.lit(0).alias("_ghost"), "_k", "_t", "_n", "doc_id", "text").union(
+        ghosts.select("_range", F.lit(1), "_k", "_t", F.lit(0).cast("long"), "doc_id", "text")
+    )
+    return both.repartition(shuffle_partitions(spark), "_range").sortWithinPartitions("_range", "_ghost", "_k", "_t", "_n")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -174,7 +198,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     One row per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next. The next document is that of the next lower id, after the
-    lowest that of the highest; of rows that share an id the next is the next by text, null ids come
+    lowest that of the highest; of rows that share an id the next is the next by a hash of the text, null ids come
     last. The edited text has its last third of characters replaced by the first as many of the next one's.
     """
     schema = T.StructType(

@@ -83,3 +83,21 @@ def test_odd_rows(make_docs):
     assert phrases.with_next(docs.limit(0)).count() == 0
     alone = phrases.with_next(make_docs([(7, "abcdef", "en", "a")])).first()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and alone.near_next == 1.0
+
+
+def test_rows_that_share_an_id_are_dealt_apart(spark, make_docs):
+    """A third of all rows has one id, half of those one text: no range holds them all, and one row follows each."""
+    rows = [(7 if i % 3 == 0 else i, "the same text" if i % 6 == 0 else f"text number {i} of many", "en", "a") for i in range(6000)]
+    docs = make_docs(rows)
+    dealt = phrases._in_descending_ranges(docs.select("doc_id", "text")).groupBy("_range", "_ghost").count().collect()
+    assert sum(r["count"] for r in dealt if not r._ghost) == len(rows)
+    assert max(r["count"] for r in dealt if not r._ghost) < 4 * len(rows) / len(dealt) * 2
+    assert all(r["count"] == 1 for r in dealt if r._ghost)
+    got = phrases.with_next(docs).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in got) == sorted((d, len(t)) for d, t, *_ in rows)
+    # Within an id texts follow each other in one order, each edited by the next; the last by the next lower id's.
+    texts = [t for d, t, *_ in rows if d == 7]
+    edits = {hashlib.sha256((t[: len(t) - len(t) // 3] + o[: len(t) // 3]).encode()).hexdigest() for t in set(texts) for o in {*texts, rows[5][1]}}
+    assert {r.edited_sha256 for r in got if r.doc_id == 7} <= edits
+    same = [r for r in got if r.doc_id == 7 and r.n_chars == len("the same text")]
+    assert sum(r.near_next == 1.0 for r in same) == len(same) - 1
