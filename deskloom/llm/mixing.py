@@ -13,8 +13,9 @@ quantiles of all keys; sums per bucket show in which bucket a source's budget en
 bucket is put in order. What comes of it is one cut key per source, against which rows are then decided.
 
 Sources are ordered by code point, null last. Null and empty texts have no words: they are taken with
-complete epochs and add none. Rows that share id and source share a key and are taken together. A null id is
-hashed as the text "null". No rows in, no rows out.
+complete epochs and add none. A key is fixed by id and text, a null id being hashed as the text "null"; rows equal
+in id, text and source are told apart by a number dealt to them, so that part of them can be taken. No rows in,
+no rows out.
 """
 
 from __future__ import annotations
@@ -40,9 +41,10 @@ def quality(text: F.Column) -> F.Column:
     return F.greatest(F.lit(0.1), F.lit(1.0) - F.lit(5.0) * symbols / F.greatest(length, F.lit(1)))
 
 
-def exponential_key(identity: F.Column, weight: F.Column) -> F.Column:
-    """An exponential variate of the given rate, fixed by the id."""
-    digits = F.substring(F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(identity.cast("string"), F.lit("null")))), 1, 13)
+def exponential_key(identity: F.Column, text: F.Column, number: F.Column, weight: F.Column) -> F.Column:
+    """An exponential variate of the given rate, fixed by id and text, and by a number for rows equal in both."""
+    named = F.concat_ws(":", F.lit(SEED), F.coalesce(identity.cast("string"), F.lit("null")), text, number.cast("string"))
+    digits = F.substring(F.md5(named), 1, 13)
     uniform = (F.conv(digits, 16, 10).cast("long").cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
     return -F.log(uniform) / weight
 
@@ -97,10 +99,32 @@ def cuts(keyed: DataFrame, stage: Stage, **options) -> DataFrame:
     return stage(joined.select("source", "source_size", "target", "epochs", "last"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_text``, the hash of the text, and ``_dealt``, a number for each row."""
+    return docs.withColumns({"_text": F.md5(F.coalesce("text", F.lit("")).cast("binary")), "_dealt": F.monotonically_increasing_id()})
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(doc_id, source, _text) of rows that are there more than once."""
+    counts = rows.groupBy("doc_id", "source", "_text").count().where("count > 1")
+    return counts.select(*[F.col(c).alias(f"_r{c}") for c in ("doc_id", "source", "_text")], F.lit(True).alias("_repeats"))
+
+
+def _with_key(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows with their key: the number counts for those that are repeated only."""
+    same = [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in ("doc_id", "source", "_text")]
+    number = F.when(F.col("_repeats"), F.col("_dealt"))
+    key = exponential_key(F.col("doc_id"), F.col("_text"), number, F.col("_quality")).alias("key")
+    return rows.join(repeated, same, "left").withColumn("key", key)
+
+
+def _keyed(docs: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, key) of every row, and the rows that are repeated."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    key = exponential_key(F.col("doc_id"), quality(F.coalesce("text", F.lit(""))))
-    return docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
+    weight = quality(F.coalesce("text", F.lit("")))
+    narrow = stage(_named(docs).select("doc_id", "source", "_text", "_dealt", size.alias("size"), weight.alias("_quality")))
+    repeated = stage(_repeated(narrow))
+    return stage(_with_key(narrow, repeated).select("doc_id", "source", "size", "key")), repeated
 
 
 def _decided(rows: DataFrame, cut: DataFrame) -> DataFrame:
@@ -114,27 +138,28 @@ def _decided(rows: DataFrame, cut: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken."""
     stage = Stage(docs.sparkSession)
-    keyed = stage(_keyed(docs))
+    keyed, _ = _keyed(docs, stage)
     decided = _decided(keyed, cuts(keyed, stage, **options))
     return decided.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken, all columns as they were."""
+    """The mix itself: rows of ``docs`` as often as they are taken, all columns as they were.
+
+    ``docs`` is read more than once. Where rows are repeated, which of them are taken is by their place in it, so
+    it must be a table, whose rows come in one order.
+    """
     stage = Stage(docs.sparkSession)
-    cut = cuts(stage(_keyed(docs)), stage, **options)
+    keyed, repeated = _keyed(docs, stage)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    whole = _keyed_with(docs, row)
-    copies = _decided(whole, cut).where("copies > 0")
+    weight = quality(F.coalesce("text", F.lit(""))).alias("_quality")
+    whole = _named(docs.select("doc_id", "source", "text", row, weight)).drop("text")
+    whole = _with_key(whole, repeated).select("doc_id", "source", "key", "_row")
+    copies = _decided(whole, cuts(keyed, stage, **options)).where("copies > 0")
     copies = copies.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
     return copies.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
-def _keyed_with(docs: DataFrame, row: F.Column) -> DataFrame:
-    key = exponential_key(F.col("doc_id"), quality(F.coalesce("text", F.lit(""))))
-    return docs.select("doc_id", "source", key.alias("key"), row)
-
-
 # The same mix for DuckDB.
 ORACLE = r"""
 WITH keyed AS (
@@ -145,7 +170,8 @@ WITH keyed AS (
     FROM documents),
 ranked AS (
     SELECT doc_id, source, size,
-           -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+           -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE
+                + 0.5) / 4503599627370496.0)
            / greatest(0.1, 1.0::DOUBLE - 5.0::DOUBLE * (chars - plain) / greatest(chars, 1)) AS key
     FROM keyed),
 sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM ranked GROUP BY source),

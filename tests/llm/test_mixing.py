@@ -71,6 +71,20 @@ def test_a_source_with_a_third_of_all_rows(make_docs):
     assert all(abs(taken[s] - aim[s]) <= 25 for s in aim)
 
 
+@pytest.mark.parametrize("texts", [1, 30])
+def test_rows_without_an_id_are_taken_one_by_one(make_docs, texts):
+    """Half of a source's rows have no id, and one text or many: it still gives near what it should."""
+    text = lambda i: " ".join([f"w{i % texts}"] * 40)
+    docs = [(None if i % 2 else i, text(i), "en", "a") for i in range(60)] + [(1000 + i, "x " * 40, "en", "b") for i in range(60)]
+    made = make_docs(docs)
+    rows = mixing.mix(made).collect()
+    check(rows, docs)
+    for target in {r.target for r in rows}:
+        assert abs(sum(r.taken for r in rows if r.target == target) - target) <= 20
+    mixed = mixing.mixed_documents(made.cache())
+    assert abs(40 * mixed.count() - sum(r.taken for r in rows)) <= 40
+
+
 def test_quality_decides_who_is_drawn(make_docs):
     clean, laden = "word " * 40, "word### " * 40
     docs = [(i, clean if i % 2 else laden, "en", f"s{i // 2 % 3}") for i in range(4000)]
