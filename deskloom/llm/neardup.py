@@ -24,8 +24,9 @@ Components come from union-find within partitions and star contraction between t
 components reach the driver.
 
 Texts without words and null texts have an empty set, are linked with nothing and stay. Rows that share an id
-are one document, linked by any of its texts, and stay or go together. A row without an id takes no part:
-its component is null and it is not kept. Texts of any length are taken whole.
+are one document, linked by any of its texts, and stay or go together: the groups its texts belong to are one. A
+row without an id takes no part: its component is null and it is not marked as kept, but a stage that keeps one
+document of each group leaves it in. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -340,16 +341,29 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILA
     last = compare(_agreed(stage(met), classes, LEAST_AGREED), full, width, similar).where("linked").select("a", "b")
     groups = merged(groups, last.distinct(), stage)
 
+    groups = merged(groups, _same_document(signed, classes), stage)
     whole = groups.union(groups.select(F.col("component").alias("id"), "component").distinct())
     least = whole.groupBy("component").agg(F.min("id").alias("least"))
     groups = whole.join(least, "component").select("id", F.col("least").alias("component"))
-    named = signed.join(classes.select("_class", "id"), "_class", "left").join(groups, "id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
-    named = named.select("doc_id", "n_shingles", component.alias("component_id"))
+    with_words = signed.where("_class is not null").join(classes.select("_class", "id"), "_class", "left").join(groups, "id", "left")
+    with_words = with_words.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    # A text without words goes with what else its id holds.
+    without = signed.where("_class is null").select("doc_id", "n_shingles")
+    beside = with_words.join(without.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    without = without.join(beside, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    named = with_words.union(without).select("doc_id", "n_shingles", component)
     return named.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _same_document(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that one id has texts in, each to the least of them."""
+    held = signed.where("doc_id is not null").join(classes.select("_class", "id"), "_class").select("doc_id", "id").distinct()
+    least = held.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a < most")
+    return held.join(least, "doc_id").where("id > a").select("a", F.col("id").alias("b")).distinct()
+
+
 def keep_one_of_each(docs: DataFrame, width: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
-    """Rows of ``docs`` whose document is the least of its group; all columns stay."""
+    """Rows of ``docs`` whose document is the least of its group, and rows without an id; all columns stay."""
     kept = near_duplicates(docs, width, similar).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").union(docs.where(docs["doc_id"].isNull()))

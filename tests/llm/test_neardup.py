@@ -89,10 +89,39 @@ def test_odd_rows(make_docs):
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, False)]
     kept = neardup.keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rows if r.kept)
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted([-1, *(r.doc_id for r in rows if r.kept)])
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts_link_their_groups(make_docs):
+    """What one id's texts are like is one component, and stays or goes as a whole."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    a, b, c, d = (grown(rng, words, 60) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (9, b), (20, c), (21, d), (21, c), (30, d), (30, "short"), (41, "short"), (9, ""), (41, None), (50, " "), (7, grown(rng, words, 50)), (7, grown(rng, words, 50))]
+    got = neardup.near_duplicates(make_docs([(i, t, "en", "a") for i, t in rows])).collect()
+    check(got, rows)
+    components = {r.doc_id: r.component_id for r in got}
+    assert components == {3: 3, 5: 3, 9: 3, 20: 20, 21: 20, 30: 20, 41: 20, 50: 50, 7: 7}
+    docs = make_docs([(i, t, "en", "a") for i, t in rows] + [(None, "no id", "en", "a"), (None, a, "en", "a")])
+    kept = sorted((r.doc_id or -1, r.text) for r in neardup.keep_one_of_each(docs).collect())
+    assert kept == sorted([(3, a), (20, c), (50, " "), (-1, "no id"), (-1, a)] + [r for r in rows if r[0] == 7])
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_repeated_ids_match_brute_force(make_docs, seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    bases = [grown(rng, words, 40).split() for _ in range(40)]
+    rows = []
+    for _ in range(300):
+        copy = list(rng.choice(bases))
+        for _ in range(rng.randrange(0, 3)):
+            copy[rng.randrange(40)] = rng.choice(words)
+        rows.append((rng.randrange(150), " ".join(copy)))
+    check(neardup.near_duplicates(make_docs([(i, t, "en", "a") for i, t in rows])).collect(), rows)
+
+
 def test_signatures_estimate_and_stop_early():
     rng = np.random.default_rng(1)
     for similar in (0.3, 0.8):
