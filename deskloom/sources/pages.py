@@ -383,20 +383,20 @@ def arrived(pages: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """(url, next_page, fetched_at) of the pages that announce a successor.
+    """(url, next_page, fetched_at) of pages; ``next_page`` is NULL where a page announces no successor.
 
     An incremental listing goes on while its pages are full, any other while a next page is
     named.
     """
     goes_on = F.when(is_incremental(F.col("url")), F.col("count") >= FULL_PAGE).otherwise(F.lit(True))
-    return scan_envelope(pages).filter(F.col("next_page").isNotNull() & goes_on).select("url", "next_page", "fetched_at")
+    return scan_envelope(pages).select("url", F.when(goes_on, F.col("next_page")).alias("next_page"), "fetched_at")
 
 
 def chain_gaps(pages: DataFrame) -> DataFrame:
     """Pages that announce a successor which never landed, or came back as anything but a page to load."""
     fetched = loadable(pages)
     landed = fetched.select(F.col("url").alias("_landed")).distinct()
-    expected = links(fetched).select("url", "next_page")
+    expected = links(fetched).filter(F.col("next_page").isNotNull()).select("url", "next_page")
     return expected.join(landed, F.col("next_page") == F.col("_landed"), "left_anti")
 
 
@@ -418,7 +418,7 @@ def chain_reach(pages: DataFrame, entries: DataFrame) -> DataFrame:
         return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
     fetched = loadable(pages)
-    last = links(fetched).groupBy("url").agg(F.max_by("next_page", F.struct("fetched_at", "next_page")).alias("to"))
+    last = links(fetched).groupBy("url").agg(F.max(F.struct("fetched_at", "next_page"))["next_page"].alias("to"))
     landed = written(fetched.select("url").distinct(), "landed")
     leads = written(last.join(landed.withColumnRenamed("url", "to"), "to", "left_semi").select("url", "to"), "leads-0")
     reached = landed.join(entries.select("url").distinct(), "url", "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import rows_of
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 
 from deskloom.operators.hooks import Hooks
 from deskloom.plans.sync import LOAD_ORDER, run_sync, stored_rows
-from deskloom.plans.views import register_views, ticket_view
+from deskloom.plans.views import drop_views, register_views, ticket_view
 from deskloom.schema import TABLES
-from deskloom.settings import TICKET_ATTRIBUTES, TITLE_TIME_TOTAL
-from deskloom.sinks.warehouse import Warehouse
-from deskloom.sources.pages import read_resource
-from deskloom.streaming.follow import follow, follow_table
+from deskloom.settings import TICKET_ATTRIBUTES, TITLE_TIME_TOTAL, recipient_types
+from deskloom.sinks.warehouse import Warehouse, slice_of
+from deskloom.sources.pages import listing_urls, read_resource
+from deskloom.streaming import waiting
+from deskloom.streaming.follow import follow, follow_children, follow_table
 
 API = "https://desk.example.com/api/v2"
 
@@ -101,6 +103,35 @@ def test_only_touched_slices_are_rewritten(spark, tmp_path):
     assert target.read("groups").count() == 4
 
 
+def test_ids_far_apart_make_a_bounded_number_of_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(TABLES, "groups", replace(TABLES["groups"], slices=64))
+    target, step = Warehouse(spark, str(tmp_path)), 7_900_000_019
+    rows = spark.range(1, 100_001).selectExpr(f"id * {step} AS id", "'a' AS name", "0L AS createdat", "1L AS updatedat")
+    target.upsert("groups", rows)
+    assert len(target._slices("groups")) <= 64
+    assert target.read("groups").count() == 100_001
+    again = spark.createDataFrame([(step, "b", 0, 2), (3 * step, "c", 0, 2)], TABLES["groups"].struct)
+    touched = target.touched("groups", again)["groups"]
+    before = target._slices("groups")
+    target.upsert("groups", again)
+    after = target._slices("groups")
+    assert {k for k in after if after[k] != before[k]} == set(touched) and len(touched) <= 2
+    found = target.read("groups").filter("name <> 'a' AND id > 0")
+    assert rows_of(found, "id", "name") == sorted([(step, "b"), (3 * step, "c")], key=repr)
+    # Neighbours lie together, and slices of whole numbers beyond 2^53 are those of their range.
+    ids = spark.createDataFrame([(1,), (999_999,), (2**60 + 1,), (2**60 // 10**6 * 10**6,)], "id long")
+    assert [r[0] for r in ids.select(slice_of(TABLES["groups"])).collect()] == [0, 0, *[2**60 // 10**6 % 64] * 2]
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    target = Warehouse(spark, str(tmp_path))
+    drawn = spark.range(1, 2001).selectExpr("id", "cast(rand() AS string) AS name", "0L AS createdat", "cast(floor(rand() * 9) AS long) AS updatedat")
+    both = drawn.unionByName(drawn.withColumn("name", F.lit("x")))
+    target.upsert("groups", both)
+    assert target.read("groups").count() == 2001
+    assert target.read("groups").select("id").distinct().count() == 2001
+
+
 def test_a_version_without_its_mark_is_not_read(spark, tmp_path):
     target = Warehouse(spark, str(tmp_path))
     target.upsert("groups", groups(spark, (1, "a", 1)))
@@ -285,6 +316,94 @@ def test_a_renamed_field_replaces_its_value(spark, tmp_path):
     assert rows_of(target.read("organizationdata").filter("id = 0"), "title") == [("odd",), ("other",)]
 
 
+def listed(tables):
+    """Names of the files a warehouse's progress names, once for each time."""
+    logs = [f for f in (tables / "progress").glob("*/sources/0/*") if not f.name.startswith(".")]
+    return sorted(json.loads(line)["path"].rsplit("/", 1)[1] for f in logs for line in f.read_text().splitlines()[1:])
+
+
+def test_a_second_sync_reads_new_files_only(spark, tmp_path):
+    landing, tables = tmp_path / "landing", tmp_path / "tables"
+    land(landing, "a", *base_pages())
+    first = run_sync(spark, str(landing), str(tables))
+    assert dict(rows_of(first, "table", "read"))["ticket"] == 4
+    land(landing, "b", page("groups", [{"id": 7, "name": "later"}], fetched=2), page("tickets", [ticket(9)], fetched=2))
+    second = run_sync(spark, str(landing), str(tables))
+    assert rows_of(second, "table", "read") == [("groups", 1), ("ticket", 1), ("ticketdata", 5)]
+    assert run_sync(spark, str(landing), str(tables)).count() == 0
+    assert listed(tables) == ["a.json", "b.json"]
+    target = Warehouse(spark, str(tables))
+    assert target.quarantined().count() == LETTERS
+    # A stream without a checkpoint of its own goes on from there, and a load from where it ends.
+    land(landing, "c", page("groups", [{"id": 8, "name": "last"}], fetched=3))
+    follow(spark, str(landing), str(tables), drain=True).awaitTermination()
+    assert run_sync(spark, str(landing), str(tables)).count() == 0
+    assert listed(tables) == ["a.json", "b.json", "c.json"]
+    assert rows_of(target.read("groups"), "id") == [(0,), (1,), (7,), (8,)]
+    # The next fetch starts where the stored offsets say.
+    urls = dict(rows_of(listing_urls(target.read("sequencetable"), "https://desk.example.com")))
+    assert urls["ticket"] == f"{API}/incremental/tickets.json?start_time=1704067200"
+
+
+def test_a_backfill_is_loaded_in_bounded_batches(spark, tmp_path):
+    landing = tmp_path / "landing"
+    pages = base_pages()
+    for i, part in enumerate((pages[:6], pages[6:7], pages[7:])):
+        land(landing, f"p{i}", *part)
+        os.utime(landing / f"p{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    most = max((landing / f"p{i}.json").stat().st_size for i in range(3))
+    one, many = Warehouse(spark, str(tmp_path / "one")), Warehouse(spark, str(tmp_path / "many"))
+    run_sync(spark, str(landing), one.root)
+    report = run_sync(spark, str(landing), many.root, bytes_per_batch=most)
+    assert len(os.listdir(tmp_path / "one" / "reports")) == 1 and len(os.listdir(tmp_path / "many" / "reports")) == 3
+    for table in LOAD_ORDER:
+        assert rows_of(one.read(table)) == rows_of(many.read(table)), table
+    assert rows_of(report) == rows_of(one.report())
+    assert rows_of(one.quarantined()) == rows_of(many.quarantined())
+
+
+# --- children that land before, with or after their tickets ---
+
+
+def audit(number, ticket_id, event):
+    return {"id": number, "ticket_id": ticket_id, "author_id": 500, "events": [{"id": event, "type": "Change", "field_name": "11", "value": "P"}]}
+
+
+@pytest.mark.parametrize("gather", [32, 2])
+def test_children_are_taken_in_whichever_order_they_land(spark, tmp_path, monkeypatch, gather):
+    monkeypatch.setattr(waiting, "GATHER", gather)
+    tables, landing, children = str(tmp_path / "tables"), tmp_path / "landing", tmp_path / "children"
+    land(tmp_path / "before", "a", *base_pages()[:7], page("tickets", [ticket(n) for n in range(2, 9)], fetched=2))
+    run_sync(spark, str(tmp_path / "before"), tables)
+    target = Warehouse(spark, tables)
+
+    def drain():
+        follow_children(spark, str(landing), str(children), tables, drain=True).awaitTermination()
+        return [i for i, in rows_of(target.read("audit"), "id")]
+
+    land(landing, "0", page("groups", []))
+    land(children, "early", page("audits", [audit(20, 2, 920), audit(30, 3, 930)]), page("audits", [audit(21, 2, 921)]))
+    assert drain() == []  # no ticket has changed yet
+    land(landing, "1", page("tickets", [ticket(1), ticket(2)], fetched=5))
+    assert drain() == [20, 21]  # what waited for ticket 2
+    land(children, "late", page("audits", [audit(10, 1, 910), audit(40, 4, 940)]))
+    assert drain() == [10, 20, 21]  # after its ticket's batch
+    land(landing, "2", page("tickets", [ticket(3), ticket(4)], fetched=6))
+    land(children, "same", page("audits", [audit(41, 4, 941), audit(50, 5, 950)]), page("audits", "oops", status=500))
+    assert drain() == [10, 20, 21, 30, 40, 41]
+    land(children, "later", page("audits", [audit(22, 2, 922)]), page("ticket_metric", {"id": 71, "ticket_id": 1}))
+    assert drain() == [10, 20, 21, 22, 30, 40, 41]  # a ticket once changed stays known
+    assert rows_of(target.read("ticketmetric"), "id") == [(71,)]
+    assert ("", "status_500") in rows_of(target.quarantined(), "resource", "reason")
+    # Only the last batch's waiting records are kept; a lost checkpoint replays all files and changes nothing.
+    left = list((tmp_path / "tables" / "waiting").glob("*/records/batch=*"))
+    assert len(left) <= 2
+    follow_children(spark, str(landing), str(children), tables, str(tmp_path / "again"), drain=True).awaitTermination()
+    assert [i for i, in rows_of(target.read("audit"), "id")] == [10, 20, 21, 22, 30, 40, 41]
+    land(landing, "3", page("tickets", [ticket(5)], fetched=7))
+    assert drain() == [10, 20, 21, 22, 30, 40, 41, 50]
+
+
 def test_files_landed_before_are_left_alone(spark, tmp_path):
     land(tmp_path / "in", "a", *base_pages())
     land(tmp_path / "in", "b", page("groups", [{"id": 7, "name": "later"}], fetched=2))
@@ -297,5 +416,12 @@ def test_sql_views_know_the_sites_own_addresses(spark, loaded):
     tables = {t: loaded[2].read(t) for t in LOAD_ORDER}
     register_views(spark, tables, {"escalations@example.com": "mine"})
     assert rows_of(spark.sql("SELECT type FROM TicketView")) == [("mine",)]
+    by_domain = "SELECT type FROM TicketViewOf('%s', 'desk.example.com')"
+    assert rows_of(spark.sql(by_domain % "example.com")) == [("escalation",)]
+    assert rows_of(spark.sql(by_domain % "elsewhere.org")) == [("enterprise",)]
+    whole = ticket_view(tables, recipient_types("example.com", "desk.example.com"))
+    function = spark.table("TicketView").schema, spark.sql("SELECT * FROM TicketViewOf('example.com', 'desk.example.com')")
+    assert (function[1].schema, rows_of(function[1])) == (function[0], rows_of(whole))
+    drop_views(spark, {})
     for name in LOAD_ORDER:
         spark.catalog.dropTempView(name)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from conftest import rows_of
@@ -150,6 +151,43 @@ def test_chain_gaps(spark):
     assert rows_of(p.chain_gaps(pages.unionByName(failed)), "url") == [(f"{snap}2",), (f"{inc}5",)]
 
 
+def chained(spark, links, status=200, fetched=0):
+    rows = [(f"{API}/groups.json?page={a}", status, fetched, json.dumps({"groups": [], "next_page": b and f"{API}/groups.json?page={b}"})) for a, b in links]
+    return spark.createDataFrame(rows, PAGE)
+
+
+def reach(spark, pages, *entries):
+    from_ = spark.createDataFrame([(f"{API}/groups.json?page={e}",) for e in entries], "url string")
+    return {int(r.url.rsplit("=", 1)[1]): (r.reached, r.cyclic) for r in p.chain_reach(pages, from_).collect()}
+
+
+def test_chain_reach_tells_pages_behind_a_gap_and_circles(spark):
+    pages = chained(spark, [(1, 2), (2, 3), (3, 4), (5, 6), (6, None), (10, 11), (11, 12), (12, 10), (20, 21), (21, 22), (22, 21), (30, 30)])
+    stray = {5: (False, False), 6: (False, False)}  # behind page 4, which never landed
+    circle = {10: (False, True), 11: (False, True), 12: (False, True), 30: (False, True)}
+    assert reach(spark, pages, 1, 20) == stray | circle | {21: (True, True), 22: (True, True)}
+    assert reach(spark, pages, 1, 5, 11, 20, 30) == {n: (True, True) for n in (10, 11, 12, 21, 22, 30)}
+    # A failed page is not landed, and of two fetches the later one's link counts.
+    later = chained(spark, [(4, 5)]).unionByName(chained(spark, [(12, None)], fetched=7)).unionByName(chained(spark, [(6, 1)], status=500, fetched=9))
+    assert reach(spark, pages.unionByName(later), 1, 20) == {10: (False, False), 11: (False, False), 12: (False, False), 21: (True, True), 22: (True, True), 30: (False, True)}
+    assert reach(spark, pages.limit(0), 1) == {}
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    folder = p.run_folder
+    monkeypatch.setattr(p, "run_folder", lambda s: rounds.append(folder(s)) or rounds[-1])
+    pages = chained(spark, [(n, n + 1) for n in range(700)])
+    assert reach(spark, pages, 600) == {n: (False, False) for n in range(600)}
+    assert len(os.listdir(rounds[0].removeprefix("file:"))) <= 2 + 2 * 10
+
+
+def test_addresses_to_fetch_again(spark):
+    fetches = [("a", 429, 1), ("a", 429, 2), ("b", 429, 1), ("b", 200, 2), ("c", 200, 1), ("c", 429, 2), ("d", 500, 1)]
+    pages = spark.createDataFrame([(u, s, t, "") for u, s, t in fetches], PAGE)
+    assert rows_of(p.retry_urls(pages)) == [("a", 2), ("c", 2)]
+
+
 def test_since_includes_the_boundary(spark):
     df = spark.createDataFrame([(1, 9), (2, 10), (3, 11)], "id long, updatedat long")
     assert rows_of(p.since(df, 10), "id") == [(2,), (3,)]

@@ -126,3 +126,14 @@ def test_tickets_of_a_hot_organization(spark, small_partitions):
     assert "skew=true" in final_plan(joined).lower()
     assert joined.count() == ROWS
     assert joined.filter(F.col("organization") == str(HOT)).count() == ROWS // 3
+
+
+def test_wide_ticket_rows_are_shuffled_once(spark, small_partitions, tmp_path):
+    tables = {}
+    for name in ("ticket", "ticketdata", "organization", "user", "ticketmetric", "changeevent", "audit", "ticketfields"):
+        spark.createDataFrame([], TABLES[name].struct).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    for view in (views.ticket_view, views.ticket_view_basic):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        nodes = view(tables)._jdf.queryExecution().explainString(mode).split("\n\n")
+        assert sum("subject" in n for n in nodes if " Exchange\n" in n) == 1
