@@ -6,13 +6,15 @@ number of these. Embeddings start from how much more often a bucket is found in
 allows (0 for the rare ones) and are trained with the rest by Adam on the logistic loss.
 
 Learned are whole texts of labelled rows whose id is not held out (crc32 of the id as text, modulo 5, is not
-0), at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them by hash of their id.
+0), at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them by hash of their id. Tasks hash their words; the driver gets
+numbers of buckets.
 
 Thresholds are calibrated by language on all labelled rows that are not held out, however many: tasks score
-them, those learned from among them, and what is gathered is how many toxic and clean rows of a language have
-their number in each of ``BINS`` bins of equal width. For each language the edge that tells its toxic rows best becomes 0.5. A text's language
-is guessed from its words, so a score depends on the text alone; a language with fewer than
-``CALIBRATION_LEAST`` toxic or clean rows in all uses the threshold of all languages.
+them, and what is gathered is how many toxic and clean rows of a language have their number in each of ``BINS``
+bins of equal width. Rows that were learned from are told too well by what learned them: each counts with the
+number that a network learned from the other half of them gives it. For each language the edge that tells its
+toxic rows best becomes 0.5. A text's language is guessed from its words, so a score depends on the text alone; a
+language with fewer than ``CALIBRATION_LEAST`` toxic or clean rows in all uses the threshold of all languages.
 
 Scores are of whole texts. Null texts and texts without words score as a text none of whose words is known.
 Without labelled rows of both kinds every score is 0. Repeated rows score the same; where ids repeat, each text
@@ -22,15 +24,16 @@ that a label's id names is an example.
 from __future__ import annotations
 
 import re
+import zlib
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.llm.common import Stage, add_columns
-from deskloom.llm.langid import held_out
+from deskloom.llm.langid import held_out, least_hashes
 
 WORDS = re.compile(r"[^\W\d_]+")
 BITS = 17
@@ -41,7 +44,7 @@ EPOCHS = 8
 BATCH = 128
 TOXIC_ROWS = 3000
 CLEAN_ROWS = 5000
-CALIBRATION_LEAST = 30
+CALIBRATION_LEAST = 40
 # Bins of a histogram of numbers, and the number its middle bins end at on either side; further ones count as its ends.
 BINS = 2048
 FURTHEST = 32.0
@@ -96,6 +99,8 @@ def convolve(net: Network, words: np.ndarray) -> np.ndarray:
             part[:-j] += y[j:, at + j]
         out[:, i * FILTERS : (i + 1) * FILTERS] = part
         at += width
+    # What begins at an empty word sees nothing of its text, and must not see the next one.
+    out[words[:, 0] == 0] = 0
     return np.maximum(out + net.bias, 0)
 
 
@@ -165,15 +170,13 @@ class _Adam:
         return rate * (self.m / (1 - 0.9**self.n)) / (np.sqrt(self.v / (1 - 0.99**self.n)) + 1e-6)
 
 
-def train(texts: list[str], toxic: list[int], langs: list[str | None]) -> Network | None:
-    """A network of labelled texts; None where they are not of both kinds."""
+def train(parts: list[np.ndarray], toxic: list[int], langs: list[str | None]) -> Network | None:
+    """A network of labelled texts, each the bucket numbers of its words; None where they are not of both kinds."""
     label = np.array(toxic, float)
     if not len(label) or label.min() == label.max():
         return None
     rng = np.random.default_rng(SEED)
-    known: dict = {}
-    parts = [hashed([t], known)[0] for t in texts]
-    rest = rng.permutation(len(texts))
+    rest = rng.permutation(len(parts))
 
     def batch(rows):
         return np.concatenate([parts[i] for i in rows]), np.repeat(np.arange(len(rows)), [len(parts[i]) for i in rows])
@@ -227,6 +230,11 @@ def train(texts: list[str], toxic: list[int], langs: list[str | None]) -> Networ
     return net
 
 
+def bins(logit: np.ndarray) -> np.ndarray:
+    """The bin of each number; further ones than the last edges fall into the end bins."""
+    return np.clip(np.floor((logit.astype(np.float64) + FURTHEST) * (BINS / (2 * FURTHEST))), 0, BINS - 1).astype(np.int64)
+
+
 def calibrated(net: Network, counts: dict[tuple[int, int], np.ndarray]) -> Network:
     """The network with the threshold of each language that tells its rows best, from counts by bin of rows of
     (language, toxic)."""
@@ -251,34 +259,75 @@ def known_labels(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list, list, list]:
-    """Whole texts, labels and languages of at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled ids."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known_labels(labels).withColumn("n", F.row_number().over(order))
-    chosen = ranked.where(F.col("n") <= F.when(F.col("toxic") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)).drop("n")
+class Sample(NamedTuple):
+    """Labelled texts to learn from: their ids, bucket numbers of their words, labels and languages."""
+
+    ids: list
+    parts: list[np.ndarray]
+    toxic: list[int]
+    langs: list
+
+
+def training_rows(docs: DataFrame, labels: DataFrame) -> Sample:
+    """The whole texts of at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled ids, hashed in tasks."""
+    most = F.when(F.col("toxic") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)
+    chosen = least_hashes(known_labels(labels), "toxic", most)
     texts = docs.where("text is not null").select("doc_id", "text", "lang")
     # No more ids than there are training rows: a side of known size.
-    rows = [tuple(r) for r in texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", "lang").collect()]
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows]
+    texts = texts.join(F.broadcast(chosen), "doc_id")
+    fields = T.StructType([T.StructField("_words", T.BinaryType())])
+
+    def make():
+        known: dict = {}
+        return lambda these: {"_words": [hashed([t], known)[0].tobytes() for t in these]}
+
+    rows = [tuple(r) for r in add_columns(texts, fields, make, drop=("text",)).select("doc_id", "_words", "toxic", "lang").collect()]
+    rows.sort(key=lambda r: (r[0], bytes(r[1]), r[3] or ""))
+    return Sample([r[0] for r in rows], [np.frombuffer(r[1], np.int32).reshape(-1, 2) for r in rows], [r[2] for r in rows], [r[3] for r in rows])
 
 
-def calibrate(rated: DataFrame, labels: DataFrame, net: Network) -> Network:
-    """The network with thresholds of all labelled rows among ``rated`` (doc_id, and what :func:`rate` adds)."""
+def unseen(net: Network, sample: Sample) -> dict:
+    """Counts by bin of the sampled rows of (language, toxic), each scored by a network that did not learn from it:
+    one learned from one half of the ids scores the other."""
+    counts: dict = {}
+    # Halves by hash of the id, so that one id's texts are never in both.
+    half = np.array([zlib.crc32(f"half {i}".encode()) % 2 for i in sample.ids], int)
+    toxic = np.array(sample.toxic, int)
+    for side in (0, 1):
+        mine = np.flatnonzero(half == side)
+        other = train([sample.parts[i] for i in mine], toxic[mine].tolist(), [sample.langs[i] for i in mine]) if len(mine) else None
+        for at in range(0, len(half), BATCH):
+            rows = np.array([i for i in range(at, min(at + BATCH, len(half))) if half[i] != side], int)
+            if not len(rows):
+                continue
+            words = np.concatenate([sample.parts[i] for i in rows])
+            owner = np.repeat(np.arange(len(rows)), [len(sample.parts[i]) for i in rows])
+            z = logits(other or net, words, owner, len(rows))
+            for language, label, place in zip(guessed(net, words, owner, len(rows)).tolist(), toxic[rows].tolist(), bins(z).tolist()):
+                counts.setdefault((language, label), np.zeros(BINS, np.int64))[place] += 1
+    return counts
+
+
+def calibrate(rated: DataFrame, labels: DataFrame, net: Network, sample: Sample) -> Network:
+    """The network with thresholds of all labelled rows among ``rated`` (doc_id, and what :func:`rate` adds); those it
+    learned from count as networks of half of them see the other half."""
+    counts = unseen(net, sample)
     place = F.floor((F.col("_logit").cast("double") + FURTHEST) * (BINS / (2 * FURTHEST)))
     place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place)).cast("int").alias("bin")
     # Texts stay where they are: what meets the labels is an id and two numbers.
-    rows = rated.select("doc_id", "_language", place).join(known_labels(labels), "doc_id")
-    counts: dict = {}
+    learned = rated.sparkSession.createDataFrame([(i,) for i in sorted(set(sample.ids))], T.StructType([labels.schema["doc_id"]]))
+    others = known_labels(labels).join(F.broadcast(learned), "doc_id", "left_anti")
+    rows = rated.select("doc_id", "_language", place).join(others, "doc_id")
     for language, toxic, at, n in rows.groupBy("_language", "toxic", "bin").count().collect():
-        counts.setdefault((language, toxic), np.zeros(BINS, np.int64))[at] = n
+        counts.setdefault((language, toxic), np.zeros(BINS, np.int64))[at] += n
     return calibrated(net, counts)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     """A network of the labelled documents: ``docs`` (doc_id, text, lang), ``labels`` (doc_id, toxic)."""
-    net = train(*training_rows(docs, labels))
-    return net and calibrate(rate(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))), net), labels, net)
+    sample = training_rows(docs, labels)
+    net = train(*sample[1:])
+    return net and calibrate(rate(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))), net), labels, net, sample)
 
 
 def rate(docs: DataFrame, net: Network) -> DataFrame:
@@ -326,8 +375,9 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """What :func:`fit` and :func:`score` give for ``docs`` (doc_id, text, lang, ...), rated once; without text and lang."""
-    net = train(*training_rows(docs, labels))
+    sample = training_rows(docs, labels)
+    net = train(*sample[1:])
     if net is None:
         return score(docs, None).drop("text", "lang")
     rated = Stage(docs.sparkSession)(rate(docs.drop("lang"), net).drop("text"))
-    return judge(rated, calibrate(rated, labels, net))
+    return judge(rated, calibrate(rated, labels, net, sample))
