@@ -627,6 +627,14 @@ def _synced(desk: Desk, *resources: str) -> Warehouse:
     return Warehouse(desk.spark, f"{folder}/tables")
 
 
+def _stored(desk: Desk, *tables: str) -> Warehouse:
+    """A warehouse that holds some tables already: parents of what a query loads. Tickets are the accepted ones."""
+    target = Warehouse(desk.spark, f"{run_folder(desk.spark)}/tables")
+    for table in tables:
+        target.write(table, quality.accepted(_checked_tickets(desk)) if table == "ticket" else desk[table])
+    return target
+
+
 def _load(table: str) -> Query:
     return lambda desk: _synced(desk, *NEEDED[table]).read(table)
 
@@ -746,7 +754,7 @@ def stream_decode(desk: Desk) -> DataFrame:
 @query
 def stream_upsert(desk: Desk) -> DataFrame:
     """Tickets land twice, the second time closed and two hours newer, and are loaded as they come."""
-    target = _synced(desk, *_ACCOUNTS)
+    target = _stored(desk, *_ACCOUNTS)
     folder = run_folder(desk.spark)
     again = desk.records("ticket").withColumn("status", F.lit("closed")).withColumn("updatedat", F.col("updatedat") + 7200)
     solved = again.filter(F.col("recipient") == "support@example.com")
@@ -762,7 +770,7 @@ def stream_child_refresh(desk: Desk) -> DataFrame:
     changed = pages.since(desk.ticket_records, CHANGED_SINCE)
     landing = _land(desk.pages("ticket", changed), f"{folder}/landing")
     children = _land(desk.pages("audit").unionByName(desk.pages("ticketmetric")), f"{folder}/children")
-    target = _synced(desk, "ticketfields", *_TICKETS)
+    target = _stored(desk, "ticketfields", "user", "ticket")
     follow_children(
         desk.spark,
         landing,
@@ -778,7 +786,7 @@ def stream_child_refresh(desk: Desk) -> DataFrame:
 def late_children(desk: Desk) -> DataFrame:
     """Audits land before the tickets that changed, with them and after them; all of them are stored."""
     folder = run_folder(desk.spark)
-    target = _synced(desk, "ticketfields", *_TICKETS)
+    target = _stored(desk, "ticketfields", "user", "ticket")
     changed = desk.pages("ticket", pages.since(desk.ticket_records, CHANGED_SINCE))
     audits = desk.pages("audit").withColumn("_part", F.crc32("url") % 3)
     landing, children = f"{folder}/landing", f"{folder}/children"

@@ -27,7 +27,7 @@ from deskloom.operators.upsert import arrivals, keyed, newest
 from deskloom.schema import TABLES
 from deskloom.session import configure, scale_to
 from deskloom.settings import AUDIT_TITLES
-from deskloom.sinks.warehouse import REPORT, Warehouse
+from deskloom.sinks.warehouse import REPORT, Warehouse, slice_of
 from deskloom.sources.pages import (
     arrived,
     decode_records,
@@ -85,6 +85,7 @@ class Load:
         self.reports: list[tuple[str, int, int, int]] = []
         self.letters: list[DataFrame] = []
         self.reached: list[tuple[str, int]] = [(t, 0) for t in OFFSET_TABLES]
+        self.touched: dict[str, list[int]] = {}
 
     def _stage(self, name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
         return self.warehouse.stage(rows, f"{self.label}/{name}", by)
@@ -97,7 +98,7 @@ class Load:
         """As :meth:`run`, from the raw records that pages were split into."""
         self.records = self._stage("records", records, by="table")
         self.letters.append(rejected_pages(self.records))
-        self.landed = {row["table"] for row in self.records.select("table").distinct().collect()}
+        self.landed = self.warehouse.staged_parts(f"{self.label}/records", "table")
 
         # Tables of one step do not refer to each other; their jobs share the cluster.
         roots = ("ticketfields", "organizationfields", "userfields", "groups", "ticketmetric")
@@ -136,9 +137,33 @@ class Load:
             return [f.result() for f in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]]
 
     def _load_part(self, table: str, records: DataFrame | None, flatten: Hook) -> None:
-        """Store the rows flattened out of what was stored of a resource, if anything was."""
-        if records is not None and table in self.tables:
-            self._store(table, flatten(records), [], {})
+        """Store the rows flattened out of what was stored of a resource, if anything was.
+
+        Attributes lie in the slices that the records they came with lie in.
+        """
+        if records is None or table not in self.tables:
+            return
+        spec, rows = TABLES[table], flatten(records)
+        above = TABLES[next(iter(spec.parents.values()))]
+        beside = spec.slice_by in spec.parents and (spec.slices, spec.slice_rows) == (above.slices, above.slice_rows)
+        if beside:
+            slices = {table: self.touched[above.name]}
+        else:
+            rows, slices = self._placed(f"{table}-rows", rows, table, {})
+        self._store(table, rows, [], {}, slices)
+
+    def _placed(self, name: str, rows: DataFrame, table: str, parents: dict[str, str]) -> tuple[DataFrame, dict[str, list[int]]]:
+        """Stage rows, and the slices of the table and of its parents that they fall into, seen while they are
+        written. Of rows with a ``problem`` none is counted."""
+        spec, seen = TABLES[table], Observation()
+        sound = F.col("problem").isNull() if "problem" in rows.columns else F.lit(True)
+        places = {"own": slice_of(spec)} | {f"at_{c}": slice_of(TABLES[p], c) for c, p in parents.items()}
+        staged = self._stage(name, rows.observe(seen, *[F.collect_set(F.when(sound, x)).alias(n) for n, x in places.items()]))
+        found = seen.get
+        slices = {table: sorted(found["own"])}
+        for column, parent in parents.items():
+            slices[parent] = sorted({*slices.get(parent, []), *found[f"at_{column}"]})
+        return staged, slices
 
     def _load_resource(self, table: str) -> DataFrame | None:
         """Decode, transform, check and store one resource.
@@ -150,14 +175,16 @@ class Load:
             return None
         records = decode_records(self.records.filter(F.col("table") == table), table)
         # The raw text is only needed where a record could not be read.
-        raw = F.when(F.col("problem").isNotNull(), F.col("record"))
-        decoded = self._stage(f"{table}-decoded", records.withColumn("record", raw))
-        self.letters.append(rejected_records(decoded, table))
-        rows = self.hooks.apply(table, good(decoded))
-        if table in self.hooks:
-            rows = self._stage(f"{table}-hooked", rows)
+        records = records.withColumn("record", F.when(F.col("problem").isNotNull(), F.col("record")))
         spec = TABLES[table]
-        return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"], spec.parents)
+        if table in self.hooks:
+            decoded = self._stage(f"{table}-decoded", records)
+            rows, slices = self._placed(f"{table}-hooked", self.hooks.apply(table, good(decoded)), table, spec.parents)
+        else:
+            decoded, slices = self._placed(f"{table}-decoded", records, table, spec.parents)
+            rows = good(decoded)
+        self.letters.append(rejected_records(decoded, table))
+        return self._store(table, rows, ([spec.age] if spec.age else []) + ["fetched_at"], spec.parents, slices)
 
     def _counted(self, table: str, tagged: DataFrame) -> tuple[DataFrame, dict]:
         """Stage checked rows, and what is counted while they are written: rows, accepted ones, their newest age."""
@@ -166,15 +193,17 @@ class Load:
         watched = tagged.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(fine).alias("accepted"), reached.alias("reached"))
         return self._stage(table, watched), seen.get
 
-    def _store(self, table: str, rows: DataFrame, order: list[str], parents: dict[str, str]) -> DataFrame | None:
+    def _store(
+        self, table: str, rows: DataFrame, order: list[str], parents: dict[str, str], slices: dict[str, list[int]]
+    ) -> DataFrame | None:
         """Check the newest row of each key, set bad ones aside, write the others; returns those.
 
         ``parents`` are the references to check; rows flattened out of a stored record have none
-        left to check. Of the table itself and of its parents only the touched slices are read.
+        left to check. Of the table itself and of its parents only the touched ``slices`` are read.
         """
         spec = TABLES[table]
         rows = keyed(rows, spec)
-        slices = self.warehouse.touched(table, rows, parents)
+        self.touched[table] = slices[table] = self.warehouse.with_seed_slice(table, slices[table])
         if not slices[table]:
             return None
         stored = keyed(self.warehouse.read(table, slices[table]), spec)
@@ -186,6 +215,8 @@ class Load:
         if spec.owner:
             tagged = tag_moved(tagged, stored, spec.owner, "fetched_at" if "fetched_at" in order else None)
         tagged, seen = self._counted(table, tagged)
+        if not seen["read"]:
+            return None
         self.letters.append(quarantined(tagged, table))
         self.reports.append((table, seen["read"], seen["accepted"], seen["read"] - seen["accepted"]))
         fine = accepted(tagged)

@@ -69,6 +69,10 @@ class Warehouse:
         (writer.partitionBy(by) if by else writer).parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
+    def staged_parts(self, name: str, by: str) -> set[str]:
+        """Values of the column that staged rows were written apart by."""
+        return {folder.rsplit("=", 1)[1] for folder in self._found(f"{self.root}/staging/{name}/{by}=*")}
+
     def drop(self, folder: str) -> None:
         """Delete a folder below the root."""
         path, files = self._path(f"{self.root}/{folder}")
@@ -125,6 +129,8 @@ class Warehouse:
         table's number of slices for each table.
         """
         spec = TABLES[table]
+        if spec.slice_by is None and not parents:
+            return {table: [0]}
         held = [F.struct(F.lit(table).alias("table"), slice_of(spec).alias(SLICE))]
         for column, parent in (parents or {}).items():
             held.append(F.struct(F.lit(parent).alias("table"), slice_of(TABLES[parent], column).alias(SLICE)))
@@ -132,8 +138,13 @@ class Warehouse:
         slices: dict[str, list[int]] = {name: [] for name in [table, *(parents or {}).values()]}
         for row in found:
             slices[row["table"]].append(row[SLICE])
-        if slices[table] and spec.seed is not None and 0 not in slices[table] and not self.versions(table):
-            slices[table].append(0)
+        slices[table] = self.with_seed_slice(table, slices[table])
+        return slices
+
+    def with_seed_slice(self, table: str, slices: list[int]) -> list[int]:
+        """The slices that a first batch writes: those it falls into, and the one the seed row lies in."""
+        if slices and TABLES[table].seed is not None and 0 not in slices and not self.versions(table):
+            return [*slices, 0]
         return slices
 
     def write(self, table: str, rows: DataFrame) -> int:

@@ -369,9 +369,8 @@ def audit(number, ticket_id, event):
     return {"id": number, "ticket_id": ticket_id, "author_id": 500, "events": [{"id": event, "type": "Change", "field_name": "11", "value": "P"}]}
 
 
-@pytest.mark.parametrize("gather", [32, 2])
-def test_children_are_taken_in_whichever_order_they_land(spark, tmp_path, monkeypatch, gather):
-    monkeypatch.setattr(waiting, "GATHER", gather)
+def test_children_are_taken_in_whichever_order_they_land(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(waiting, "GATHER", 2)
     tables, landing, children = str(tmp_path / "tables"), tmp_path / "landing", tmp_path / "children"
     land(tmp_path / "before", "a", *base_pages()[:7], page("tickets", [ticket(n) for n in range(2, 9)], fetched=2))
     run_sync(spark, str(tmp_path / "before"), tables)
