@@ -184,7 +184,8 @@ def _in_descending_ranges(docs: DataFrame) -> DataFrame:
         follows.append((r, *(after or (0, 0))))
         after = heads.get(r, after)
     ahead = spark.createDataFrame(follows, "_range long, _k long, _t long")
-    ghosts = rows.select("doc_id", "text", "_k", "_t").join(ahead, ["_k", "_t"]).groupBy("_range", "_k", "_t")
+    # Three numbers for each range: a side of known size, which spares the texts a shuffle of their own.
+    ghosts = rows.select("doc_id", "text", "_k", "_t").join(F.broadcast(ahead), ["_k", "_t"]).groupBy("_range", "_k", "_t")
     ghosts = ghosts.agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
     plain = add_columns(rows, number, make, ("_k", "_t", "_n"))
     both = plain.select("_range", F.lit(0).alias("_ghost"), "_k", "_t", "_n", "doc_id", "text").union(
