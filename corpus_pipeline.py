@@ -52,6 +52,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written and read again before the next."""
     written = Stage(spark)
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
+    for number, (_, stage) in enumerate(STAGES[:-1]):
         docs = written(stage(spark, docs, sf_dir))
+        if number:  # nothing reads the table of the stage before any more
+            written.drop(number)
     return STAGES[-1][1](spark, docs, sf_dir)
