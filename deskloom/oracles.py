@@ -8,11 +8,48 @@ from __future__ import annotations
 
 import re
 
-from deskloom import settings as S
-from deskloom.sample import HOST, ORGANIZATION_FIELDS, ORPHAN, PAGE_ROWS, TICKET_FIELDS, USER_FIELDS
-from deskloom.catalog import CHANGED_SINCE, RATED_SINCE
+# --- Fixed values, written out here and not taken from the code they check.
+API_PATH = "/api/v2"
+API = "https://desk.example.com/api/v2"
+PAGE_ROWS = FULL_PAGE = 1000
+ORPHAN = 999999999
+CHANGED_SINCE = 820454400
+RATED_SINCE = 1704153600
+PRIORITY = "Case Priority"
+COMPONENT = "Component"
+CAUSE = "Root Cause"
+VERSION = "Confluent/Kafka Version"
+BUNDLE = "Support Bundle Used"
+TIME_TOTAL = "Total time spent (sec)"
+TIME_LAST = "Time spent last update (sec)"
+TICKET_FIELDS = {101: PRIORITY, 102: COMPONENT, 103: CAUSE, 104: VERSION, 105: BUNDLE, 106: TIME_TOTAL, 107: TIME_LAST}
+ORGANIZATION_FIELDS = {
+    201: "technical_account_manager",
+    202: "renewal_date",
+    203: "primary_timezone",
+    204: "subscription_type",
+    205: "systems_engineer",
+}
+USER_FIELDS = {301: "home_region", 302: "tier"}
+TICKET_ATTRIBUTES = {"priority": PRIORITY, "component": COMPONENT, "cause": CAUSE, "version": VERSION, "bundleused": BUNDLE}
+ORGANIZATION_ATTRIBUTES = {
+    "entitlement": "subscription_type",
+    "renewaldate": "renewal_date",
+    "se": "systems_engineer",
+    "tam": "technical_account_manager",
+    "timezone": "primary_timezone",
+}
+RECIPIENTS = {
+    "escalations@example.com": "escalation",
+    "se-support@example.com": "se-support",
+    "support@example.com": "enterprise",
+    "cloud-support@example.com": "cloud-professional",
+    "support-escalations@desk.example.com": "escalation",
+    "se-support@desk.example.com": "se-support",
+    "support@desk.example.com": "enterprise",
+    "cloud-support@desk.example.com": "cloud-professional",
+}
 
-API = f"{HOST}{S.API_PATH}"
 RFC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
 
@@ -90,11 +127,11 @@ BLOCKS: dict[str, str] = {
         FROM orders""",
     "ticketdata_": " UNION ALL ".join(
         [
-            _branch("orders", "o_orderkey", 101, S.TITLE_PRIORITY, "o_orderpriority"),
-            _branch("orders", "o_orderkey", 102, S.TITLE_COMPONENT, "'component-' || (o_orderkey % 7)", "o_orderkey % 11 <> 0"),
-            _branch("orders", "o_orderkey", 103, S.TITLE_CAUSE, "'cause-' || (o_orderkey % 5)"),
-            _branch("orders", "o_orderkey", 104, S.TITLE_VERSION, "'v' || (o_orderkey % 4)"),
-            _branch("orders", "o_orderkey", 105, S.TITLE_BUNDLE, "CASE WHEN o_orderkey % 3 = 0 THEN 'true' ELSE 'false' END"),
+            _branch("orders", "o_orderkey", 101, PRIORITY, "o_orderpriority"),
+            _branch("orders", "o_orderkey", 102, COMPONENT, "'component-' || (o_orderkey % 7)", "o_orderkey % 11 <> 0"),
+            _branch("orders", "o_orderkey", 103, CAUSE, "'cause-' || (o_orderkey % 5)"),
+            _branch("orders", "o_orderkey", 104, VERSION, "'v' || (o_orderkey % 4)"),
+            _branch("orders", "o_orderkey", 105, BUNDLE, "CASE WHEN o_orderkey % 3 = 0 THEN 'true' ELSE 'false' END"),
         ]
     ),
     "raw_event_": f"""
@@ -111,7 +148,7 @@ BLOCKS: dict[str, str] = {
         SELECT r.id, r.auditid, r.type, r.fieldname, r.value, r.pvalue FROM raw_event_ r
         JOIN ticketfields_ f ON TRY_CAST(r.fieldname AS BIGINT) = f.id
         WHERE r.type = 'Change'
-            AND f.title IN ('%s')""" % "', '".join(S.AUDIT_TITLES),
+            AND f.title IN ('%s')""" % "', '".join([TIME_TOTAL, PRIORITY, TIME_LAST]),
     "audit_": """
         SELECT auditid AS id, ticketid, createdat, authorid FROM raw_event_
         WHERE auditid IN (SELECT auditid FROM changeevent_)""",
@@ -138,14 +175,14 @@ BLOCKS: dict[str, str] = {
     "per_ticket_time_": f"""
         SELECT a.ticketid, max(TRY_CAST(e.value AS BIGINT)) AS value FROM changeevent_ e
         JOIN audit_ a ON a.id = e.auditid JOIN ticketfields_ f ON f.id = TRY_CAST(e.fieldname AS BIGINT)
-        WHERE f.title = '{S.TITLE_TIME_TOTAL}' GROUP BY a.ticketid""",
+        WHERE f.title = '{TIME_TOTAL}' GROUP BY a.ticketid""",
     "per_ticket_time_all_": """
         SELECT a.ticketid, max(TRY_CAST(e.value AS BIGINT)) AS value FROM changeevent_ e
         JOIN audit_ a ON a.id = e.auditid GROUP BY a.ticketid""",
     "first_change_": f"""
         SELECT a.ticketid, min(e.id) AS firstchanged FROM changeevent_ e
         JOIN audit_ a ON a.id = e.auditid JOIN ticketfields_ f ON f.id = TRY_CAST(e.fieldname AS BIGINT)
-        WHERE f.title = '{S.TITLE_PRIORITY}' AND e.pvalue <> '' GROUP BY a.ticketid""",
+        WHERE f.title = '{PRIORITY}' AND e.pvalue <> '' GROUP BY a.ticketid""",
     "initial_priority_": """
         SELECT c.ticketid, e.pvalue AS initialpriority FROM first_change_ c JOIN changeevent_ e ON e.id = c.firstchanged""",
     "number_text_": """
@@ -205,11 +242,11 @@ def _moment(seconds: str) -> str:
 
 
 def _type(recipient: str) -> str:
-    cases = " ".join(f"WHEN '{address}' THEN '{kind}'" for address, kind in S.recipient_types().items())
-    return f"CASE {recipient} {cases} ELSE '{S.DEFAULT_TICKET_TYPE}' END"
+    cases = " ".join(f"WHEN '{address}' THEN '{kind}'" for address, kind in RECIPIENTS.items())
+    return f"CASE {recipient} {cases} ELSE 'enterprise' END"
 
 
-_T = S.TICKET_ATTRIBUTES
+_T = TICKET_ATTRIBUTES
 _METRICS = f"m.ttfr, m.ttr, {_moment('m.solvedat')} AS solved, m.agentwaittime, m.requesterwaittime"
 _TICKET_JOINS = f"""
     FROM ticket_ t JOIN organization_ o ON o.id = t.organizationid
@@ -297,7 +334,7 @@ ORACLES: dict[str, str] = {
         SELECT '{API}/incremental/tickets.json?start_time=' || n AS url,
             '{API}/incremental/tickets.json?start_time=' || (n + 1) AS next_page
         FROM (SELECT id // {PAGE_ROWS} AS n, count(*) AS c FROM ticket_ GROUP BY 1)
-        WHERE c >= {S.FULL_PAGE} AND n % 7 <> 3
+        WHERE c >= {FULL_PAGE} AND n % 7 <> 3
             AND ((n + 1) % 7 = 3 OR n + 1 NOT IN (SELECT id // {PAGE_ROWS} FROM ticket_))
         UNION ALL
         SELECT DISTINCT '{API}/tickets.json?page=' || l_orderkey, '{API}/tickets.json?page=' || (l_orderkey + 1)
@@ -321,9 +358,9 @@ ORACLES: dict[str, str] = {
             count(*)::BIGINT AS pages FROM pages GROUP BY 1""",
     "retry_worklist": "SELECT url, count(*)::BIGINT AS fetches FROM pages WHERE page_id % 10 = 0 AND page_id % 3 <> 0 GROUP BY url",
     "url_classify": f"""
-        SELECT page_id, url, CASE WHEN starts_with({_OPTION}, '{S.API_PATH}')
-                THEN substr({_OPTION}, {len(S.API_PATH) + 1}) ELSE {_OPTION} END AS option,
-            regexp_extract(path, '(/[^/]*)$', 1) AS resource, {_OPTION} = '{S.API_PATH}/incremental' AS incremental
+        SELECT page_id, url, CASE WHEN starts_with({_OPTION}, '{API_PATH}')
+                THEN substr({_OPTION}, {len(API_PATH) + 1}) ELSE {_OPTION} END AS option,
+            regexp_extract(path, '(/[^/]*)$', 1) AS resource, {_OPTION} = '{API_PATH}/incremental' AS incremental
         FROM (SELECT page_id, url, CASE WHEN p = '' THEN '/' ELSE p END AS path
             FROM (SELECT page_id, url, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^[a-z]+://[^/]*', '') AS p
                 FROM pages))""",
@@ -353,11 +390,11 @@ ORACLES: dict[str, str] = {
         SELECT r.id, TRY_CAST(r.fieldname AS BIGINT) AS fieldid, coalesce(f.title, '') AS title
         FROM raw_event_ r LEFT JOIN ticketfields_ f ON f.id = TRY_CAST(r.fieldname AS BIGINT)""",
     "filter_title_exact": f"""
-        SELECT objectid, title, value FROM ticketdata_ WHERE title = '{S.TITLE_CAUSE}' AND objectid % 2 = 0""",
+        SELECT objectid, title, value FROM ticketdata_ WHERE title = '{CAUSE}' AND objectid % 2 = 0""",
     "filter_title_ci": f"""
         SELECT objectid, shown AS title, value FROM (
             SELECT objectid, value, CASE WHEN objectid % 2 = 0 THEN title ELSE upper(title) || '  ' END AS shown FROM ticketdata_)
-        WHERE rtrim(shown) COLLATE NOCASE.NOACCENT = '{S.TITLE_CAUSE}'""",
+        WHERE rtrim(shown) COLLATE NOCASE.NOACCENT = '{CAUSE}'""",
     "filter_nonempty": "SELECT id, pvalue FROM raw_event_ WHERE pvalue IS NOT NULL AND length(pvalue) > 0",
     # --- joins
     "join_ticket_audit_event": """
@@ -470,11 +507,11 @@ ORACLES: dict[str, str] = {
     # --- views
     "ticket_time": "SELECT ticketid, value AS tickettime FROM per_ticket_time_ WHERE ticketid IN (SELECT id FROM ticket_)",
     "ticket_initial_priority": "SELECT * FROM initial_priority_",
-    "ticket_priority": _attribute("ticketdata_", S.TITLE_PRIORITY, "ticketid", "priority"),
-    "ticket_component": _attribute("ticketdata_", S.TITLE_COMPONENT, "ticketid", "component"),
-    "ticket_cause": _attribute("ticketdata_", S.TITLE_CAUSE, "ticketid", "cause"),
-    "ticket_version": _attribute("ticketdata_", S.TITLE_VERSION, "ticketid", "version"),
-    "bundle_usage": _attribute("ticketdata_", S.TITLE_BUNDLE, "ticketid", "bundleused"),
+    "ticket_priority": _attribute("ticketdata_", PRIORITY, "ticketid", "priority"),
+    "ticket_component": _attribute("ticketdata_", COMPONENT, "ticketid", "component"),
+    "ticket_cause": _attribute("ticketdata_", CAUSE, "ticketid", "cause"),
+    "ticket_version": _attribute("ticketdata_", VERSION, "ticketid", "version"),
+    "bundle_usage": _attribute("ticketdata_", BUNDLE, "ticketid", "bundleused"),
     "ticket_view": TICKET_VIEW,
     "ticket_view_sorted": TICKET_VIEW,
     "ticket_view_basic": TICKET_VIEW_BASIC,
@@ -484,8 +521,8 @@ ORACLES: dict[str, str] = {
     "organization_entitlement": _attribute("organizationdata_", "subscription_type", "organizationid", "entitlement"),
     "organization_se": _attribute("organizationdata_", "systems_engineer", "organizationid", "se"),
     "organization_view": f"""
-        SELECT o.*, {_attribute_columns(S.ORGANIZATION_ATTRIBUTES)} FROM organization_ o
-        {_attribute_joins("organizationdata_", S.ORGANIZATION_ATTRIBUTES, "o.id")}""",
+        SELECT o.*, {_attribute_columns(ORGANIZATION_ATTRIBUTES)} FROM organization_ o
+        {_attribute_joins("organizationdata_", ORGANIZATION_ATTRIBUTES, "o.id")}""",
     "user_view": f"""
         SELECT type, priority, count(*)::BIGINT AS tickets, count(tickettime)::BIGINT AS timed, max(ttr)::BIGINT AS longest
         FROM ({TICKET_VIEW.replace("ORDER BY 1", "")}) WHERE status <> 'solved' GROUP BY type, priority""",
