@@ -116,13 +116,15 @@ BLOCKS: dict[str, str] = {
         SELECT o_orderkey + 1 AS id, 'ext-' || o_custkey AS externalid,
             '{API}/tickets/' || (o_orderkey + 1) || '.json' AS url, 'Order ' || o_orderkey AS subject,
             CASE o_orderstatus WHEN 'F' THEN 'solved' WHEN 'O' THEN 'open' ELSE 'pending' END AS status,
-            o_orderkey % 10 + 1 AS requesterid, o_orderkey % 10 + 1 AS submitterid,
+            CASE WHEN o_orderkey % 89 = 3 THEN {ORPHAN} ELSE o_orderkey % 10 + 1 END::BIGINT AS requesterid,
+            CASE WHEN o_orderkey % 83 = 5 THEN {ORPHAN} ELSE o_orderkey % 10 + 1 END::BIGINT AS submitterid,
             CASE WHEN o_orderkey % 97 = 0 THEN {ORPHAN} WHEN o_orderkey % 13 = 12 THEN 0
                 ELSE o_orderkey % 10 + 1 END::BIGINT AS assigneeid,
             CASE o_orderpriority WHEN '1-URGENT' THEN 'escalations' WHEN '2-HIGH' THEN 'se-support'
                 WHEN '3-MEDIUM' THEN 'support' WHEN '5-LOW' THEN 'cloud-support' ELSE 'other' END
                 || '@example.com' AS recipient,
-            o_custkey + 1 AS organizationid, 0::BIGINT AS groupid, {_epoch("o_orderdate")} AS createdat,
+            o_custkey + 1 AS organizationid, CASE WHEN o_orderkey % 79 = 7 THEN {ORPHAN} ELSE 0 END::BIGINT AS groupid,
+            {_epoch("o_orderdate")} AS createdat,
             {_epoch("o_orderdate")} + 3600 * (o_orderkey % 48) AS updatedat
         FROM orders""",
     "ticketdata_": " UNION ALL ".join(
@@ -135,7 +137,8 @@ BLOCKS: dict[str, str] = {
         ]
     ),
     "raw_event_": f"""
-        SELECT event_id + 1 AS id, event_id + 1 AS auditid, user_id + 1 AS ticketid, {_epoch("ts")} AS createdat,
+        SELECT CASE WHEN event_id % 6 = 0 THEN 2 * event_id + 2 ELSE 2 * event_id + 1 END AS id, event_id + 1 AS auditid,
+            user_id + 1 AS ticketid, {_epoch("ts")} AS createdat,
             user_id % 10 + 1 AS authorid, CASE event_type WHEN 'view' THEN 'Create' ELSE 'Change' END AS type,
             CASE event_type WHEN 'purchase' THEN '106' WHEN 'click' THEN '101' WHEN 'view' THEN '101'
                 WHEN 'signup' THEN '107' ELSE 'status' END AS fieldname,
@@ -143,14 +146,20 @@ BLOCKS: dict[str, str] = {
                 THEN (60 * json_extract_string(props, '$.k')::BIGINT)::VARCHAR ELSE 'P' || (event_id % 5) END AS value,
             CASE WHEN event_id % 4 = 0 THEN '' WHEN event_type IN ('purchase', 'signup') THEN '0'
                 ELSE 'P' || (event_id % 4) END AS pvalue
-        FROM events""",
+        FROM events
+        UNION ALL
+        SELECT CASE WHEN event_id % 6 = 0 THEN 2 * event_id + 1 ELSE 2 * event_id + 2 END, event_id + 1, user_id + 1, {_epoch("ts")},
+            user_id % 10 + 1, CASE WHEN event_id % 5 = 0 THEN 'Comment' ELSE 'Change' END,
+            CASE WHEN event_id % 2 = 0 THEN '101' ELSE '106' END,
+            CASE WHEN event_id % 2 = 0 THEN 'Q' || (event_id % 7) ELSE (60 * (event_id % 1000))::VARCHAR END, 'Q' || (event_id % 3)
+        FROM events WHERE event_id % 3 = 0""",
     "changeevent_": """
         SELECT r.id, r.auditid, r.type, r.fieldname, r.value, r.pvalue FROM raw_event_ r
         JOIN ticketfields_ f ON TRY_CAST(r.fieldname AS BIGINT) = f.id
         WHERE r.type = 'Change'
             AND f.title IN ('%s')""" % "', '".join([TIME_TOTAL, PRIORITY, TIME_LAST]),
     "audit_": """
-        SELECT auditid AS id, ticketid, createdat, authorid FROM raw_event_
+        SELECT DISTINCT auditid AS id, ticketid, createdat, authorid FROM raw_event_
         WHERE auditid IN (SELECT auditid FROM changeevent_)""",
     "ticketmetric_": f"""
         SELECT l_orderkey + 1 AS id, l_orderkey + 1 AS ticketid, {_epoch("min(l_shipdate)")} AS createdat,
@@ -169,7 +178,8 @@ BLOCKS: dict[str, str] = {
         FROM labels""",
     "accepted_ticket_": """
         SELECT * FROM ticket_ WHERE assigneeid IN (SELECT id FROM user_) AND requesterid IN (SELECT id FROM user_)
-            AND organizationid IN (SELECT id FROM organization_)""",
+            AND submitterid IN (SELECT id FROM user_) AND organizationid IN (SELECT id FROM organization_)
+            AND groupid IN (SELECT id FROM groups_)""",
     "accepted_audit_": """
         SELECT * FROM audit_ WHERE ticketid IN (SELECT id FROM accepted_ticket_) AND authorid IN (SELECT id FROM user_)""",
     "per_ticket_time_": f"""
@@ -317,7 +327,8 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT '{API}/tickets/' || ticketid || '/metrics.json', 'ticket_metric', 0, 1 FROM ticketmetric_""",
     "decode_ticket": "SELECT * FROM ticket_",
-    "decode_audit": "SELECT auditid AS id, ticketid, createdat, authorid, 1::BIGINT AS events FROM raw_event_",
+    "decode_audit": """
+        SELECT auditid AS id, ticketid, createdat, authorid, count(*)::BIGINT AS events FROM raw_event_ GROUP BY ALL""",
     "decode_metric": "SELECT * FROM ticketmetric_",
     "decode_quarantine": """
         SELECT event_id AS fetched_at, CASE event_type WHEN 'signup' THEN 'unreadable' WHEN 'error' THEN 'bad_time'
@@ -326,7 +337,7 @@ ORACLES: dict[str, str] = {
     "incremental_tickets": f"SELECT id, status, updatedat FROM ticket_ WHERE updatedat >= {CHANGED_SINCE}",
     "incremental_csat": f"SELECT * FROM satisfactionrating_ WHERE updatedat >= {RATED_SINCE}",
     "child_refresh_audits": f"""
-        SELECT auditid AS id, ticketid, createdat, authorid FROM raw_event_
+        SELECT DISTINCT auditid AS id, ticketid, createdat, authorid FROM raw_event_
         WHERE ticketid IN (SELECT id FROM ticket_ WHERE updatedat >= {CHANGED_SINCE})""",
     "child_refresh_metrics": f"""
         SELECT * FROM ticketmetric_ WHERE ticketid IN (SELECT id FROM ticket_ WHERE updatedat >= {CHANGED_SINCE})""",
@@ -456,12 +467,16 @@ ORACLES: dict[str, str] = {
         SELECT id, CASE WHEN groupid > 5 THEN 'ext-' || id ELSE 'UNDEFINED' END AS externalid, upper(name) AS name,
             createdat, updatedat, groupid FROM organization_records_""",
     "quarantine_split": """
-        SELECT id, CASE WHEN assigneeid IN (SELECT id FROM user_) THEN 'accepted' ELSE 'quarantine' END AS route,
-            CASE WHEN assigneeid IN (SELECT id FROM user_) THEN '' ELSE 'assigneeid:no_parent' END AS reason FROM ticket_""",
+        SELECT id, CASE WHEN id IN (SELECT id FROM accepted_ticket_) THEN 'accepted' ELSE 'quarantine' END AS route,
+            concat_ws(',', CASE WHEN requesterid NOT IN (SELECT id FROM user_) THEN 'requesterid:no_parent' END,
+                CASE WHEN submitterid NOT IN (SELECT id FROM user_) THEN 'submitterid:no_parent' END,
+                CASE WHEN assigneeid NOT IN (SELECT id FROM user_) THEN 'assigneeid:no_parent' END,
+                CASE WHEN organizationid NOT IN (SELECT id FROM organization_) THEN 'organizationid:no_parent' END,
+                CASE WHEN groupid NOT IN (SELECT id FROM groups_) THEN 'groupid:no_parent' END) AS reason FROM ticket_""",
     "load_report": """
         SELECT 'ticket' AS "table", count(*)::BIGINT AS read,
-            (count(*) FILTER (assigneeid IN (SELECT id FROM user_)))::BIGINT AS accepted,
-            (count(*) FILTER (assigneeid NOT IN (SELECT id FROM user_)))::BIGINT AS quarantined FROM ticket_
+            (SELECT count(*) FROM accepted_ticket_)::BIGINT AS accepted,
+            (count(*) - (SELECT count(*) FROM accepted_ticket_))::BIGINT AS quarantined FROM ticket_
         UNION ALL SELECT 'organization', count(*), count(*), 0 FROM organization_""",
     "offset_table": _OFFSETS,
     "pk_duplicates": """

@@ -225,12 +225,12 @@ class Desk(Mapping):
             F.concat(F.lit(f"{HOST}{S.API_PATH}/tickets/"), _s(key + 1), F.lit(".json")).alias("url"),
             text_tail("Order ", key).alias("subject"),
             status.otherwise("pending").alias("status"),
-            (key % 10 + 1).alias("requesterid"),
-            (key % 10 + 1).alias("submitterid"),
+            _n(F.when(key % 89 == 3, F.lit(ORPHAN)).otherwise(key % 10 + 1)).alias("requesterid"),
+            _n(F.when(key % 83 == 5, F.lit(ORPHAN)).otherwise(key % 10 + 1)).alias("submitterid"),
             _n(assignee).alias("assigneeid"),
             F.concat(mailbox, F.lit("@example.com")).alias("recipient"),
             (F.col("o_custkey") + 1).alias("organizationid"),
-            _n(F.lit(0)).alias("groupid"),
+            _n(F.when(key % 79 == 7, F.lit(ORPHAN)).otherwise(F.lit(0))).alias("groupid"),
             created.alias("createdat"),
             (created + key % 48 * 3600).alias("updatedat"),
             F.array_compact(self._ticket_entries).alias("custom_fields"),
@@ -265,8 +265,11 @@ class Desk(Mapping):
     # --- audits and events ---
 
     @property
-    def raw_events(self) -> DataFrame:
-        """One event per audit, before any filter."""
+    def _with_events(self) -> DataFrame:
+        """Audits with their events, before any filter: one of each kind, and every third audit has a second one.
+
+        Ids of events are not those of audits, and of two events the second may have the lesser id.
+        """
         kind, key = F.col("event_type"), F.col("event_id")
         timed = kind.isin("purchase", "signup")
         field = (
@@ -276,26 +279,45 @@ class Desk(Mapping):
             .otherwise("status")
         )
         minutes = F.get_json_object("props", "$.k").cast("bigint")
+        turned = key % 6 == 0
+        first = F.struct(
+            F.when(turned, key * 2 + 2).otherwise(key * 2 + 1).alias("id"),
+            F.when(kind == "view", "Create").otherwise(S.AUDIT_EVENT_TYPE).alias("type"),
+            field.alias("fieldname"),
+            F.when(timed, _s(minutes * 60)).otherwise(text_tail("P", key % 5)).alias("value"),
+            F.when(key % 4 == 0, "").when(timed, "0").otherwise(text_tail("P", key % 4)).alias("pvalue"),
+        )
+        second = F.struct(
+            F.when(turned, key * 2 + 1).otherwise(key * 2 + 2).alias("id"),
+            F.when(key % 5 == 0, "Comment").otherwise(S.AUDIT_EVENT_TYPE).alias("type"),
+            F.when(key % 2 == 0, "101").otherwise("106").alias("fieldname"),
+            F.when(key % 2 == 0, text_tail("Q", key % 7)).otherwise(_s(key % 1000 * 60)).alias("value"),
+            text_tail("Q", key % 3).alias("pvalue"),
+        )
         return self.source("events").select(
             (key + 1).alias("id"),
-            (key + 1).alias("auditid"),
             (F.col("user_id") + 1).alias("ticketid"),
             epoch("ts").alias("createdat"),
             (F.col("user_id") % 10 + 1).alias("authorid"),
-            F.when(kind == "view", "Create").otherwise(S.AUDIT_EVENT_TYPE).alias("type"),
-            field.alias("fieldname"),
-            F.when(timed, _s(minutes * 60)).otherwise(text_tail("P", key % 5)).alias("value"),
-            F.when(key % 4 == 0, "").when(timed, "0").otherwise(text_tail("P", key % 4)).alias("pvalue"),
+            F.array_compact(F.array(first, F.when(key % 3 == 0, second))).alias("_events"),
         )
 
+    @property
+    def raw_events(self) -> DataFrame:
+        """The events of all audits, before any filter."""
+        audits = self._with_events.withColumnRenamed("id", "auditid")
+        return audits.select("auditid", "ticketid", "createdat", "authorid", F.inline("_events"))
+
     @property
     def audit_records(self) -> DataFrame:
-        event = F.struct(
-            "id", "type", F.col("fieldname").alias("field_name"), "value", F.col("pvalue").alias("previous_value")
-        )
-        return self.raw_events.select(
-            F.col("auditid").alias("id"), "ticketid", "createdat", "authorid", F.array(event).alias("events")
+        named = F.transform(
+            "_events",
+            lambda e: F.struct(
+                e["id"].alias("id"), e["type"].alias("type"), e["fieldname"].alias("field_name"),
+                e["value"].alias("value"), e["pvalue"].alias("previous_value"),
+            ),
         )
+        return self._with_events.select("id", "ticketid", "createdat", "authorid", named.alias("events"))
 
     @cached_property
     def _changeevent(self) -> DataFrame:
@@ -303,9 +325,9 @@ class Desk(Mapping):
 
     @cached_property
     def _audit(self) -> DataFrame:
-        """Audits with a kept event; each audit has one event, so keeping the event keeps the audit."""
+        """Audits with a kept event."""
         kept = keep_events(self.raw_events, self["ticketfields"])
-        return kept.select(F.col("auditid").alias("id"), "ticketid", "createdat", "authorid")
+        return kept.select(F.col("auditid").alias("id"), "ticketid", "createdat", "authorid").distinct()
 
     # --- metrics and ratings ---
 
