@@ -19,16 +19,14 @@ BYTES_PER_BATCH = 256 << 30
 
 
 def page_stream(
-    spark: SparkSession, landing: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None, archive: str | None = None
+    spark: SparkSession, landing: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
 ) -> DataFrame:
-    """Pages as they land. ``archive`` is a folder that loaded files move to, so that listing stays short."""
+    """Pages as they land, so many files or bytes of files at once."""
     reader = spark.readStream.schema(PAGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     else:
         reader = reader.option("maxBytesPerTrigger", str(bytes_per_batch or BYTES_PER_BATCH))
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(landing)
 
 
