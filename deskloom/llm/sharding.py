@@ -1,6 +1,7 @@
 """Shards of near equal bytes by sampled splitters.
 
-Rows are ordered by a key, the hash of their text, then of their id, then a number dealt to the row, so equal texts are neighbours. A sample
+Rows are ordered by a key, the hash of their text, then of their id, then a number dealt to the row, so equal
+texts are neighbours. A sample
 of the keys, drawn with a chance in proportion to the row's size, gives splitters at its quantiles; they cut
 the key space into many small ranges of roughly equal bytes. Rows are dealt to ranges and each range's true
 bytes are measured; an overfull range is cut again by splitters sampled from its own rows. Consecutive
