@@ -193,10 +193,11 @@ def least_hashes(rows: DataFrame, by: str, most: F.Column) -> DataFrame:
     """Rows (``by``, doc_id) with the least hashes of their ids: at most ``most`` (a column of ``_n``, the class's
     rows) of each class.
 
-    A class is cut by a hash that leaves it twice as many, and some, before it meets in one task.
+    A class is cut by a hash that leaves it twice as many, and some, before it meets in one task. Classes are as
+    few as a model has columns, so their sizes go to every task.
     """
     sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).withColumn("_most", most)
-    hashed = rows.select(by, "doc_id", F.xxhash64("doc_id").alias("_hash")).join(sizes, by)
+    hashed = rows.select(by, "doc_id", F.xxhash64("doc_id").alias("_hash")).join(F.broadcast(sizes), by)
     share = (2 * F.col("_most") + 100) / F.col("_n")
     few = hashed.where((F.col("_hash") / F.lit(float(1 << 63)) + 1) / 2 <= share)
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash", "doc_id"))
