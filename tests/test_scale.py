@@ -8,7 +8,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from deskloom import catalog
+from deskloom import catalog, session
 from deskloom.operators.flatten import greatest_of_each
 from deskloom.operators.upsert import newest, survivors
 from deskloom.plans.sync import run_sync
@@ -134,3 +134,54 @@ def test_short_circles_end_the_walk_early(spark, monkeypatch):
     want = spark.range(5000).select("id", ((n % 10 >= 1) & (n % 10 < 5)).alias("reached"), (step >= 2).alias("cyclic")).filter("NOT reached OR cyclic")
     assert rows_of(found.select(number.alias("id"), "reached", "cyclic")) == rows_of(want)
     assert len(os.listdir(folders[0].removeprefix("file:"))) <= 2 + 2 * 6
+
+
+def test_a_load_reads_landed_files_in_small_even_tasks(spark, tmp_path, monkeypatch):
+    """Also through the stream that keeps the progress, which splits its files by the settings it was started with."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters")
+    before = [spark.conf.get(n) for n in names]
+    body = F.concat(F.lit('{"groups": [{"id": '), F.col("id") + 1, F.lit(', "name": "g"}]}'))
+    landed = spark.range(0, 400, 1, 20).select(F.lit("https://d.example.com/groups.json").alias("url"), F.lit(200).alias("status_code"), F.col("id").alias("fetched_at"), body.alias("body"))
+    landed.write.json(f"{tmp_path}/landing")
+    tasks = {}
+    stage = Warehouse.stage
+
+    def counted(self, rows, name, by=None):
+        tasks[name.rsplit("/", 1)[-1]] = rows.rdd.getNumPartitions()
+        return stage(self, rows, name, by)
+
+    monkeypatch.setattr(Warehouse, "stage", counted)
+    monkeypatch.setattr("deskloom.session.LOAD_SETTINGS", {**session.LOAD_SETTINGS, names[0]: "4m"})
+    run_sync(spark, f"{tmp_path}/landing", f"{tmp_path}/tables")
+    assert tasks["records"] == 20
+    assert [spark.conf.get(n) for n in names] == before
+    assert Warehouse(spark, f"{tmp_path}/tables").read("groups").count() == 401
+    assert int(session.LOAD_SETTINGS[names[0]].rstrip("m")) <= 16
+
+
+def test_fields_that_repeat_nowhere_are_left_as_they_are(spark):
+    """Only a record that repeats one has its entries sorted and compared."""
+    rows = spark.createDataFrame([(1, [(9, "b"), (4, None)]), (2, [(9, "b"), (4, "z"), (9, "c")])], "id long, f array<struct<id: long, value: string>>")
+    kept = {r["id"]: [tuple(e) for e in r["k"]] for r in rows.select("id", greatest_of_each(F.col("f"), "id").alias("k")).collect()}
+    assert kept == {1: [(9, "b"), (4, None)], 2: [(4, "z"), (9, "c")]}
+
+
+def test_attributes_are_made_unique_once_a_record(spark, tmp_path, monkeypatch):
+    """Else the optimizer repeats the work in the filters it derives from taking the list apart."""
+    ticket = '{"id": 1, "subject": "s", "status": "open", "custom_fields": [{"id": 7, "value": "a"}, {"id": 7, "value": "b"}]}'
+    group = '{"id": 1, "name": "o", "group_id": 0, "organization_fields": {"k9": "x"}}'
+    bodies = [("tickets", ticket), ("groups", '{"id": 5, "name": "g"}'), ("organizations", group)]
+    landed = spark.createDataFrame([(f"https://d.example.com/{m}.json", 200, 1, '{"%s": [%s]}' % (m, r)) for m, r in bodies], pages.PAGE)
+    landed.write.json(f"{tmp_path}/landing")
+    plans = {}
+    stage = Warehouse.stage
+
+    def seen(self, rows, name, by=None):
+        plans[name.rsplit("/", 1)[-1]] = optimized(rows)
+        return stage(self, rows, name, by)
+
+    monkeypatch.setattr(Warehouse, "stage", seen)
+    run_sync(spark, f"{tmp_path}/landing", f"{tmp_path}/tables")
+    for table in ("ticketdata", "organizationdata"):
+        assert plans[table].count("array_distinct") == 1, table
+    assert rows_of(Warehouse(spark, f"{tmp_path}/tables").read("ticketdata"), "id", "value") == [(7, "b")]
