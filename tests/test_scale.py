@@ -9,8 +9,9 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from deskloom import catalog, session
+from deskloom.operators import quality
 from deskloom.operators.flatten import greatest_of_each
-from deskloom.operators.upsert import newest, survivors
+from deskloom.operators.upsert import newest, repeats, survivors
 from deskloom.plans.sync import run_sync
 from deskloom.sample import Desk, to_pages
 from deskloom.schema import TABLES
@@ -185,3 +186,92 @@ def test_attributes_are_made_unique_once_a_record(spark, tmp_path, monkeypatch):
     for table in ("ticketdata", "organizationdata"):
         assert plans[table].count("array_distinct") == 1, table
     assert rows_of(Warehouse(spark, f"{tmp_path}/tables").read("ticketdata"), "id", "value") == [(7, "b")]
+
+
+def load_of(spark, folder, monkeypatch, bodies) -> tuple[dict[str, str], Warehouse]:
+    """Load pages of (member, record); the plans of what was staged, in that order, and the tables."""
+    landed = spark.createDataFrame([(f"https://d.example.com/{m}.json", 200, i, '{"%s": [%s]}' % (m, r)) for i, (m, r) in enumerate(bodies)], pages.PAGE)
+    landed.write.json(f"{folder}/landing")
+    plans = {}
+    stage = Warehouse.stage
+
+    def seen(self, rows, name, by=None):
+        plans[name.rsplit("/", 1)[-1]] = optimized(rows)
+        return stage(self, rows, name, by)
+
+    monkeypatch.setattr(Warehouse, "stage", seen)
+    run_sync(spark, f"{folder}/landing", f"{folder}/tables")
+    return plans, Warehouse(spark, f"{folder}/tables")
+
+
+def test_whole_rows_are_compared_only_where_a_key_repeats(spark, tmp_path, monkeypatch):
+    group = '{"id": %d, "name": "%s"}'
+    ticket = '{"id": %d, "subject": "%s", "status": "open", "updated_at": "2024-01-0%dT00:00:00Z"}'
+    bodies = [("groups", group % (5, "g")), ("groups", group % (6, "h")), ("tickets", ticket % (1, "new", 2)), ("tickets", ticket % (1, "old", 1)), ("tickets", ticket % (2, "one", 1))]
+    plans, target = load_of(spark, tmp_path, monkeypatch, bodies)
+    assert "Window" not in plans["groups"]
+    assert "Window" in plans["ticket"]
+    assert rows_of(target.read("groups"), "id", "name")[1:] == [(5, "g"), (6, "h")]
+    assert rows_of(target.read("ticket"), "id", "subject") == [(1, "new"), (2, "one")]
+
+
+def test_a_key_that_repeats_is_seen(spark):
+    def rows(*keys):
+        return spark.createDataFrame([(k, v) for k, v in keys], "a long, b long")
+
+    assert not repeats(rows(), ["a", "b"])
+    assert not repeats(rows((1, 1), (1, 2), (None, 1)), ["a", "b"])
+    assert repeats(rows((None, 1), (2, 2), (None, 1)), ["a", "b"])
+    assert repeats(rows((1, 1), (1, 2)), ["a"])
+
+
+def test_records_are_decoded_before_the_first_table_is_stored(spark, tmp_path, monkeypatch):
+    bodies = [("groups", '{"id": 5, "name": "g"}'), ("organizations", '{"id": 1, "name": "o"}'), ("tickets", '{"id": 1, "subject": "s", "status": "open"}')]
+    plans, target = load_of(spark, tmp_path, monkeypatch, bodies)
+    order = list(plans)
+    assert max(order.index(f"{t}-decoded") for t in ("groups", "organization", "ticket")) < order.index("groups")
+    assert target.read("ticket").count() == 1
+
+
+def test_a_time_is_read_once(spark):
+    record = '{"id": 1, "created_at": "%s", "updated_at": "2024-01-01T00:00:00Z"}'
+    texts = [(record % t,) for t in ("2024-01-01T00:00:00.5Z", "1969-01-01T00:00:00Z", "x")] + [('{"id": 2}',), ("{",)]
+    decoded = pages.decode_records(spark.createDataFrame(texts, "record string").withColumn("fetched_at", F.lit(1).cast("long")), "groups")
+    assert optimized(decoded).count("RLIKE") == 2
+    assert [(r["createdat"], r["problem"]) for r in decoded.select("createdat", "problem").collect()] == [
+        (1704067200, None), (0, None), (0, "bad_time"), (0, None), (0, "unreadable")]
+
+
+def test_no_list_of_rules_is_made_for_a_sound_row(spark):
+    rows = spark.createDataFrame([(1, "ab"), (-1, "abc"), (None, None)], "n long, t string")
+    tagged = quality.tag(rows, quality.not_null(["n", "t"]) + quality.too_long({"t": 2}) + quality.negative(["n"]))
+    found = [r["_reasons"] for r in tagged.collect()]
+    assert found == [[], ["t:length>2", "n:negative"], ["n:null", "t:null"]]
+    assert "ELSE []" in optimized(tagged)
+
+
+def test_fields_without_a_number_count_as_number_nought(spark):
+    rows = spark.createDataFrame(
+        [(1, [(None, "a"), (0, "b"), (7, "c")]), (2, [(9, "b"), (None, "x"), (None, "y")]), (3, [(9, "b"), (4, None)]), (4, [(None, "z")])],
+        "id long, f array<struct<id: long, value: string>>",
+    )
+    nought = F.lit(0).cast("bigint")
+    kept = rows.select("id", F.inline(greatest_of_each(F.col("f"), "id", nought)).alias("number", "value"))
+    want = [(1, 0, "b"), (1, 7, "c"), (2, 0, "y"), (2, 9, "b"), (3, 4, None), (3, 9, "b"), (4, 0, "z")]
+    assert rows_of(kept) == sorted(want, key=repr)
+
+
+def test_landing_starts_with_more_partitions_than_a_query(spark, tmp_path, monkeypatch):
+    """Adaptive execution merges them to the size of a landed file, and could not cut larger ones."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    held = []
+    rows = spark.createDataFrame([("u", 200, 1, "{}")], pages.PAGE)
+    write = type(rows.write).json
+    monkeypatch.setattr(type(rows.write), "json", lambda self, *a, **k: held.append(spark.conf.get(name)) or write(self, *a, **k))
+    spark.conf.set(name, "5")
+    catalog._land(rows, f"{tmp_path}/one")
+    assert spark.conf.get(name) == "5"
+    spark.conf.unset(name)
+    catalog._land(rows, f"{tmp_path}/two")
+    assert spark.conf.get(name, None) is None
+    assert held == ["40", str(8 * int(spark.conf.get("spark.sql.shuffle.partitions")))]
